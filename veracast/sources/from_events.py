@@ -1,0 +1,127 @@
+"""Weather-shaped raw tables worked out from an ``events`` table, for checks and benchmarks.
+
+Every event becomes one observation, and every (user, 3-hour slot) with events gets forecasts at six
+horizons, so both tables grow with ``events``. Formulas are in FIXTURES.md.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from veracast.functions.scalars import SLOT_SECONDS, iso_utc
+from veracast.schemas import RAW_FORECAST, RAW_WEATHER
+from veracast.session import pin_utc
+
+CITIES = {0: "Lisbon", 1: "Paris", 2: "Rome", 3: "Amsterdam"}
+HORIZONS = (6, 12, 18, 24, 30, 48)
+CATEGORY_BY_TYPE = {"click": "Clear", "view": "Clouds", "purchase": "Rain", "signup": "Drizzle"}
+CATEGORY_BY_ERROR = {0: "Snow", 1: "Thunderstorm", 2: "Mist"}
+CATEGORY_BY_NUMBER = dict(
+    enumerate(("Clear", "Clouds", "Rain", "Drizzle", "Snow", "Thunderstorm"))
+)
+
+
+def _lookup(x: Column, values: dict) -> Column:
+    out = None
+    for k, v in values.items():
+        out = F.when(x == k, v) if out is None else out.when(x == k, v)
+    return out
+
+
+def _tenths(x: Column) -> Column:
+    return x / F.lit(10).cast("double")
+
+
+def read_events(spark: SparkSession, folder: str) -> DataFrame:
+    pin_utc(spark)
+    return spark.read.parquet(f"{folder}/events.parquet")
+
+
+def _city(user: Column) -> Column:
+    return F.coalesce(_lookup(user, CITIES), F.concat(F.lit("V"), user.cast("string")))
+
+
+def _epoch(ts: Column) -> Column:
+    return F.unix_seconds(ts.cast("timestamp"))
+
+
+def _slot(epoch: Column) -> Column:
+    return F.floor(epoch / SLOT_SECONDS)
+
+
+def _base_temperature(slot: Column, user: Column) -> Column:
+    return (slot + user * 5) % 66 - 14
+
+
+def _base_wind(slot: Column, user: Column) -> Column:
+    return _tenths((slot * 13 + user * 3) % 230)
+
+
+def _base_humidity(slot: Column, user: Column) -> Column:
+    return (slot * 17 + user) % 80 + 10
+
+
+def weather_from_events(events: DataFrame) -> DataFrame:
+    """raw_weather: one observation per event."""
+    pin_utc(events.sparkSession)
+    timed = events.select(
+        "event_id", "user_id", "event_type", _epoch(F.col("ts")).alias("e")
+    )
+    event, user, e = F.col("event_id"), F.col("user_id"), F.col("e")
+    slot, city = _slot(e), _city(user)
+    error_category = F.when(
+        F.col("event_type") == "error", _lookup(event % 4, CATEGORY_BY_ERROR)
+    )
+    return timed.select(
+        F.concat(city, F.lit("_"), iso_utc(F.timestamp_seconds(e))).alias("record_id"),
+        city.alias("ville"),
+        (_base_temperature(slot, user) + _tenths(event % 21 - 10)).alias("temperature"),
+        (_base_humidity(slot, user) + event % 10).alias("humidite"),
+        (_base_wind(slot, user) + _tenths(event % 9)).alias("vitesse_vent"),
+        F.coalesce(_lookup(F.col("event_type"), CATEGORY_BY_TYPE), error_category).alias(
+            "categorie_meteo"
+        ),
+        F.col("event_type").alias("description_meteo"),
+        e.alias("time_api"),
+        iso_utc(F.timestamp_seconds(e + event % 50 * 60)).alias("heure_run"),
+    ).select(*RAW_WEATHER.names)
+
+
+def forecast_from_events(events: DataFrame) -> DataFrame:
+    """raw_forecast: six horizons per (user, slot), with gaps, bad fields and copies on purpose."""
+    pin_utc(events.sparkSession)
+    slots = events.select("user_id", _slot(_epoch(F.col("ts"))).alias("slot")).distinct()
+    user, slot, h = F.col("user_id"), F.col("slot"), F.col("h")
+    made = slots.where((slot * 3 + user) % 11 != 0).withColumn(
+        "h", F.explode(F.array(*[F.lit(x).cast("bigint") for x in HORIZONS]))
+    )
+    city = _city(user)
+    start = slot * SLOT_SECONDS
+    k = user % 3 + 1
+    run = start - h * 3600 - (slot + user) % 50 * 60
+    rows = made.select(
+        slot.alias("slot"),
+        F.when(
+            (slot + h) % 10 != 0, F.concat(city, F.lit("_"), iso_utc(F.timestamp_seconds(start)))
+        ).alias("record_forecast_id"),
+        city.alias("ville"),
+        (_base_temperature(slot, user) + _tenths(((slot * 7 + h) % 41 - 20) * k)).alias(
+            "temperature"
+        ),
+        (_base_humidity(slot, user) + ((slot * 5 + h) % 27 - 13) * k).alias("humidite"),
+        (_base_wind(slot, user) + _tenths(((slot * 11 + h) % 41 - 20) * k)).alias("vitesse_vent"),
+        _lookup((slot + F.floor(h / 6) + user) % 7, CATEGORY_BY_NUMBER).alias("categorie_meteo"),
+        F.concat(F.lit("h"), h.cast("string")).alias("description_meteo"),
+        F.when((slot + h) % 7 != 0, start).alias("time_api"),
+        F.when((slot + h) % 97 == 0, "garbage")
+        .otherwise(iso_utc(F.timestamp_seconds(run)))
+        .alias("heure_run"),
+        F.when((slot + h) % 3 != 0, start).alias("forecast_timestamp"),
+    )
+    copies = F.explode(
+        F.when(slot % 23 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    )
+    with_copies = rows.withColumn("copy", copies)
+    return with_copies.withColumn(
+        "record_forecast_id", F.when(~F.col("copy"), F.col("record_forecast_id"))
+    ).select(*RAW_FORECAST.names)
