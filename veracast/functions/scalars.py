@@ -36,9 +36,8 @@ def parse_instant(text: Column) -> Column:
     Spark also reads bare years and bare times of day (as today's date); both are refused here by
     asking for a full date in front.
     """
-    trimmed = F.trim(text)
-    dated = (F.length(trimmed) >= 8) & (F.substring(trimmed, 5, 1) == "-")
-    return F.when(dated, trimmed.try_cast("timestamp"))
+    dated = (F.length(text) >= 8) & (F.substring(text, 5, 1) == "-")
+    return F.when(dated, text.try_cast("timestamp"))
 
 
 def iso_utc(instant: Column) -> Column:
@@ -52,8 +51,9 @@ def record_key(city: Column, instant: Column) -> Column:
 
 
 def key_suffix(key: Column) -> Column:
-    """Text between the first and second underscore; empty when there is none."""
-    return F.split_part(key, F.lit("_"), F.lit(2))
+    """Text between the first and second underscore; null when there is none."""
+    head = F.substring_index(key, "_", 2)
+    return F.when(F.instr(key, "_") > 0, F.substring_index(head, "_", -1))
 
 
 def hour_of(instant: Column) -> Column:

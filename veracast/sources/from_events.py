@@ -92,19 +92,40 @@ def forecast_from_events(events: DataFrame) -> DataFrame:
     pin_utc(events.sparkSession)
     slots = events.select("user_id", _slot(_epoch(F.col("ts"))).alias("slot")).distinct()
     user, slot, h = F.col("user_id"), F.col("slot"), F.col("h")
-    made = slots.where((slot * 3 + user) % 11 != 0).withColumn(
-        "h", F.explode(F.array(*[F.lit(x).cast("bigint") for x in HORIZONS]))
-    )
-    city = _city(user)
     start = slot * SLOT_SECONDS
-    k = user % 3 + 1
-    run = start - h * 3600 - (slot + user) % 50 * 60
+    # One entry per horizon with its finished collection time, so a later filter on that text stays
+    # above the explode and the text is written once per row.
+    collected = F.array(
+        *[
+            F.struct(
+                F.lit(x).cast("bigint").alias("h"),
+                F.when((slot + x) % 97 == 0, "garbage")
+                .otherwise(
+                    iso_utc(F.timestamp_seconds(start - x * 3600 - (slot + user) % 50 * 60))
+                )
+                .alias("heure_run"),
+            )
+            for x in HORIZONS
+        ]
+    )
+    made = (
+        slots.where((slot * 3 + user) % 11 != 0)
+        .select(
+            "user_id",
+            "slot",
+            _city(user).alias("ville"),
+            start.alias("start"),
+            iso_utc(F.timestamp_seconds(start)).alias("start_iso"),
+            F.explode(collected).alias("c"),
+        )
+        .select("*", F.col("c.h").alias("h"), F.col("c.heure_run").alias("heure_run"))
+    )
+    start, k = F.col("start"), user % 3 + 1
     rows = made.select(
-        slot.alias("slot"),
-        F.when(
-            (slot + h) % 10 != 0, F.concat(city, F.lit("_"), iso_utc(F.timestamp_seconds(start)))
-        ).alias("record_forecast_id"),
-        city.alias("ville"),
+        F.when((slot + h) % 10 != 0, F.concat(F.col("ville"), F.lit("_"), F.col("start_iso"))).alias(
+            "given_id"
+        ),
+        "ville",
         (_base_temperature(slot, user) + _tenths(((slot * 7 + h) % 41 - 20) * k)).alias(
             "temperature"
         ),
@@ -113,15 +134,14 @@ def forecast_from_events(events: DataFrame) -> DataFrame:
         _lookup((slot + F.floor(h / 6) + user) % 7, CATEGORY_BY_NUMBER).alias("categorie_meteo"),
         F.concat(F.lit("h"), h.cast("string")).alias("description_meteo"),
         F.when((slot + h) % 7 != 0, start).alias("time_api"),
-        F.when((slot + h) % 97 == 0, "garbage")
-        .otherwise(iso_utc(F.timestamp_seconds(run)))
-        .alias("heure_run"),
+        "heure_run",
         F.when((slot + h) % 3 != 0, start).alias("forecast_timestamp"),
+        # Slots divisible by 23 come twice, the second time without an id.
+        F.explode(
+            F.when(slot % 23 == 0, F.array(F.lit(True), F.lit(False))).otherwise(
+                F.array(F.lit(True))
+            )
+        ).alias("keeps_id"),
     )
-    copies = F.explode(
-        F.when(slot % 23 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    )
-    with_copies = rows.withColumn("copy", copies)
-    return with_copies.withColumn(
-        "record_forecast_id", F.when(~F.col("copy"), F.col("record_forecast_id"))
-    ).select(*RAW_FORECAST.names)
+    record_id = F.when(F.col("keeps_id"), F.col("given_id"))
+    return rows.withColumn("record_forecast_id", record_id).select(*RAW_FORECAST.names)
