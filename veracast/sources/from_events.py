@@ -6,30 +6,23 @@ horizons, so both tables grow with ``events``. Formulas are in FIXTURES.md.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from veracast.functions.scalars import SLOT_SECONDS, iso_utc
 from veracast.schemas import RAW_FORECAST, RAW_WEATHER
 from veracast.session import pin_utc
 
-CITIES = {0: "Lisbon", 1: "Paris", 2: "Rome", 3: "Amsterdam"}
 HORIZONS = (6, 12, 18, 24, 30, 48)
-CATEGORY_BY_TYPE = {"click": "Clear", "view": "Clouds", "purchase": "Rain", "signup": "Drizzle"}
-CATEGORY_BY_ERROR = {0: "Snow", 1: "Thunderstorm", 2: "Mist"}
-CATEGORY_BY_NUMBER = dict(
-    enumerate(("Clear", "Clouds", "Rain", "Drizzle", "Snow", "Thunderstorm"))
-)
 
+_CITY = """CASE user_id WHEN 0 THEN 'Lisbon' WHEN 1 THEN 'Paris' WHEN 2 THEN 'Rome'
+  WHEN 3 THEN 'Amsterdam' ELSE concat('V', user_id) END"""
+_SLOT = "unix_seconds(CAST(ts AS TIMESTAMP)) DIV 10800"
+_TEMPERATURE = "(slot + user_id * 5) % 66 - 14"
+_WIND = "(slot * 13 + user_id * 3) % 230 / 10D"
+_HUMIDITY = "10 + (slot * 17 + user_id) % 80"
 
-def _lookup(x: Column, values: dict) -> Column:
-    out = None
-    for k, v in values.items():
-        out = F.when(x == k, v) if out is None else out.when(x == k, v)
-    return out
 
-
-def _tenths(x: Column) -> Column:
-    return x / F.lit(10).cast("double")
+def _iso(epoch: str) -> str:
+    return f"date_format(timestamp_seconds({epoch}), \"yyyy-MM-dd'T'HH:mm:ssxxx\")"
 
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,111 +30,68 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/events.parquet")
 
 
-def _city(user: Column) -> Column:
-    return F.coalesce(_lookup(user, CITIES), F.concat(F.lit("V"), user.cast("string")))
-
-
-def _epoch(ts: Column) -> Column:
-    return F.unix_seconds(ts.cast("timestamp"))
-
-
-def _slot(epoch: Column) -> Column:
-    return F.floor(epoch / SLOT_SECONDS)
-
-
-def _base_temperature(slot: Column, user: Column) -> Column:
-    return (slot + user * 5) % 66 - 14
-
-
-def _base_wind(slot: Column, user: Column) -> Column:
-    return _tenths((slot * 13 + user * 3) % 230)
-
-
-def _base_humidity(slot: Column, user: Column) -> Column:
-    return (slot * 17 + user) % 80 + 10
-
-
 def weather_from_events(events: DataFrame) -> DataFrame:
     """raw_weather: one observation per event."""
     pin_utc(events.sparkSession)
-    timed = events.select(
-        "event_id", "user_id", "event_type", _epoch(F.col("ts")).alias("e")
+    timed = events.selectExpr(
+        "event_id",
+        "user_id",
+        "event_type",
+        "unix_seconds(CAST(ts AS TIMESTAMP)) AS time_api",
+        f"{_SLOT} AS slot",
+        f"{_CITY} AS ville",
     )
-    event, user, e = F.col("event_id"), F.col("user_id"), F.col("e")
-    slot, city = _slot(e), _city(user)
-    error_category = F.when(
-        F.col("event_type") == "error", _lookup(event % 4, CATEGORY_BY_ERROR)
-    )
-    return timed.select(
-        F.concat(city, F.lit("_"), iso_utc(F.timestamp_seconds(e))).alias("record_id"),
-        city.alias("ville"),
-        (_base_temperature(slot, user) + _tenths(event % 21 - 10)).alias("temperature"),
-        (_base_humidity(slot, user) + event % 10).alias("humidite"),
-        (_base_wind(slot, user) + _tenths(event % 9)).alias("vitesse_vent"),
-        F.coalesce(_lookup(F.col("event_type"), CATEGORY_BY_TYPE), error_category).alias(
-            "categorie_meteo"
-        ),
-        F.col("event_type").alias("description_meteo"),
-        e.alias("time_api"),
-        iso_utc(F.timestamp_seconds(e + event % 50 * 60)).alias("heure_run"),
+    return timed.selectExpr(
+        f"concat(ville, '_', {_iso('time_api')}) AS record_id",
+        "ville",
+        f"{_TEMPERATURE} + (event_id % 21 - 10) / 10D AS temperature",
+        f"{_HUMIDITY} + event_id % 10 AS humidite",
+        f"{_WIND} + event_id % 9 / 10D AS vitesse_vent",
+        """CASE event_type WHEN 'click' THEN 'Clear' WHEN 'view' THEN 'Clouds'
+             WHEN 'purchase' THEN 'Rain' WHEN 'signup' THEN 'Drizzle'
+             WHEN 'error' THEN CASE event_id % 4 WHEN 0 THEN 'Snow' WHEN 1 THEN 'Thunderstorm'
+               WHEN 2 THEN 'Mist' END END AS categorie_meteo""",
+        "event_type AS description_meteo",
+        "time_api",
+        f"{_iso('time_api + event_id % 50 * 60')} AS heure_run",
     ).select(*RAW_WEATHER.names)
 
 
 def forecast_from_events(events: DataFrame) -> DataFrame:
     """raw_forecast: six horizons per (user, slot), with gaps, bad fields and copies on purpose."""
     pin_utc(events.sparkSession)
-    slots = events.select("user_id", _slot(_epoch(F.col("ts"))).alias("slot")).distinct()
-    user, slot, h = F.col("user_id"), F.col("slot"), F.col("h")
-    start = slot * SLOT_SECONDS
+    slots = events.selectExpr("user_id", f"{_SLOT} AS slot").distinct()
     # One entry per horizon with its finished collection time, so a later filter on that text stays
     # above the explode and the text is written once per row.
-    collected = F.array(
-        *[
-            F.struct(
-                F.lit(x).cast("bigint").alias("h"),
-                F.when((slot + x) % 97 == 0, "garbage")
-                .otherwise(
-                    iso_utc(F.timestamp_seconds(start - x * 3600 - (slot + user) % 50 * 60))
-                )
-                .alias("heure_run"),
-            )
-            for x in HORIZONS
-        ]
+    collected = ", ".join(
+        f"""struct({h}L AS h, CASE WHEN (slot + {h}) % 97 = 0 THEN 'garbage'
+          ELSE {_iso(f"slot * 10800 - {h * 3600} - (slot + user_id) % 50 * 60")} END AS heure_run)"""
+        for h in HORIZONS
     )
-    made = (
-        slots.where((slot * 3 + user) % 11 != 0)
-        .select(
-            "user_id",
-            "slot",
-            _city(user).alias("ville"),
-            start.alias("start"),
-            iso_utc(F.timestamp_seconds(start)).alias("start_iso"),
-            F.explode(collected).alias("c"),
-        )
-        .select("*", F.col("c.h").alias("h"), F.col("c.heure_run").alias("heure_run"))
+    made = slots.where("(slot * 3 + user_id) % 11 <> 0").selectExpr(
+        "user_id",
+        "slot",
+        "slot * 10800 AS start",
+        "1 + user_id % 3 AS k",
+        f"{_CITY} AS ville",
+        f"concat({_CITY}, '_', {_iso('slot * 10800')}) AS start_id",
+        f"inline(array({collected}))",
     )
-    start, k = F.col("start"), user % 3 + 1
-    rows = made.select(
-        F.when((slot + h) % 10 != 0, F.concat(F.col("ville"), F.lit("_"), F.col("start_iso"))).alias(
-            "given_id"
-        ),
+    # Slots divisible by 23 come twice, the second time without an id.
+    twice = made.selectExpr(
+        "*", "explode(IF(slot % 23 = 0, array(true, false), array(true))) AS keeps_id"
+    )
+    return twice.selectExpr(
+        "IF(keeps_id AND (slot + h) % 10 <> 0, start_id, NULL) AS record_forecast_id",
         "ville",
-        (_base_temperature(slot, user) + _tenths(((slot * 7 + h) % 41 - 20) * k)).alias(
-            "temperature"
-        ),
-        (_base_humidity(slot, user) + ((slot * 5 + h) % 27 - 13) * k).alias("humidite"),
-        (_base_wind(slot, user) + _tenths(((slot * 11 + h) % 41 - 20) * k)).alias("vitesse_vent"),
-        _lookup((slot + F.floor(h / 6) + user) % 7, CATEGORY_BY_NUMBER).alias("categorie_meteo"),
-        F.concat(F.lit("h"), h.cast("string")).alias("description_meteo"),
-        F.when((slot + h) % 7 != 0, start).alias("time_api"),
+        f"{_TEMPERATURE} + ((slot * 7 + h) % 41 - 20) * k / 10D AS temperature",
+        f"{_HUMIDITY} + ((slot * 5 + h) % 27 - 13) * k AS humidite",
+        f"{_WIND} + ((slot * 11 + h) % 41 - 20) * k / 10D AS vitesse_vent",
+        """CASE (slot + h DIV 6 + user_id) % 7 WHEN 0 THEN 'Clear' WHEN 1 THEN 'Clouds'
+             WHEN 2 THEN 'Rain' WHEN 3 THEN 'Drizzle' WHEN 4 THEN 'Snow'
+             WHEN 5 THEN 'Thunderstorm' END AS categorie_meteo""",
+        "concat('h', h) AS description_meteo",
+        "IF((slot + h) % 7 = 0, NULL, start) AS time_api",
         "heure_run",
-        F.when((slot + h) % 3 != 0, start).alias("forecast_timestamp"),
-        # Slots divisible by 23 come twice, the second time without an id.
-        F.explode(
-            F.when(slot % 23 == 0, F.array(F.lit(True), F.lit(False))).otherwise(
-                F.array(F.lit(True))
-            )
-        ).alias("keeps_id"),
-    )
-    record_id = F.when(F.col("keeps_id"), F.col("given_id"))
-    return rows.withColumn("record_forecast_id", record_id).select(*RAW_FORECAST.names)
+        "IF((slot + h) % 3 = 0, NULL, start) AS forecast_timestamp",
+    ).select(*RAW_FORECAST.names)
