@@ -16,7 +16,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     as well as after it, so a key that holds a large share of all rows sends one row per task. For a
     repeatable result ``order`` has to be total up to identical rows; see ``breaking_ties``.
     """
-    window = Window.partitionBy(*keys).orderBy(*order)
+    # With nothing left to order by, the rows of a key are identical.
+    window = Window.partitionBy(*keys).orderBy(*(order or [F.lit(1)]))
     ranked = df.withColumn(_RANK, F.row_number().over(window))
     return ranked.where(F.col(_RANK) == 1).drop(_RANK)
 
