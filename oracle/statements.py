@@ -7,6 +7,7 @@ naive timestamps in UTC, whole numbers are cast to bigint.
 from __future__ import annotations
 
 AS_OF = "2024-01-15"
+COLLECTED_AT = "2024-02-01T00:00:00.123456+00:00"
 
 
 def _iso(epoch: str) -> str:
@@ -288,6 +289,74 @@ def _nulls(model: str, *columns: str) -> str:
     )
 
 
+_RAW_WEATHER = (
+    "record_id, ville, temperature, humidite, vitesse_vent, categorie_meteo, description_meteo, "
+    "time_api, heure_run"
+)
+
+
+def _first_rows(table: str, key: str, columns: str) -> str:
+    """The first row per id by collection time, and all rows without an id."""
+    rest = [c for c in columns.split(", ") if c not in (key, "heure_run")]
+    ties = ", ".join(f"{c} desc nulls last" for c in rest)
+    return f"""select {columns} from (
+  select *, row_number() over (partition by {key} order by heure_run asc nulls first, {ties}) as rn
+  from {table} where {key} is not null)
+where rn = 1
+union all
+select {columns} from {table} where {key} is null"""
+
+
+# Hours and slots end before the last measurement less two hours, the stream's watermark.
+_CLOSED = "<= (select max(time_api) from raw_weather) - 7200"
+
+
+def _ingest_sql() -> dict[str, str]:
+    return {
+        "s1_flatten_current": _with(
+            f"select * replace ('{COLLECTED_AT}' as heure_run) from raw_weather", "raw_weather"
+        ),
+        "s2_flatten_forecast": _with(
+            f"""select ville || '_' || {_iso('time_api + i * 10800')} as record_forecast_id, ville,
+  temperature + i as temperature, humidite, vitesse_vent, categorie_meteo, description_meteo,
+  time_api + i * 10800 as time_api, '{COLLECTED_AT}' as heure_run,
+  time_api + i * 10800 as forecast_timestamp
+from raw_weather, (values (1::bigint), (2), (3)) as g(i) where i <= time_api % 4""",
+            "raw_weather",
+        ),
+        "s3_publish_decode": _with("select *, true as is_good from raw_weather", "raw_weather"),
+        "s5_decode_good": _with(
+            """select * replace (case when time_api % 10 <> 3 then temperature end as temperature)
+from raw_weather where time_api % 10 not in (0, 1, 4)""",
+            "raw_weather",
+        ),
+        "s7_quarantine": _with(
+            """select case time_api % 10 when 0 then 'n' when 1 then '{' else '[' end as debut,
+  count(*) as nb_messages
+from raw_weather where time_api % 10 in (0, 1, 4) group by 1""",
+            "raw_weather",
+        ),
+        "s9_added_column": _with(
+            "select * replace (null::bigint as forecast_timestamp) from raw_forecast",
+            "raw_forecast",
+        ),
+        "t1_ingest_weather": _with(
+            _first_rows("raw_weather", "record_id", _RAW_WEATHER), "raw_weather"
+        ),
+        "t2_ingest_forecast": _with(
+            _first_rows("raw_forecast", "record_forecast_id", _RAW_FORECAST), "raw_forecast"
+        ),
+        "t3_newest_per_hour_stream": _with(
+            f"select * from m1 where epoch(heure_meteo)::bigint + 3600 {_CLOSED}", "m1"
+        ),
+        "t4_slots_3h_stream": _with(
+            f"""select * from ({STEPS['a1'].replace('from m3', 'from m1')})
+where epoch(date_heure)::bigint + 10800 {_CLOSED}""",
+            "m1",
+        ),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out = {
         "m1_stg_weather": _with("select * from m1", "m1"),
@@ -375,4 +444,5 @@ from (select ville, count(*) as nb_heures,
 order by nb_heures_a_risque::double / nb_heures desc, ville asc limit 1""",
         "m3",
     )
+    out.update(_ingest_sql())
     return out

@@ -17,6 +17,7 @@ TYPES = {
     "string": "VARCHAR",
     "bigint": "BIGINT",
     "double": "DOUBLE",
+    "boolean": "BOOLEAN",
     "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
 }

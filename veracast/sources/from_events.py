@@ -30,6 +30,14 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/events.parquet")
 
 
+def stream_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The same table as a stream of files."""
+    pin_utc(spark)
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    return reader.parquet(folder)
+
+
 def weather_from_events(events: DataFrame) -> DataFrame:
     """raw_weather: one observation per event."""
     pin_utc(events.sparkSession)
@@ -95,3 +103,51 @@ def forecast_from_events(events: DataFrame) -> DataFrame:
         "heure_run",
         "IF((slot + h) % 3 = 0, NULL, start) AS forecast_timestamp",
     ).select(*RAW_FORECAST.names)
+
+
+_DOCUMENT = """named_struct(
+  'dt', time_api,
+  'main', named_struct('temp', temperature, 'humidity', humidite),
+  'wind', named_struct('speed', vitesse_vent),
+  'weather', array(named_struct('main', categorie_meteo, 'description', description_meteo)))"""
+
+
+def current_documents(events: DataFrame) -> DataFrame:
+    """(ville, body): every observation as the API document it would come from."""
+    return weather_from_events(events).selectExpr("ville", f"to_json({_DOCUMENT}) AS body")
+
+
+def forecast_documents(events: DataFrame) -> DataFrame:
+    """(ville, body): per observation a forecast document of 0 to 3 slots, 3 hours apart.
+
+    Slot i is i degrees warmer than the observation; a document of no slots lacks its list.
+    """
+    slot = _DOCUMENT.replace("time_api", "time_api + i * 10800").replace(
+        "temperature", "temperature + i"
+    )
+    listed = f"to_json(named_struct('list', transform(sequence(1, n), i -> {slot})))"
+    counted = weather_from_events(events).selectExpr("*", "CAST(time_api % 4 AS INT) AS n")
+    return counted.selectExpr("ville", f"IF(n = 0, '{{}}', {listed}) AS body")
+
+
+def wire_messages(events: DataFrame) -> DataFrame:
+    """(key, value): every observation as a topic message, spoiled by its second.
+
+    Last digit 0: no JSON. 1: fractional humidity. 2: legacy names only. 3: temperature given as
+    null beside its legacy name. 4: wrapped in an array. Others are sound.
+    """
+    rest = "record_id, ville, vitesse_vent, time_api, heure_run"
+    record = f"struct({', '.join(RAW_WEATHER.names)})"
+    spoiled = f"""CASE time_api % 10
+      WHEN 0 THEN 'no json'
+      WHEN 1 THEN to_json(struct({rest}, humidite + 0.5D AS humidite))
+      WHEN 2 THEN to_json(struct({rest}, temperature AS `température`, humidite AS `humidité`,
+        categorie_meteo AS `catégorie météo`, description_meteo AS `description météo`))
+      WHEN 3 THEN to_json(struct({rest}, humidite, categorie_meteo, description_meteo,
+        CAST(NULL AS DOUBLE) AS temperature, temperature AS `température`),
+        map('ignoreNullFields', 'false'))
+      WHEN 4 THEN concat('[', to_json({record}), ']')
+      ELSE to_json({record}) END"""
+    return weather_from_events(events).selectExpr(
+        "CAST(ville AS BINARY) AS key", f"CAST({spoiled} AS BINARY) AS value"
+    )

@@ -6,6 +6,7 @@ Rows later than the watermark are dropped here; the batch models stay the full t
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from veracast.functions.scalars import round_half_up
 from veracast.plans.staging import OBSERVATION_COLUMNS, clean_observations
@@ -54,3 +55,15 @@ def slots_of_hours(hours: DataFrame) -> DataFrame:
         F.col("w.categorie_meteo").alias("categorie_reelle"),
         F.col("w.description_meteo").alias("description_reelle"),
     )
+
+
+def drain_windows(windows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append the closed windows of what the stream holds now to a Parquet table, then stop."""
+    return (
+        windows.writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
