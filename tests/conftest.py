@@ -17,7 +17,8 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
-        .config("spark.sql.streaming.stateStore.stateSchemaCheck", "true")
+        .config("spark.sql.maxMetadataStringLength", "10000")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -2,8 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
-
 from veracast.operators.merge import merge_insert_only
 from veracast.schemas import MESSAGE, RAW_FORECAST, RAW_WEATHER
 from veracast.sources import messages as msg
@@ -114,11 +112,11 @@ def test_merge_insert_only(spark):
         [("a", 2), ("a", 1), ("b", 1), ("c", 1), (None, 7), (None, 7)], schema
     )
     target = spark.createDataFrame([("b", 9), (None, 7)], schema)
-    new = merge_insert_only(source, target, "k", [F.col("v").asc()])
+    new = merge_insert_only(source, target, "k", ["v ASC"])
     assert sorted(map(str, new.collect())) == sorted(
         map(str, [r for r in source.collect() if (r.k, r.v) in {("a", 1), ("c", 1), (None, 7)}])
     )
-    again = merge_insert_only(source, target.unionByName(new), "k", [F.col("v").asc()])
+    again = merge_insert_only(source, target.unionByName(new), "k", ["v ASC"])
     assert [r.k for r in again.collect()] == [None, None]  # null keys always insert
 
     pairs = spark.createDataFrame([("a", 1), ("a", 2), ("a", None)], schema)

@@ -4,25 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 _RANK = "__rank"
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Keep the first row of every key under ``order``.
+def _quoted(name: str) -> str:
+    return f"`{name}`"
+
+
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Keep the first row of every key under ``order``, a list of SQL sort terms.
 
     A rank-1 filter directly on ``row_number`` lets Spark cut each key to one row before the shuffle
     as well as after it, so a key that holds a large share of all rows sends one row per task. For a
     repeatable result ``order`` has to be total up to identical rows; see ``breaking_ties``.
     """
+    by = ", ".join(map(_quoted, keys))
     # With nothing left to order by, the rows of a key are identical.
-    window = Window.partitionBy(*keys).orderBy(*(order or [F.lit(1)]))
-    ranked = df.withColumn(_RANK, F.row_number().over(window))
-    return ranked.where(F.col(_RANK) == 1).drop(_RANK)
+    terms = ", ".join(order) or "1"
+    rank = f"row_number() OVER (PARTITION BY {by} ORDER BY {terms}) AS {_RANK}"
+    return df.selectExpr("*", rank).where(f"{_RANK} = 1").drop(_RANK)
 
 
-def breaking_ties(df: DataFrame, order: Sequence[Column], used: Sequence[str]) -> list[Column]:
+def breaking_ties(df: DataFrame, order: Sequence[str], used: Sequence[str]) -> list[str]:
     """``order`` followed by every column not in ``used``, descending, nulls last."""
-    rest = [F.col(c).desc_nulls_last() for c in df.columns if c not in used]
+    rest = [f"{_quoted(c)} DESC NULLS LAST" for c in df.columns if c not in used]
     return [*order, *rest]

@@ -56,8 +56,8 @@ def int_forecast_24h(
     """
     if tolerance is not None:
         forecasts = forecasts.where(F.col("horizon_heures").between(*tolerance))
-    gap = F.abs(F.col("horizon_heures") - TARGET_HORIZON).asc()
-    order = duplicate_order(forecasts, gap, F.col("date_heure_collecte").desc())
+    gap = f"abs(horizon_heures - {TARGET_HORIZON}) ASC"
+    order = duplicate_order(forecasts, gap, "date_heure_collecte DESC")
     chosen = first_per_key(forecasts, ["ville", "date_heure_prevue"], order)
     return chosen.select(
         "ville",
@@ -170,7 +170,7 @@ def mart_next_two_days(
         (target >= F.date_add(today, 1).cast("timestamp"))
         & (target < F.date_add(today, 3).cast("timestamp"))
     )
-    order = duplicate_order(ahead, F.col("date_heure_collecte").desc())
+    order = duplicate_order(ahead, "date_heure_collecte DESC")
     latest = first_per_key(ahead, ["ville", "date_heure_prevue"], order)
     # Risk reads the measures as forecast, before they are rounded for display.
     risk = rules.risk_index(

@@ -64,11 +64,12 @@ def stg_weather_stream(raw_weather: DataFrame) -> DataFrame:
     collection times open; here the later measurement, then the higher id and values win.
     """
     clean = clean_observations(raw_weather)
-    newest = F.coalesce("run_ts", "heure_meteo").desc_nulls_last()
-    measured = F.col("weather_ts").desc_nulls_last()
-    identity = F.col("record_id").desc_nulls_last()
-    used = ("ville", "heure_meteo", "weather_ts", "record_id")
-    order = breaking_ties(clean, [newest, measured, identity], used)
+    newest = (
+        "coalesce(run_ts, heure_meteo) DESC NULLS LAST",
+        "weather_ts DESC NULLS LAST",
+        "record_id DESC NULLS LAST",
+    )
+    order = breaking_ties(clean, newest, ("ville", "heure_meteo", "weather_ts", "record_id"))
     return first_per_key(clean, ["ville", "heure_meteo"], order).select(*OBSERVATION_COLUMNS)
 
 
@@ -102,11 +103,10 @@ def clean_forecasts(raw_forecast: DataFrame) -> DataFrame:
     return usable.withColumn("horizon_heures", horizon).select(*FORECAST_COLUMNS)
 
 
-def duplicate_order(forecasts: DataFrame, *front) -> list:
-    """``front``, then what decides between copies of one forecast: highest id, then values."""
+def duplicate_order(forecasts: DataFrame, *front: str) -> list[str]:
+    """Sort terms: ``front``, then what decides between copies of one forecast: highest id, then values."""
     fixed = ("ville", "date_heure_collecte", "date_heure_prevue", "horizon_heures", "id_prevision")
-    identity = F.col("id_prevision").desc_nulls_last()
-    return breaking_ties(forecasts, [*front, identity], fixed)
+    return breaking_ties(forecasts, [*front, "id_prevision DESC NULLS LAST"], fixed)
 
 
 def stg_forecast(raw_forecast: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from veracast.schemas import RAW_FORECAST, RAW_WEATHER
 from veracast.session import pin_utc
 
 DAY = "jour_cle"
+_TIMESTAMPS = "spark.sql.parquet.outputTimestampType"
 _UNKEYED_PARTS = T.StructType(
     [T.StructField("stream", T.StringType()), T.StructField("batch", T.LongType())]
 )
@@ -130,5 +131,11 @@ def write_model(df: DataFrame, folder: str, model: str, sort_by: str | None = No
     """
     spark, path, schema = df.sparkSession, model_path(folder, model), df.schema
     ordered = df.sortWithinPartitions(sort_by) if sort_by else df
-    ordered.write.mode("overwrite").parquet(path)
+    # The default timestamp storage keeps no minima and maxima, so no filter could skip anything.
+    default = spark.conf.get(_TIMESTAMPS)
+    spark.conf.set(_TIMESTAMPS, "TIMESTAMP_MICROS")
+    try:
+        ordered.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(_TIMESTAMPS, default)
     return spark.read.schema(schema).parquet(path)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from veracast.functions.rules import all_present
@@ -38,10 +38,10 @@ class LandingReport:
     quarantined: int
 
 
-def _arrival_order(records: DataFrame) -> list[Column]:
+def _arrival_order(records: DataFrame) -> list[str]:
     """First writer first: broker order where known, else collection time."""
-    known = [F.col(c).asc() for c in ARRIVAL if c in records.columns]
-    return known or [F.col("heure_run").asc_nulls_first()]
+    known = [f"`{c}` ASC" for c in ARRIVAL if c in records.columns]
+    return known or ["heure_run ASC NULLS FIRST"]
 
 
 def land_batch(
