@@ -168,6 +168,22 @@ def test_next_two_days(spark):
     assert second.recommandation == "Confiance inconnue (pas d’historique)"
 
 
+def test_next_two_days_starts_from_today(spark):
+    today = int(dt.datetime.now(dt.timezone.utc).timestamp()) // DAY * DAY
+    rows = [
+        (f"P_{d}", "P", 1.0, 50, 3.0, "Rain", "d", None, _iso(today), today + d * DAY)
+        for d in range(5)
+    ]
+    reference = marts.mart_reliability_reference(
+        spark.createDataFrame(
+            [("P", "Rain", 50.0)], "ville string, categorie_prevue string, score_fiabilite_0_100 double"
+        )
+    )
+    got = marts.mart_next_two_days(staging.stg_forecast(forecast(spark, rows)), reference).collect()
+    assert sorted(r.date_heure_prevue for r in got) == [_naive(today + d * DAY) for d in (1, 2)]
+    assert {r.nb_observations for r in got} == {1}
+
+
 def test_quality(spark):
     rows = [
         ("a", None, 1.0, 1, 1.0, "c", "d", T0, "garbage"),

@@ -6,6 +6,31 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+_MB = 1024 * 1024
+# Aimed-at shuffle data per task, and the most reduce tasks a shuffle should have: the blocks of a
+# shuffle are map tasks times reduce tasks, so past this point larger tasks (which may spill) cost
+# less than smaller blocks. AQE merges small partitions and splits skewed join ones.
+_BYTES_PER_TASK = 512 * _MB
+_MOST_TASKS = 100_000
+
+
+def shuffle_settings(input_bytes: int, cores: int) -> dict[str, str]:
+    """Session settings for a job over this much raw data on this many executor cores.
+
+    No model's shuffle carries more than its input, so the input bounds it. The partition count is a
+    whole number of task waves.
+    """
+    wanted = min(-(-input_bytes // _BYTES_PER_TASK), _MOST_TASKS)
+    waves = max(1, -(-wanted // cores))
+    split = 256 if input_bytes < 10 * _MB * _MB else 1024
+    return {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(waves * cores),
+        "spark.sql.files.maxPartitionBytes": f"{split}m",
+    }
+
 
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Every instant is read, cut and printed in UTC."""
@@ -16,10 +41,12 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (single-machine runs, tests) is a local folder made and set.
+    Only where that is unset (single-machine runs, tests) is a local checkpoint folder made.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="veracast-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context = spark.sparkContext
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="veracast-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")

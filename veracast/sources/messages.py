@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from veracast.schemas import LEGACY_NAMES, MESSAGE
 
 _BAD = "_corrupt_record"
+_BATCH_MESSAGES = "20000000"
 # Columns a broker adds that say in what order messages arrived.
 ARRIVAL = ("timestamp", "partition", "offset")
 
@@ -30,12 +31,14 @@ def open_topic(
     """Stream of messages. ``fmt`` may be any streaming source carrying ``key`` and ``value``.
 
     With ``latest`` a first run sees only what arrives after it started; use ``earliest`` to load
-    what is already there. ``maxOffsetsPerTrigger`` (or ``maxFilesPerTrigger``) bounds a batch.
+    what is already there. A long backlog is drained in several batches, of the size given as
+    ``maxOffsetsPerTrigger`` (``maxFilesPerTrigger`` for files).
     """
-    reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
-        return reader.option("startingOffsets", starting_offsets).load()
-    return reader.schema(MESSAGE).load()
+        options.setdefault("maxOffsetsPerTrigger", _BATCH_MESSAGES)
+        options["startingOffsets"] = starting_offsets
+        return spark.readStream.format(fmt).options(**options).load()
+    return spark.readStream.format(fmt).options(**options).schema(MESSAGE).load()
 
 
 def _wire_schema(schema: T.StructType) -> T.StructType:
