@@ -47,5 +47,6 @@ class _Named:
 
 def test_shared_folder_is_the_sessions(spark):
     assert shared_folder(_Named()) == "hdfs://shared/checkpoints"
+    named = spark.conf.get("spark.checkpoint.dir", None)
     own = shared_folder(spark)
-    assert own == shared_folder(spark) == spark.sparkContext.getCheckpointDir()
+    assert own == shared_folder(spark) == (named or spark.sparkContext.getCheckpointDir())
