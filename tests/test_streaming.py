@@ -8,7 +8,7 @@ from veracast.schemas import RAW_WEATHER
 from veracast.sources import messages, tables
 from veracast.sources.from_events import forecast_from_events, read_events, weather_from_events
 from veracast.streaming.landing import start_landing
-from veracast.streaming.windows import newest_per_hour, slots_of_hours
+from veracast.streaming.windows import drain_windows, newest_per_hour, slots_of_hours
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -67,15 +67,7 @@ def test_land_forecast_with_wide_key(spark, tmp_path):
 
 def _run_stream(df, tmp_path):
     out = str(tmp_path / "out")
-    query = (
-        df.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", str(tmp_path / "check"))
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    drain_windows(df, out, str(tmp_path / "check")).awaitTermination()
     return df.sparkSession.read.parquet(out)
 
 
@@ -96,8 +88,6 @@ def test_windows_agree_with_batch(spark, tmp_path):
     assert closed.exceptAll(got.select(*names)).count() == 0
 
     slots = _run_stream(slots_of_hours(newest_per_hour(stream)), tmp_path / "slots")
-    from veracast.plans.marts import mart_weather_stream  # noqa: F401
-
     expected = average_by_slot(batch)
     assert slots.count() > 800
     assert slots.exceptAll(expected).count() == 0

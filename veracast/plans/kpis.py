@@ -6,7 +6,7 @@ package's own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from veracast.functions.rules import risk_label
 from veracast.functions.scalars import round_half_up
@@ -42,10 +42,17 @@ def risk_next_48h(outlook: DataFrame) -> DataFrame:
 
 
 def category_distribution(weather: DataFrame) -> DataFrame:
-    """Observed hours per city and category, with the category's share of the city."""
+    """Observed hours per city and category, with the category's share of the city.
+
+    City totals are summed and joined back: a window would hold all of a city's categories, which
+    are free text, in one task.
+    """
     counted = weather.groupBy("ville", "categorie_meteo").agg(F.count("*").alias("nb_heures"))
-    in_city = F.sum("nb_heures").over(Window.partitionBy("ville"))
-    return counted.withColumn("part", _share(F.col("nb_heures"), in_city))
+    totals = counted.groupBy(F.col("ville").alias("_ville")).agg(F.sum("nb_heures").alias("_all"))
+    joined = counted.join(totals, F.col("ville").eqNullSafe(F.col("_ville")))
+    return joined.withColumn("part", _share(F.col("nb_heures"), F.col("_all"))).drop(
+        "_ville", "_all"
+    )
 
 
 def global_reliability(accuracy: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from veracast.operators.once import computed_once
 from veracast.schemas import LEGACY_NAMES, MESSAGE
 
 _BAD = "_corrupt_record"
@@ -76,7 +77,7 @@ def decode(messages: DataFrame, schema: T.StructType, absent_only: bool = True)
     """
     options = {"columnNameOfCorruptRecord": _BAD, "allowSingleQuotes": "false"}
     text = messages.withColumn("body", F.col("value").cast("string"))
-    read = text.withColumn("p", F.from_json("body", _wire_schema(schema), options))
+    read = computed_once(text, p=F.from_json("body", _wire_schema(schema), options))
     bare = F.btrim("body", F.lit(" \t\r\n"))
     is_object = F.startswith(bare, F.lit("{")) & F.endswith(bare, F.lit("}"))
     good = (

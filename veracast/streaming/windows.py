@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from veracast.functions.scalars import round_half_up
+from veracast.operators.slots import slot_means
 from veracast.plans.staging import OBSERVATION_COLUMNS, clean_observations
 
 _RANKED_BY = ("weather_ts", "record_id")
@@ -34,27 +34,9 @@ def newest_per_hour(raw_weather: DataFrame, delay: str = "2 hours") -> DataFrame
 
 
 def slots_of_hours(hours: DataFrame) -> DataFrame:
-    """Mean measures per city and 3-hour slot of ``newest_per_hour``.
-
-    Words are those of the slot's earliest hour, as in the batch model.
-    """
-    words = F.struct("categorie_meteo", "description_meteo")
+    """Mean measures per city and 3-hour slot of ``newest_per_hour``."""
     slot = F.window(F.window_time("hour"), "3 hours").alias("slot")
-    slots = hours.groupBy(slot, "ville").agg(
-        F.avg("temperature").alias("t"),
-        F.avg("vitesse_vent").alias("v"),
-        F.avg("humidite").alias("h"),
-        F.min_by(words, F.col("heure_meteo")).alias("w"),
-    )
-    return slots.select(
-        "ville",
-        F.col("slot.start").alias("date_heure"),
-        round_half_up(F.col("t"), 2).alias("temperature_reelle"),
-        round_half_up(F.col("v"), 2).alias("vent_reel"),
-        round_half_up(F.col("h"), 2).alias("humidite_reelle"),
-        F.col("w.categorie_meteo").alias("categorie_reelle"),
-        F.col("w.description_meteo").alias("description_reelle"),
-    )
+    return slot_means(hours.groupBy(slot, "ville"), F.col("slot.start"))
 
 
 def drain_windows(windows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
