@@ -69,7 +69,7 @@ def per_row(work: Callable[[], Callable], returns: str):
 def arrow_type(schema) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 
-    return toarrow_type(schema)
+    return to_arrow_type(schema)
 
 
 def new_place(spark: SparkSession, what: str) -> str:

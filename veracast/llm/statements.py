@@ -21,11 +21,12 @@ def _op1() -> str:
 with d as (select row_number() over () rid, doc_id, {_words(_ALNUM)} w from documents),
 i as (select cast(item_id as varchar) item, w, least(10, len(w)) width
       from (select item_id, {_words(_ALNUM)} w from benchmark) where len(w) > 0),
-iw as (select distinct item, width, array_to_string(w[k:k + width - 1], ' ') win
-       from (select *, unnest(range(1, len(w) - width + 2)) k from i)),
-dw as (select rid, k, width, array_to_string(w[k:k + width - 1], ' ') win
-       from (select rid, w, width, unnest(range(1, len(w) - width + 2)) k
-             from d, (select distinct width from iw))),
+iw as (select distinct item, width, unnest(list_transform(range(1, len(w) - width + 2),
+              lambda k: array_to_string(w[k:k + width - 1], ' '))) win from i),
+dw as (select rid, width, unnest(range(1, len(w) - width + 2)) k,
+              unnest(list_transform(range(1, len(w) - width + 2),
+                     lambda k: array_to_string(w[k:k + width - 1], ' '))) win
+       from d, (select distinct width from iw)),
 hits as (select rid, k, width, item from dw join iw using (width, win)),
 words as (select rid, count(distinct k + o) n_hit
           from (select distinct rid, k, unnest(range(0, width)) o from hits) group by rid),
@@ -42,9 +43,10 @@ def _op5() -> str:
 with d as (select row_number() over () rid, doc_id, coalesce(text, '') t,
                   regexp_extract_all(coalesce(text, ''), '{_SPACED}') w,
                   list_filter(string_split(coalesce(text, ''), chr(10)),
-                              x -> regexp_matches(x, '{_SPACED}')) lines from documents),
-windows as (select rid, k, hash(w[k:k + 7]) win
-            from (select rid, w, unnest(range(1, len(w) - 6)) k from d where len(w) >= 8)),
+                              lambda x: regexp_matches(x, '{_SPACED}')) lines from documents),
+windows as (select rid, unnest(range(1, len(w) - 6)) k,
+                   unnest(list_transform(range(1, len(w) - 6), lambda k: array_to_string(w[k:k + 7], ' '))) win
+            from d where len(w) >= 8),
 twice as (select rid, win from windows group by 1, 2 having count(*) > 1),
 repeats as (select rid, count(distinct k + o) n
             from (select rid, k, unnest(range(0, 8)) o from windows join twice using (rid, win)) group by 1),
