@@ -59,10 +59,22 @@ class RunEncoder:
 
     def __init__(self, path: str, offsets: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._offsets = offsets
+        # For lower-case ASCII words normalising and cutting at classes change nothing, so the same
+        # model runs without them; the last token of a word is known by its suffix.
+        self._plain = Tokenizer.from_file(path)
+        self._plain.normalizer = normalizers.Sequence([])
+        self._plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.vocabulary = self._tokenizer.get_vocab_size()
+        suffix = self._tokenizer.model.end_of_word_suffix or ""
+        self._ends = np.zeros(self.vocabulary, bool)
+        if suffix:
+            for token, i in self._tokenizer.get_vocab().items():
+                self._ends[i] = token.endswith(suffix)
+        self._by_suffix = bool(suffix) and not offsets
         self._forget()
 
     def _forget(self) -> None:
@@ -71,15 +83,20 @@ class RunEncoder:
         self._spans = np.zeros((0, 2), np.int64)
         self._start, self._length = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _learn(self, new: list[str]) -> None:
-        """Encode runs set side by side with spaces; a token's place tells whose it is."""
-        parts = [new[at : at + _PIECES_A_CALL] for at in range(0, len(new), _PIECES_A_CALL)]
+    def _learn(self, plain: list[str], other: list[str]) -> None:
+        """Encode runs set side by side with spaces: ``plain`` ones, then ``other`` ones."""
         ids, lengths, spans = [self._ids], [], [self._spans]
-        for part in parts:
+        texts = [" ".join(part) for part in _parts(plain)]
+        for code in self._plain.encode_batch_fast(texts, add_special_tokens=False):
+            own = np.array(code.ids, np.uint32)
+            ids.append(own)
+            lengths.append(np.diff(np.flatnonzero(self._ends[own]), prepend=-1))
+        for part in _parts(other):
             code = self._tokenizer.encode(" ".join(part), add_special_tokens=False)
             sizes = np.fromiter(map(len, part), np.int64, len(part)) + 1
             begin = np.cumsum(sizes) - sizes
             own = np.array(code.offsets, np.int64).reshape(-1, 2)
+            # A token's place tells whose it is.
             owner = np.searchsorted(begin, own[:, 0], "right") - 1
             lengths.append(np.bincount(owner, minlength=len(part)))
             ids.append(np.array(code.ids, np.uint32))
@@ -96,8 +113,13 @@ class RunEncoder:
         known = self._row
         new = [r for r in runs if r not in known]
         if new:
-            known.update(zip(new, range(len(known), len(known) + len(new))))
-            self._learn(new)
+            plain, other = [], []
+            for r in new:
+                easy = self._by_suffix and r.isascii() and r.isalpha() and r.islower()
+                (plain if easy else other).append(r)
+            first = len(known)
+            known.update(zip(plain + other, range(first, first + len(new))))
+            self._learn(plain, other)
         return np.fromiter(map(known.__getitem__, runs), np.int64, len(runs))
 
     def encode(self, texts: pa.Array) -> Encoded:
@@ -125,6 +147,10 @@ class RunEncoder:
         return Encoded(self._ids[pick], base + spans[:, 0], base + spans[:, 1], counts)
 
 
+def _parts(runs: list[str]):
+    return [runs[at : at + _PIECES_A_CALL] for at in range(0, len(runs), _PIECES_A_CALL)]
+
+
 def byte_slices(texts: pa.Array, most: int = 8 << 20):
     """(start, rows) of slices holding about ``most`` bytes of text, one row at least."""
     size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)

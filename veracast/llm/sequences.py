@@ -1,7 +1,8 @@
 """Token ids as Arrow files of equal-length sequences with masks.
 
-Every shard is one Arrow file of record batches with two fixed-size-list columns, ``ids`` (uint32)
-and ``mask`` (uint8), ``length`` values a row and ``BATCH_ROWS`` rows a batch. Row i of a shard is
+Every shard is one Arrow file of record batches with two fixed-size-list columns and ``BATCH_ROWS``
+rows a batch: ``ids``, ``length`` values a row (uint16 if the vocabulary allows, else uint32), and
+``mask``, one bit a value packed into ``length`` / 8 bytes. Row i of a shard is
 row i % BATCH_ROWS of batch i // BATCH_ROWS, so any sequence is reached through the file's footer
 without reading others, and its values are a view of the mapped file. A shard's ids are those of its
 documents one after the other; only its last sequence is filled up, with id 0 and mask 0. Beside it
@@ -44,10 +45,14 @@ def _opened(path: str):
 class SequenceWriter:
     """Collects ids and writes them batch by batch."""
 
-    def __init__(self, sink, length: int = LENGTH):
+    def __init__(self, sink, length: int = LENGTH, vocabulary: int = 1 << 32):
+        if length % 8:
+            raise ValueError("length must be a multiple of 8")
         self.length = length
+        self._type = np.uint16 if vocabulary <= 1 << 16 else np.uint32
+        kind = pa.from_numpy_dtype(self._type)
         self._schema = pa.schema(
-            [("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))]
+            [("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length // 8))]
         )
         self._writer = pa.ipc.new_file(sink, self._schema)
         self._parts: list[np.ndarray] = []
@@ -70,8 +75,8 @@ class SequenceWriter:
         mask = np.zeros(len(flat), np.uint8)
         mask[:real] = 1
         columns = [
-            pa.FixedSizeListArray.from_arrays(pa.array(flat.astype(np.uint32)), self.length),
-            pa.FixedSizeListArray.from_arrays(pa.array(mask), self.length),
+            pa.FixedSizeListArray.from_arrays(pa.array(flat.astype(self._type)), self.length),
+            pa.FixedSizeListArray.from_arrays(pa.array(np.packbits(mask)), self.length // 8),
         ]
         self._writer.write_batch(pa.record_batch(columns, schema=self._schema))
 
@@ -99,10 +104,10 @@ class SequenceFile:
         return (self._batches - 1) * BATCH_ROWS + last
 
     def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of a sequence, as views of the file."""
+        """Ids and packed mask (``numpy.unpackbits``) of a sequence, as views of the file."""
         batch, row = self._file.get_batch(i // BATCH_ROWS), i % BATCH_ROWS
-        cut = slice(row * self.length, (row + 1) * self.length)
-        return tuple(_values(batch, c)[cut] for c in ("ids", "mask"))
+        sizes = (("ids", self.length), ("mask", self.length // 8))
+        return tuple(_values(batch, c)[row * n : (row + 1) * n] for c, n in sizes)
 
     def ids(self, start: int, n: int) -> Iterator[np.ndarray]:
         """The ids [start, start + n) of the shard, in one view for each batch they lie in."""
@@ -132,7 +137,7 @@ def _shard_writer(folder: str, tokenizer: str, end_id: int, length: int):
             store.open_output_stream(f"{root}.ids.arrow") as ids_sink,
             store.open_output_stream(f"{root}.docs.arrow") as docs_sink,
         ):
-            out = SequenceWriter(ids_sink, length)
+            out = SequenceWriter(ids_sink, length, max(encoder.vocabulary, end_id + 1))
             index = pa.ipc.new_file(docs_sink, _INDEX)
             docs = 0
             for batch in batches:
@@ -211,7 +216,7 @@ def _shard_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     for start, n in zip(starts.tolist(), counts.tolist()):
                         crc = 0
                         for part in ids.ids(start, n):
-                            crc = zlib.crc32(part.astype("<u4", copy=False), crc)
+                            crc = zlib.crc32(part.astype("<u4"), crc)
                         crcs.append(crc)
                     columns = [pa.array([shard] * len(crcs), pa.int32()), *place.columns]
                     yield pa.record_batch(
