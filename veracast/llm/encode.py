@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 TOKENIZER = "word_bpe_49k.json"
-_KEPT_RUNS = 1_200_000
+_KEPT_RUNS = 700_000
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -151,7 +151,7 @@ def _parts(runs: list[str]):
     return [runs[at : at + _PIECES_A_CALL] for at in range(0, len(runs), _PIECES_A_CALL)]
 
 
-def byte_slices(texts: pa.Array, most: int = 8 << 20):
+def byte_slices(texts: pa.Array, most: int = 4 << 20):
     """(start, rows) of slices holding about ``most`` bytes of text, one row at least."""
     size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     at = 0
