@@ -11,8 +11,9 @@
 
 Candidates are not all pairs of a bucket. First each class is tried against the best of its buckets'
 hubs (the smallest class of a bucket), one pair a class. Then only buckets that still hold several
-components are taken up, and only pairs across components, of which one side lies outside the
-bucket's largest one. So a bucket of many like copies costs as many pairs as it has members, while a
+components are taken up: each class outside a bucket's largest component is tried against one member
+of it, the best over its buckets, and at last against all classes of other components whose longer
+signature does not rule it out. So a bucket of many like copies costs as many pairs as it has members, while a
 link between unlike groups is still tried.
 
 At a similarity of 0.8 a pair shares no band with probability (1 - 0.8^6)^42 = 3e-6.
@@ -34,8 +35,10 @@ from veracast.llm.encode import byte_slices
 SHINGLE = 5
 PERCENT = 80
 HASHES, BANDS, ROWS = 256, 42, 6
+# Minima of the longer signature of documents that pairs across components are drawn from.
+LONG_HASHES = 2048
 # Standard deviations by which an estimate may miss the similarity before the pair is dropped.
-DEVIATIONS = 6.0
+DEVIATIONS = 4.5
 _FEATURES = "n bigint, k1 bigint, k2 bigint, bands array<bigint>, planes array<bigint>"
 
 
@@ -81,16 +84,17 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
 class Signer:
     """Minima, band keys, planes and digests of shingle sets."""
 
-    def __init__(self, seed: int = 5):
+    def __init__(self, hashes: int = HASHES, seed: int = 5):
         draw = np.random.default_rng(seed)
-        self._a = draw.integers(0, 1 << 31, HASHES, np.uint32) * np.uint32(2) + np.uint32(1)
-        self._b = draw.integers(0, 1 << 32, HASHES, np.uint32)
+        self.hashes = hashes
+        self._a = draw.integers(0, 1 << 31, hashes, np.uint32) * np.uint32(2) + np.uint32(1)
+        self._b = draw.integers(0, 1 << 32, hashes, np.uint32)
         self._band = draw.integers(0, 1 << 63, (BANDS, ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
         self._salt = draw.integers(0, 1 << 63, BANDS, np.uint64)
 
     def minima(self, hashes: np.ndarray) -> np.ndarray:
         small = (hashes >> np.uint64(32)).astype(np.uint32)
-        out = np.full(HASHES, np.uint32(0xFFFFFFFF))
+        out = np.full(self.hashes, np.uint32(0xFFFFFFFF))
         for at in range(0, len(small), 1024):
             part = self._a[:, None] * small[None, at : at + 1024] + self._b[:, None]
             np.minimum(out, part.min(axis=1), out=out)
@@ -101,8 +105,7 @@ class Signer:
         minima = np.array([self.minima(s) for s in sets], np.uint32).reshape(-1, HASHES)
         rows = minima[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
         keys = _mixed((rows * self._band).sum(axis=2, dtype=np.uint64) ^ self._salt).view(np.int64)
-        low = np.stack([minima & 1, (minima >> 1) & 1], axis=1).astype(np.uint8)
-        planes = np.packbits(low, axis=2).view(np.int64).reshape(len(sets), -1)
+        planes = _planes(minima)
         digests = np.array(
             [np.frombuffer(hashlib.blake2b(s, digest_size=16).digest(), np.int64) for s in sets]
         ).reshape(-1, 2)
@@ -116,6 +119,12 @@ class Signer:
         return pa.StructArray.from_arrays(columns, ["n", "k1", "k2", "bands", "planes"])
 
 
+def _planes(minima: np.ndarray) -> np.ndarray:
+    """The low bits of all minima, then their second bits, 64 to a number."""
+    low = np.stack([minima & 1, (minima >> 1) & 1], axis=1).astype(np.uint8)
+    return np.packbits(low, axis=2).view(np.int64).reshape(len(minima), minima.shape[1] // 32)
+
+
 def _lists(values: np.ndarray) -> pa.ListArray:
     n, k = values.shape
     flat = pa.array(values.reshape(-1))
@@ -135,6 +144,19 @@ def _signer(width: int):
     return F.arrow_udf(rows, _FEATURES).asNondeterministic()
 
 
+def _long_signer(width: int):
+    def rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        signer = Signer(LONG_HASHES, seed=6)
+        for texts in batches:
+            parts = [np.zeros((0, LONG_HASHES // 32), np.int64)]
+            for at, n in byte_slices(texts):
+                sets = shingle_sets(texts.slice(at, n), width)
+                parts.append(_planes(np.array([signer.minima(s) for s in sets], np.uint32)))
+            yield _lists(np.concatenate(parts))
+
+    return F.arrow_udf(rows, "array<bigint>").asNondeterministic()
+
+
 def _confirmer(width: int, percent: int):
     def rows(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for left, right in batches:
@@ -152,9 +174,9 @@ def _confirmer(width: int, percent: int):
     return F.arrow_udf(rows, "boolean").asNondeterministic()
 
 
-def differing(a: Column, b: Column) -> Column:
+def differing(a: Column, b: Column, hashes: int = HASHES) -> Column:
     """Minima of two signatures whose low bits differ."""
-    half = HASHES // 64
+    half = hashes // 64
     return sum(
         F.bit_count(
             a[i].bitwiseXOR(b[i]).bitwiseOR(a[i + half].bitwiseXOR(b[i + half]))
@@ -163,16 +185,15 @@ def differing(a: Column, b: Column) -> Column:
     )
 
 
-def similarity(differ: Column) -> Column:
-    """Similarity from the number of differing minima, freed of chance agreement."""
-    return (1 - differ / HASHES - 0.25) / 0.75
-
+def most_differing(percent: int, hashes: int = HASHES) -> int:
+    """Differing minima beyond which a pair of that similarity lies with vanishing probability.
 
-def most_differing(percent: int) -> int:
-    """Differing minima beyond which a pair of that similarity lies with vanishing probability."""
+    Two low bits agree by chance in a quarter of the minima that differ, so minima of sets with
+    similarity s agree in 1/4 + 3/4 s of all cases; the estimate's spread is that of a binomial.
+    """
     agree = 0.25 + 0.75 * percent / 100
-    spread = DEVIATIONS * (agree * (1 - agree) / HASHES) ** 0.5
-    return int(HASHES * (1 - agree + spread))
+    spread = DEVIATIONS * (agree * (1 - agree) / hashes) ** 0.5
+    return int(hashes * (1 - agree + spread))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -212,6 +233,24 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     return both.select("u", "v", _confirmer(width, percent)("_left", "_right").alias("linked"))
 
 
+def _open_members(banded: DataFrame, hubs: DataFrame, found: DataFrame, sides: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with the bucket's largest one, ``main``."""
+    placed = (
+        banded.join(hubs.select("key"), "key")
+        .join(found, "node", "left")
+        .select("key", "node", F.coalesce("comp", "node").alias("comp"))
+    )
+    groups = placed.groupBy("key", "comp").agg(F.count("*").alias("rows"))
+    open_keys = kept(
+        groups.groupBy("key")
+        .agg(F.max(F.struct("rows", "comp"))["comp"].alias("main"), F.count("*").alias("comps"))
+        .where("comps > 1")
+        .select("key", "main"),
+        "open",
+    )
+    return kept(placed.join(open_keys, "key").join(sides, "node"), "members")
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = SHINGLE,
@@ -244,7 +283,7 @@ def near_duplicates(
         "classes",
     )
     nodes = kept(
-        full.select("uid", "bands", "planes").join(classes.select("uid"), "uid"), "nodes"
+        full.select("uid", "n", "bands", "planes").join(classes.select("uid"), "uid"), "nodes"
     )
     banded = nodes.select(F.col("uid").alias("node"), F.explode("bands").alias("key"))
     hubs = kept(
@@ -272,49 +311,74 @@ def near_duplicates(
     links = first.where("linked").select("u", "v")
     found = components(links)
 
-    # Buckets that still hold several components.
-    placed = (
-        banded.join(hubs.select("key"), "key")
-        .join(found, "node", "left")
-        .select("key", "node", F.coalesce("comp", "node").alias("comp"))
+    # Buckets that still hold several components: first each outsider against one member, another in
+    # each bucket, of the bucket's largest component, then all pairs across components.
+    sides = nodes.select(F.col("uid").alias("node"), F.col("n").alias("size"), "planes")
+    members = _open_members(banded, hubs, found, sides)
+    hub = F.min_by(F.struct("node", "planes"), F.xxhash64("node", "key")).alias("hub")
+    chosen = kept(members.where("comp = main").groupBy("key").agg(hub), "chosen")
+    tried = (
+        members.where("comp <> main")
+        .join(chosen, "key")
+        .select(
+            "node", "main", F.col("hub.node").alias("hub"), differing(F.col("planes"), F.col("hub.planes")).alias("differ")
+        )
+        .where(F.col("differ") <= most)
+        .groupBy("node", "main")
+        .agg(F.min(F.struct("differ", "hub")).alias("best"))
+        .select(F.greatest("node", "best.hub").alias("u"), F.least("node", "best.hub").alias("v"))
+        .distinct()
     )
-    groups = placed.groupBy("key", "comp").agg(F.count("*").alias("size"))
-    open_keys = kept(
-        groups.groupBy("key")
-        .agg(F.max(F.struct("size", "comp"))["comp"].alias("main"), F.count("*").alias("comps"))
-        .where("comps > 1")
-        .select("key", "main"),
-        "open",
+    done = first.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    second = kept(
+        _confirmed(tried.join(done, ["u", "v"], "left_anti"), texts, shingle, percent), "confirmed"
     )
-    members = kept(
-        placed.join(open_keys, "key").join(
-            planes.select(F.col("uid").alias("node"), "planes"), "node"
-        ),
-        "members",
+    known = found.select(F.col("node").alias("u"), F.col("comp").alias("v"))
+    found = components(known.union(second.where("linked").select("u", "v")))
+    members = _open_members(banded, hubs, found, sides)
+    # The long signature is made for these documents alone.
+    signed = members.select(F.col("node").alias("uid")).distinct().join(texts, "uid")
+    signed = kept(
+        signed.select(F.col("uid").alias("node"), _long_signer(shingle)("text").alias("long")), "long"
     )
+    members = members.join(signed, "node")
     outside = members.where("comp <> main").select(
-        "key", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("planes").alias("p")
+        "key",
+        F.col("node").alias("x"),
+        F.col("comp").alias("cx"),
+        F.col("size").alias("nx"),
+        F.col("planes").alias("p"),
+        F.col("long").alias("lp"),
     )
     inside = members.select(
-        "key", F.col("node").alias("y"), F.col("comp").alias("cy"), F.col("planes").alias("q")
+        "key",
+        F.col("node").alias("y"),
+        F.col("comp").alias("cy"),
+        F.col("size").alias("ny"),
+        F.col("planes").alias("q"),
+        F.col("long").alias("lq"),
     )
     across = (
         outside.join(
             inside,
             (outside["key"] == inside["key"])
             & (F.col("cx") != F.col("cy"))
-            & (differing(F.col("p"), F.col("q")) <= most),
+            & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+            & (differing(F.col("p"), F.col("q")) <= most)
+            & (
+                differing(F.col("lp"), F.col("lq"), LONG_HASHES)
+                <= most_differing(percent, LONG_HASHES)
+            ),
         )
         .select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v"))
         .distinct()
     )
-    done = first.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    again = kept(_confirmed(across.join(done, ["u", "v"], "left_anti"), texts, shingle, percent), "confirmed")
-    # Components of the components found before.
-    more = again.where("linked").select("u", "v")
-    merged = components(
-        found.select(F.col("node").alias("u"), F.col("comp").alias("v")).union(more)
+    done = done.union(second.select("u", "v"))
+    again = kept(
+        _confirmed(across.join(done, ["u", "v"], "left_anti"), texts, shingle, percent), "confirmed"
     )
+    known = found.select(F.col("node").alias("u"), F.col("comp").alias("v"))
+    merged = components(known.union(again.where("linked").select("u", "v")))
 
     comps = kept(
         classes.join(merged, classes["uid"] == merged["node"], "left").select(
