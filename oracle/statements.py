@@ -19,7 +19,7 @@ def _ts(epoch: str) -> str:
 
 
 def _round(x: str, n: int) -> str:
-    return f"round(({x})::decimal(18,6), {n})::double"
+    return f"round(({x})::decimal(38,12), {n})::double"
 
 
 _CITY = """case user_id when 0 then 'Lisbon' when 1 then 'Paris' when 2 then 'Rome'
@@ -332,8 +332,10 @@ from raw_weather where time_api % 10 not in (0, 1, 4)""",
         ),
         "s7_quarantine": _with(
             """select case time_api % 10 when 0 then 'n' when 1 then '{' else '[' end as debut,
+  case time_api % 10 when 0 then null else record_id end as record_id,
+  case time_api % 10 when 0 then null when 1 then humidite + 0.5::double else humidite::double end as humidite,
   count(*) as nb_messages
-from raw_weather where time_api % 10 in (0, 1, 4) group by 1""",
+from raw_weather where time_api % 10 in (0, 1, 4) group by 1, 2, 3""",
             "raw_weather",
         ),
         "s9_added_column": _with(
@@ -376,10 +378,10 @@ def oracle_sql() -> dict[str, str]:
     humidite desc nulls last, vitesse_vent desc nulls last, categorie_meteo desc nulls last,
     description_meteo desc nulls last, time_api desc nulls last,
     forecast_timestamp desc nulls last) as rn
-  from raw_forecast where record_forecast_id is not null)
-where rn = 1 and record_forecast_id not in (
-  select record_forecast_id from raw_forecast
-  where record_forecast_id is not null and time_api is not null and (time_api // 10800) % 5 = 0)
+  from raw_forecast where record_forecast_id is not null) first_rows
+where rn = 1 and not exists (
+  select 1 from raw_forecast t where t.record_forecast_id = first_rows.record_forecast_id
+  and t.time_api is not null and (t.time_api // 10800) % 5 = 0)
 union all
 select {_RAW_FORECAST} from raw_forecast where record_forecast_id is null""",
         "raw_forecast",

@@ -189,3 +189,18 @@ def test_rebuild_writes_every_table(spark, tmp_path):
     assert out["quality_report"].count() == 15
     rebuild(m.raw_weather(), m.raw_forecast(), str(tmp_path), "2024-01-15")  # replaces, not adds
     assert spark.read.parquet(str(tmp_path / "previsions_cible_24h")).count() == m.m4().count()
+
+
+def test_legacy_value_counts_only_when_taken(spark):
+    bodies = [
+        '{"record_id": "a", "temperature": 7.5, "température": "chaud"}',
+        '{"record_id": "b", "température": "chaud"}',
+        '{"record_id": "c", "température": 7.5}',
+        '{"record_id": "d", "humidite": "55"}',
+        '{"record_id": "e", "humidite": 55.0}',
+        '{"record_id": "f", "temperature": "7.5"}',
+    ]
+    sent = spark.createDataFrame([(b.encode(),) for b in bodies], "value binary")
+    rows = msg.decode(sent, RAW_WEATHER).collect()
+    assert [r["is_good"] for r in rows] == [True, False, True, False, False, False]
+    assert rows[0]["temperature"] == rows[2]["temperature"] == 7.5

@@ -1,7 +1,9 @@
 """The whole chain as jobs: documents, topic, raw tables, models."""
 
+import pytest
+
 from veracast.__main__ import run
-from veracast.session import shared_folder, shuffle_settings
+from veracast.session import apply_settings, shared_folder, shuffle_settings
 from veracast.sources.from_events import current_documents, forecast_documents, read_events
 
 
@@ -28,6 +30,27 @@ def test_documents_to_models(spark, tmp_path):
     assert report.where("failures > 0").count() == 0
 
 
+def test_jobs_session_carries_the_settings(spark):
+    given = spark.sparkContext.getConf().get("spark.sql.shuffle.partitions")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    apply_settings(spark, 100 * 2**40)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "1024m"
+    # The submitter's own choice stays.
+    assert spark.conf.get("spark.sql.shuffle.partitions") == given
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    class Cluster:
+        conf = type("conf", (), {"get": staticmethod(lambda name, default: None)})
+        sparkContext = type(
+            "context", (), {"master": "yarn", "getCheckpointDir": staticmethod(lambda: None)}
+        )
+
+    with pytest.raises(ValueError):
+        shared_folder(Cluster())
+
+
 def test_shuffle_settings():
     small = shuffle_settings(10 * 2**20, 8)
     large = shuffle_settings(100 * 2**40, 4000)

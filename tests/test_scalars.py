@@ -11,7 +11,7 @@ def _one(spark, rows, schema, column):
 
 def test_round_half_up(spark):
     rows = [(x,) for x in (1.005, 2.675, 0.1 + 0.2, -1.005, 1e300, None, float("inf"))]
-    got = _one(spark, rows, "x double", s.round_half_up(F.col("x"), 2))
+    got = _one(spark, rows, "x double", s.s.round_half_up(F.col("x"), 2))
     assert got == [1.01, 2.68, 0.3, -1.01, 1e300, None, float("inf")]
 
 
@@ -76,3 +76,9 @@ def test_keys(spark):
         s.record_key(F.col("v"), s.epoch_instant(F.col("e"))),
     )
     assert got == ["Rome_2024-01-01T00:00:00+00:00", None]
+
+
+def test_rounding_near_ties_and_noise(spark):
+    values = [(2.4949999996, 2.49), (0.1 + 0.2, 0.3), (2.675, 2.68), (1.005, 1.01), (-1.005, -1.01)]
+    rows = spark.createDataFrame(values, "x double, want double")
+    assert rows.where(s.round_half_up(F.col("x"), 2) != F.col("want")).count() == 0

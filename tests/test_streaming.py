@@ -94,3 +94,13 @@ def test_windows_agree_with_batch(spark, tmp_path):
     # What is missing is still open at the end of input.
     missing = expected.join(slots, ["ville", "date_heure"], "left_anti")
     assert missing.where(F.unix_seconds("date_heure") + 10800 <= last - 3600).count() == 0
+
+
+def test_streams_read_a_folder_of_part_files(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    source = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    source.repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("t3_newest_per_hour_stream", "t4_slots_3h_stream"):
+        one = queries()[name](spark, "/root/testdata/sf0.001").count()
+        assert queries()[name](spark, str(tmp_path)).count() == one > 0

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from veracast.plans.rebuild import rebuild
-from veracast.session import pin_utc
+from veracast.session import apply_settings, pin_utc, size_of
 from veracast.sources import messages, payloads, tables
 from veracast.streaming.landing import start_landing
 
@@ -42,6 +42,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     job.add_argument("--raw", required=True)
     job.add_argument("--out", required=True)
     job.add_argument("--as-of")
+    for job in jobs.choices.values():
+        job.add_argument("--input-bytes", type=int, help="size of the input; measured if left out")
     job.add_argument("--forecast-feed", choices=FEEDS, default="forecast")
     return parser.parse_args(argv)
 
@@ -49,6 +51,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     pin_utc(spark)
+    folder = args.documents if args.job == "publish" else args.raw
+    size = size_of(spark, folder) if args.input_bytes is None else args.input_bytes
+    apply_settings(spark, size)
     if args.job == "rebuild":
         raw = [
             tables.read_raw(spark, table, f"{args.raw}/{table.name}")

@@ -16,11 +16,12 @@ def round_half_up(x: Column, digits: int) -> Column:
     """Round to ``digits`` places, halves away from zero, after dropping binary noise.
 
     An average such as 0.1 + 0.2 carries noise far below the sixth decimal; going through a decimal
-    makes the tie fall the same way whatever order the terms were added in. Values a decimal(18,6)
-    cannot hold (NaN, infinities, beyond 1e12) are rounded as doubles.
+    makes the tie fall the same way whatever order the terms were added in. Twelve places drop the
+    noise and keep values that lie just below a tie below it. Values a decimal(38,12) cannot hold
+    (NaN, infinities, beyond 1e26) are rounded as doubles.
     """
     value = x.cast("double")
-    exact = F.round(value.try_cast("decimal(18,6)"), digits).cast("double")
+    exact = F.round(value.try_cast("decimal(38,12)"), digits).cast("double")
     return F.coalesce(exact, F.round(value, digits))
 
 

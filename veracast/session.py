@@ -32,6 +32,22 @@ def shuffle_settings(input_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
+def apply_settings(spark: SparkSession, input_bytes: int) -> None:
+    """Give a job's session the settings for its input, save those the submitter has set."""
+    given = {name for name, _ in spark.sparkContext.getConf().getAll()}
+    wanted = shuffle_settings(input_bytes, spark.sparkContext.defaultParallelism)
+    for name, value in wanted.items():
+        if name not in given:
+            spark.conf.set(name, value)
+
+
+def size_of(spark: SparkSession, folder: str) -> int:
+    """Bytes below a folder, 0 if it does not exist."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.getContentSummary(path).getLength() if store.exists(path) else 0
+
+
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Every instant is read, cut and printed in UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -41,12 +57,15 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where that is unset (single-machine runs, tests) is a local checkpoint folder made.
+    Only where that is unset on a single machine (tests) is a local checkpoint folder made; on a
+    cluster each executor would write to its own disk, so the setting is asked for.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         context = spark.sparkContext
         if not context.getCheckpointDir():
+            if not context.master.startswith("local[") and context.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="veracast-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")

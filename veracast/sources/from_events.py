@@ -30,12 +30,20 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/events.parquet")
 
 
-def stream_events(spark: SparkSession, folder: str) -> DataFrame:
-    """The same table as a stream of files."""
+def stream_events(
+    spark: SparkSession, folder: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """The same table as a stream of files; the table is one file or a folder of part files."""
     pin_utc(spark)
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return reader.parquet(folder)
+    table = f"{folder}/events.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(table).schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if store.getFileStatus(path).isDirectory():
+        return reader.parquet(table)
+    return reader.option("pathGlobFilter", "events.parquet").parquet(folder)
 
 
 def weather_from_events(events: DataFrame) -> DataFrame:

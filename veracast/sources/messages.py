@@ -44,28 +44,34 @@ def open_topic(
 
 def _wire_schema(schema: T.StructType) -> T.StructType:
     legacy = [
-        T.StructField(LEGACY_NAMES[f.name], f.dataType)
+        T.StructField(LEGACY_NAMES[f.name], T.StringType())
         for f in schema.fields
         if f.name in LEGACY_NAMES
     ]
     return T.StructType([*schema.fields, *legacy, T.StructField(_BAD, T.StringType())])
 
 
-def _field(name: str, absent_only: bool) -> Column:
-    """A field, taken from its legacy name where the present one is absent from the message."""
+def _field(field: T.StructField, absent_only: bool) -> tuple[Column, Column | None]:
+    """A field, taken from its legacy name where the present one is absent from the message, and
+    whether the legacy value, if it is the one taken, is of the field's type.
+
+    Legacy values are read as text and converted only when taken, so one that nobody reads spoils
+    nothing. A quoted number under a legacy name is therefore read; under the present name a quoted
+    number, or a fraction for a whole number (also ``55.0``), is a wrong type.
+    """
+    name = field.name
     current = F.col(f"p.`{name}`")
     if name not in LEGACY_NAMES:
-        return current.alias(name)
-    legacy = F.col(f"p.`{LEGACY_NAMES[name]}`")
-    if not absent_only:
-        return F.coalesce(current, legacy).alias(name)
-    # The names are listed only for the rare row that has the legacy value and not the current one.
-    given_as_null = F.array_contains(F.json_object_keys("body"), F.lit(name))
-    return (
-        F.when(current.isNotNull() | legacy.isNull(), current)
-        .when(~given_as_null, legacy)
-        .alias(name)
-    )
+        return current.alias(name), None
+    text = F.col(f"p.`{LEGACY_NAMES[name]}`")
+    taken = current.isNull() & text.isNotNull()
+    if absent_only:
+        # The names are listed only for the rare row that has the legacy value alone.
+        taken = taken & ~F.coalesce(
+            F.array_contains(F.json_object_keys("body"), F.lit(name)), F.lit(False)
+        )
+    legacy = text.try_cast(field.dataType)
+    return F.when(taken, legacy).otherwise(current).alias(name), ~taken | legacy.isNotNull()
 
 
 def decode(messages: DataFrame, schema: T.StructType, absent_only: bool = True) -> DataFrame:
@@ -87,8 +93,12 @@ def decode(messages: DataFrame, schema: T.StructType, absent_only: bool = True)
         & F.is_valid_utf8(F.col("body"))
     )
     arrival = [c for c in ARRIVAL if c in messages.columns]
+    fields = [_field(f, absent_only) for f in schema.fields]
+    for _, fits in fields:
+        if fits is not None:
+            good = good & fits
     return read.select(
-        *[_field(n, absent_only) for n in schema.names],
+        *[value for value, _ in fields],
         "body",
         F.coalesce(good, F.lit(False)).alias("is_good"),
         *arrival,
