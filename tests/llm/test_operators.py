@@ -199,6 +199,18 @@ def test_near_duplicates_equal_brute_force(spark, docs, none):
     assert near_duplicates.near_duplicates(none).count() == 0
 
 
+@pytest.mark.parametrize("hashes, seed", [(256, 5), (2048, 6)])
+def test_signatures_keep_links_of_small_sets(hashes, seed):
+    draw, lost = np.random.default_rng(0), 0
+    signer, most = near_duplicates.Signer(hashes, seed), near_duplicates.most_differing(80, hashes)
+    for _ in range(1000):
+        full = draw.integers(0, 1 << 63, 5, np.uint64) * np.uint64(2)
+        p, q = near_duplicates._planes(np.array([signer.minima(full), signer.minima(full[1:])])).view(np.uint64)
+        bits = (p ^ q).reshape(2, -1)
+        lost += int(np.bitwise_count(bits[0] | bits[1]).sum()) > most
+    assert lost == 0
+
+
 def test_quality_rules_edges(docs, none):
     judged = quality_rules.judge(docs)
     assert judged.drop("_quality").exceptAll(docs).count() == 0 and judged.count() == len(ROWS)

@@ -3,7 +3,7 @@
 1. A document is the set of its distinct shingles of ``SHINGLE`` words. Documents with equal sets are
    one class, found by a 128-bit digest of the set; only one document of a class goes on.
 2. ``HASHES`` minima of the set give ``BANDS`` band keys of ``ROWS`` minima each, and a signature of
-   the two low bits of every minimum, packed as bit planes of four 64-bit numbers.
+   two bits of every minimum's mix, packed as bit planes of four 64-bit numbers.
 3. Documents sharing a band key are candidates. Bits that differ are counted on the planes; freed of
    chance agreement (1/4) they estimate the similarity, and pairs far below the threshold are dropped.
 4. Candidates are confirmed on the full shingle sets of both texts.
@@ -120,8 +120,16 @@ class Signer:
 
 
 def _planes(minima: np.ndarray) -> np.ndarray:
-    """The low bits of all minima, then their second bits, 64 to a number."""
-    low = np.stack([minima & 1, (minima >> 1) & 1], axis=1).astype(np.uint8)
+    """The low bits of all mixed minima, then their second bits, 64 to a number.
+
+    The hashes are linear, so whether two shingles' raw low bits agree is the same for all of them.
+    Mixed with a salt of each hash they agree by chance, which the estimate builds on.
+    """
+    salt = np.arange(1, minima.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    low = np.empty((len(minima), 2, minima.shape[1]), np.uint8)
+    for at in range(0, len(minima), 64):
+        mixed = _mixed(minima[at : at + 64].astype(np.uint64) ^ salt)
+        low[at : at + 64, 0], low[at : at + 64, 1] = mixed & 1, (mixed >> 1) & 1
     return np.packbits(low, axis=2).view(np.int64).reshape(len(minima), minima.shape[1] // 32)
 
 
