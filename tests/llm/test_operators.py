@@ -270,6 +270,21 @@ def test_secrets_kept_and_lookalikes_dropped(spark, none):
     assert secret_scan.scan(none, None).count() == 0
 
 
+def test_secret_features_come_from_the_corpus(spark):
+    body = "token rezilu rezilu build xq xq xq " + "ab " * 50
+    table = spark.createDataFrame([(1, body, "s")], "doc_id long, text string, source string")
+    corpus = secret_scan.corpus_of(table)
+    values = ["rezilu-000000000000", "bolani-000000000000", "RezilurezILU0000000", "abababababababab0", "xqxqxqxqxqxqxqxq0"]
+    found = spark.createDataFrame([(v, "s", "", "") for v in values], "value string, path string, before string, after string")
+    got = {r["value"]: r for r in secret_scan.features(found, corpus).collect()}
+    # Words are those the corpus has, not any with vowels.
+    assert got[values[0]]["dictionary"] == pytest.approx(6 / 19) and got[values[1]]["dictionary"] == 0
+    # "Rezilurez" and "ILU" are two runs; the corpus has neither.
+    assert got[values[2]]["dictionary"] == 0
+    # a is followed by b 50 times, x by q 3 times.
+    assert got[values[3]]["unlikely"] < got[values[4]]["unlikely"]
+
+
 def test_grades_are_ordered_and_learnt(spark, docs, none):
     found = queries()["op9_graded_quality"](spark, "/root/testdata/sf0.1")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

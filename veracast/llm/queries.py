@@ -103,7 +103,8 @@ def labelled_findings(docs: DataFrame) -> DataFrame:
 
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
-    model = secret_scan.train(labelled_findings(docs.where(fold_of(F.col("doc_id"), 5) != 0)))
+    labelled = labelled_findings(docs.where(fold_of(F.col("doc_id"), 5) != 0))
+    model = secret_scan.train(labelled, secret_scan.corpus_of(docs))
     return secret_scan.scan(docs, model).select(
         F.col("key").alias("doc_id"),
         "path",

@@ -4,18 +4,31 @@ A candidate is a run of 16 or more key characters holding a letter and a digit.
 length, how unusual its character transitions are in the corpus, how much of it dictionary words
 cover, its character mix, the path it comes from and the words beside it. Spark's random forest
 learns from labelled findings; candidates it takes for false positives are dropped from the report.
+
+Transitions and words are counted over all documents of the corpus. The transition table is bounded
+(128 x 128 characters) and goes to the tasks; words grow with the corpus and are joined.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
+from veracast.llm.common import kept
+from veracast.llm.language_model import word_counts
+
 CANDIDATE = r"[A-Za-z0-9+/_=.\-]{16,}"
 # Findings the forest learns from at most.
 TRAIN_FINDINGS = 20_000
+# Letters and count from which a word of the corpus is one of the dictionary.
+WORD_LETTERS, WORD_COUNT = 3, 2
 # Words beside a candidate that are looked for: fixed values.
 KEY_WORDS = ("token", "key", "secret", "password", "passwd", "pwd", "auth", "bearer", "credential")
 HARMLESS_WORDS = ("sha", "commit", "md5", "checksum", "uuid", "id", "version", "http", "www")
@@ -55,19 +68,103 @@ def _count(value: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(value, f"[^{pattern}]", "")).cast("double")
 
 
-def features(found: DataFrame) -> DataFrame:
+class Corpus(NamedTuple):
+    """``surprise[a, b]``: -log2 of the share of b among characters after a; ``words``: the dictionary."""
+
+    surprise: np.ndarray
+    words: DataFrame
+
+
+class Scanner(NamedTuple):
+    """The forest, or the one probability of labels of one kind, and the corpus of its features."""
+
+    forest: RandomForestClassificationModel | float
+    corpus: Corpus
+
+
+def _ascii(texts: list[str]) -> np.ndarray:
+    """Characters of all texts, each followed by 0; those beyond ASCII are 1."""
+    joined = "\0".join([*texts, ""]).encode("utf-32-le", "surrogatepass")
+    codes = np.frombuffer(joined, np.uint32)
+    return np.where(codes < 128, codes, 1).astype(np.int64)
+
+
+def corpus_of(docs: DataFrame, text: str = "text") -> Corpus:
+    """Transitions and words of all texts, in lower case. Dictionary words consist of letters alone."""
+    counts = kept(word_counts(docs, text), "words")
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << 14)
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            codes = _ascii(words)
+            sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+            times = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), sizes)
+            inside = (codes[:-1] > 0) & (codes[1:] > 0)
+            cells = (codes[:-1] * 128 + codes[1:])[inside]
+            table += np.bincount(cells, times[:-1][inside], minlength=1 << 14)
+        cells = np.flatnonzero(table)
+        yield pa.record_batch([pa.array(cells), pa.array(table[cells])], names=["cell", "times"])
+
+    found = counts.mapInArrow(pairs, "cell bigint, times double").groupBy("cell").agg(F.sum("times"))
+    table = np.ones(1 << 14)
+    for cell, times in found.collect():
+        table[cell] += times
+    table = table.reshape(128, 128)
+    surprise = np.log2(table.sum(axis=1, keepdims=True)) - np.log2(table)
+    bare = F.regexp_replace("word", r"^[^a-z0-9]+|[^a-z0-9]+$", "").alias("word")
+    words = (
+        counts.select(bare, "count")
+        .where(F.col("word").rlike(f"^[a-z]{{{WORD_LETTERS},}}$"))
+        .groupBy("word")
+        .agg(F.sum("count").alias("count"))
+        .where(F.col("count") >= WORD_COUNT)
+        .select("word")
+    )
+    return Corpus(surprise.astype(np.float32), kept(words, "dictionary"))
+
+
+def _unlikely(surprise: np.ndarray):
+    """Mean surprise of a value's transitions."""
+
+    def rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for values in batches:
+            texts = [v.lower() for v in values.to_pylist()]
+            codes = _ascii(texts)
+            inside = (codes[:-1] > 0) & (codes[1:] > 0)
+            own = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])[:-1][inside]
+            bits = np.bincount(own, surprise[codes[:-1], codes[1:]][inside], minlength=len(texts))
+            yield pa.array(bits / np.maximum(np.bincount(own, minlength=len(texts)), 1))
+
+    return F.arrow_udf(rows, "double")
+
+
+def _covered(found: DataFrame, corpus: Corpus) -> DataFrame:
+    """(value, covered): letters of each distinct value that lie in dictionary words, if any do.
+
+    Words of a value are its letter runs, which end where capitals follow small letters.
+    """
+    runs = F.regexp_extract_all(
+        "value", F.lit(f"[A-Z]?[a-z]{{{WORD_LETTERS - 1},}}|[A-Z]{{{WORD_LETTERS},}}"), F.lit(0)
+    )
+    rows = found.select("value").distinct().select("value", F.explode(runs).alias("word"))
+    rows = rows.select("value", F.lower("word").alias("word")).where(F.length("word") >= WORD_LETTERS)
+    rows = rows.join(corpus.words, "word")
+    return rows.groupBy("value").agg(F.sum(F.length("word")).alias("covered"))
+
+
+def features(found: DataFrame, corpus: Corpus) -> DataFrame:
     """Adds the features. Null context counts as empty, a null path as a path of its own."""
+    found = kept(found, "findings")
+    found = found.join(_covered(found, corpus), "value", "left")
     value, n = F.col("value"), F.length("value").cast("double")
     near = F.lower(F.concat_ws(" ", "before", "after"))
-    words = F.regexp_extract_all(F.lower(value), F.lit("[a-z]{4,}"), F.lit(0))
-    vowels = F.filter(words, lambda w: w.rlike("[aeiou]") & ~w.rlike("[^aeiou]{4}"))
     # A change of character class (lower, capital, digit, other) from one character to the next.
     classes = F.regexp_replace(
         F.regexp_replace(F.regexp_replace(value, "[a-z]+", "a"), "[A-Z]+", "A"), "[0-9]+", "0"
     )
-    pairs = F.length(F.regexp_replace(F.lower(value), "[aeiou][^aeiou0-9]|[^aeiou0-9][aeiou]", ""))
     any_of = lambda names: F.greatest(*[near.contains(w).cast("double") for w in names])
-    return found.withColumns(
+    out = found.withColumns(
         {
             "length": n,
             "digits": _count(value, "0-9") / n,
@@ -75,8 +172,8 @@ def features(found: DataFrame) -> DataFrame:
             "hex": value.rlike("^[0-9a-f]+$").cast("double"),
             "classes": sum(value.rlike(c).cast("double") for c in ("[a-z]", "[A-Z]", "[0-9]", "[+/_=.-]")),
             "changes": F.length(classes) / n,
-            "unlikely": pairs / n,
-            "dictionary": F.aggregate(vowels, F.lit(0), lambda a, w: a + F.length(w)) / n,
+            "unlikely": _unlikely(corpus.surprise)(value),
+            "dictionary": F.coalesce("covered", F.lit(0)) / n,
             "key_word": any_of(KEY_WORDS),
             "harmless_word": any_of(HARMLESS_WORDS),
             "assigned": F.coalesce(F.col("before").rlike(r"[=:]\s*[\"']?$"), F.lit(False)).cast("double"),
@@ -84,29 +181,40 @@ def features(found: DataFrame) -> DataFrame:
             "path": F.pmod(F.crc32(F.coalesce("path", F.lit("")).cast("binary")), F.lit(16)).cast("double"),
         }
     )
+    return out.drop("covered")
 
 
 def train(
-    labelled: DataFrame, most: int = TRAIN_FINDINGS, trees: int = 40, depth: int = 8, seed: int = 11
-) -> RandomForestClassificationModel | None:
+    labelled: DataFrame,
+    corpus: Corpus | None = None,
+    most: int = TRAIN_FINDINGS,
+    trees: int = 40,
+    depth: int = 8,
+    seed: int = 11,
+) -> Scanner | None:
     """Forest from labelled findings: the columns of ``candidates`` and ``label`` 0 or 1.
 
+    Without a ``corpus`` the findings and the text beside them are taken for it.
     At most ``most`` findings with the smallest hash are used; those without a label are not.
     None if the labels are not of both kinds.
     """
-    rows = features(labelled.where("label is not null"))
+    if corpus is None:
+        beside = F.concat_ws("", "before", "value", "after")
+        corpus = corpus_of(labelled.select(beside.alias("text")))
+    rows = features(labelled.where("label is not null"), corpus)
     rows = rows.select("value", F.col("label").cast("double").alias("label"), *FEATURES)
     rows = rows.orderBy(F.xxhash64(*rows.columns), "value").limit(most)
     kinds = rows.agg(F.min("label"), F.max("label")).first()
     if kinds[0] is None or kinds[0] == kinds[1]:
         return None
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, labelCol="label")
-    return forest.fit(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows))
+    fitted = forest.fit(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows))
+    return Scanner(fitted, corpus)
 
 
 def scan(
     docs: DataFrame,
-    model: RandomForestClassificationModel | None,
+    model: Scanner | None,
     least: float = 0.5,
     key: str = "doc_id",
     text: str = "text",
@@ -118,12 +226,13 @@ def scan(
     """
     found = candidates(docs, key, text, path)
     keep = ["key", "at", "place", "value", "probability"]
-    rows = features(found.withColumn("at", F.col("path")))
+    rows = found.withColumn("at", F.col("path"))
     if model is None:
         scored = rows.withColumn("probability", F.lit(1.0))
     else:
+        rows = features(rows, model.corpus)
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
-        scored = model.transform(vectors.drop("probability")).withColumn(
+        scored = model.forest.transform(vectors.drop("probability")).withColumn(
             "probability", vector_to_array("probability")[1]
         )
     return (
