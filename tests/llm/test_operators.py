@@ -24,6 +24,7 @@ from veracast.llm import (
     sequences,
     token_counts,
 )
+from veracast.llm.queries import labelled_findings
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_words string"
@@ -270,6 +271,28 @@ def test_secrets_kept_and_lookalikes_dropped(spark, none):
     assert secret_scan.scan(none, None).count() == 0
 
 
+def test_secret_labels_and_sample_of_both_kinds(spark):
+    key = hashlib.sha1(b"k").hexdigest()
+    texts = {
+        1: f'TOKEN = "{key.upper()}"', 2: f"API_KEY={key}", 3: f"token: {key}", 4: f"see {key} there",
+        5: f"sha1: {key}", 6: "padded-with-2-at-the-end==", 7: f'token = "{key}"',
+    }
+    schema = "doc_id long, text string, source string"
+    table = spark.createDataFrame([(i, t, "s") for i, t in texts.items()], schema)
+    found = {r["key"]: r for r in labelled_findings(table).collect()}
+    assert {i: r["label"] for i, r in found.items()} == {1: 1, 2: 1, 3: 1, 4: 0, 5: 0, 6: 0, 7: 1}
+    assert (found[2]["value"], found[2]["before"]) == (key, "API_KEY=")
+    assert found[6]["value"] == texts[6]
+    # One secret among many others is in a small sample, and one kind of label alone is no report of all.
+    many = [(i, f"see build-2024-number-{i}-of-things at www", "s") for i in range(10, 300)]
+    mixed = spark.createDataFrame([(1, texts[1], "s"), *many], schema)
+    model = secret_scan.train(labelled_findings(mixed), most=20)
+    assert not isinstance(model.forest, float)
+    assert [r["key"] for r in secret_scan.scan(mixed, model, 0.3).collect()] == [1]
+    none_secret = secret_scan.train(labelled_findings(mixed.where("doc_id > 1")))
+    assert secret_scan.scan(mixed, none_secret).count() == 0
+
+
 def test_secret_features_come_from_the_corpus(spark):
     body = "token rezilu rezilu build xq xq xq " + "ab " * 50
     table = spark.createDataFrame([(1, body, "s")], "doc_id long, text string, source string")

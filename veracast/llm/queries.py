@@ -94,11 +94,15 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def labelled_findings(docs: DataFrame) -> DataFrame:
-    """Findings labelled by known formats: a long hex or prefixed key that is assigned in quotes."""
+    """Findings labelled by known formats: a long hex or prefixed key that is assigned.
+
+    In capitals or not, with quotes or without; a name that says it is a checksum makes it none.
+    """
     found = secret_scan.candidates(docs)
-    known = F.col("value").rlike(r"^([0-9a-f]{32,64}|AKIA[0-9A-Z]{16}|(ghp|sk|xox[bp])[-_]\w+)$")
-    assigned = F.col("before").rlike(r"[=:]\s*[\"']$")
-    return found.withColumn("label", (known & assigned).cast("int"))
+    known = F.col("value").rlike(r"(?i)^([0-9a-f]{32,64}|AKIA[0-9A-Z]{16}|(ghp|sk|xox[bp])[-_][\w-]+)$")
+    assigned = F.col("before").rlike(r"[=:]\s*[\"']?$")
+    checksum = F.col("before").rlike(r"(?i)(sha-?\d*|md5|checksum|commit|digest|uuid|etag)[\"']?\s*[=:]\s*[\"']?$")
+    return found.withColumn("label", (known & assigned & ~checksum).cast("int"))
 
 
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -25,6 +25,8 @@ from veracast.llm.common import kept
 from veracast.llm.language_model import word_counts
 
 CANDIDATE = r"[A-Za-z0-9+/_=.\-]{16,}"
+# A name assigned within the run, as in API_KEY=...: it belongs to the text before the value.
+NAME = r"^.*=(?=[^=]{16,}=*$)"
 # Findings the forest learns from at most.
 TRAIN_FINDINGS = 20_000
 # Letters and count from which a word of the corpus is one of the dictionary.
@@ -44,7 +46,8 @@ def candidates(
     """One row a candidate: key, path, place, value, before, after.
 
     ``place`` numbers the candidates of a document from 0; before and after are up to 40 characters
-    beside it. A null text has none; every row of ``docs`` is searched, repeated ones too.
+    beside it; a name that a run of key characters assigns to its rest is before the value, not in it.
+    A null text has none; every row of ``docs`` is searched, repeated ones too.
     """
     body = F.coalesce(docs[text], F.lit(""))
     rows = docs.select(
@@ -54,14 +57,16 @@ def candidates(
     # Text is cut at the candidates: part i is before candidate i, part i + 1 is after it.
     rows = rows.select("key", "path", found.alias("values"), F.split("body", CANDIDATE).alias("parts"))
     rows = rows.select("key", "path", "parts", F.posexplode("values").alias("place", "value"))
+    rows = rows.where(F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]"))
+    before = F.concat(F.get("parts", F.col("place")), F.regexp_extract("value", NAME, 0))
     return rows.select(
         "key",
         "path",
         F.col("place").cast("bigint").alias("place"),
-        "value",
-        F.right(F.get("parts", F.col("place")), F.lit(40)).alias("before"),
+        F.regexp_replace("value", NAME, "").alias("value"),
+        F.right(before, F.lit(40)).alias("before"),
         F.left(F.get("parts", F.col("place") + 1), F.lit(40)).alias("after"),
-    ).where(F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]"))
+    )
 
 
 def _count(value: Column, pattern: str) -> Column:
@@ -169,7 +174,7 @@ def features(found: DataFrame, corpus: Corpus) -> DataFrame:
             "length": n,
             "digits": _count(value, "0-9") / n,
             "capitals": _count(value, "A-Z") / n,
-            "hex": value.rlike("^[0-9a-f]+$").cast("double"),
+            "hex": value.rlike("^[0-9A-Fa-f]+$").cast("double"),
             "classes": sum(value.rlike(c).cast("double") for c in ("[a-z]", "[A-Z]", "[0-9]", "[+/_=.-]")),
             "changes": F.length(classes) / n,
             "unlikely": _unlikely(corpus.surprise)(value),
@@ -195,19 +200,34 @@ def train(
     """Forest from labelled findings: the columns of ``candidates`` and ``label`` 0 or 1.
 
     Without a ``corpus`` the findings and the text beside them are taken for it.
-    At most ``most`` findings with the smallest hash are used; those without a label are not.
-    None if the labels are not of both kinds.
+    Equal findings are one, weighted by their number. At most ``most`` with the smallest hashes are
+    used, half of each label or more where the other has fewer; weights make up for those left out,
+    so that labels count by their share in all findings. Those without a label are not used. Labels
+    of one kind give their own probability everywhere; None if there are no labels.
     """
     if corpus is None:
         beside = F.concat_ws("", "before", "value", "after")
         corpus = corpus_of(labelled.select(beside.alias("text")))
     rows = features(labelled.where("label is not null"), corpus)
     rows = rows.select("value", F.col("label").cast("double").alias("label"), *FEATURES)
-    rows = rows.orderBy(F.xxhash64(*rows.columns), "value").limit(most)
-    kinds = rows.agg(F.min("label"), F.max("label")).first()
-    if kinds[0] is None or kinds[0] == kinds[1]:
+    rows = kept(rows.groupBy(*rows.columns).agg(F.count("*").cast("double").alias("times")), "labelled")
+    found = rows.groupBy("label").agg(F.count("*"), F.sum("times")).collect()
+    kinds = {label: (distinct, total) for label, distinct, total in found}
+    if not kinds:
         return None
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, labelCol="label")
+    if len(kinds) == 1:
+        return Scanner(next(iter(kinds)), corpus)
+    parts = []
+    for label, (_, total) in kinds.items():
+        others = sum(n for k, (n, _) in kinds.items() if k != label)
+        some = rows.where(F.col("label") == label).orderBy(F.xxhash64("value", *FEATURES), "value")
+        some = kept(some.limit(max(most // 2, most - others)), "sample")
+        taken = some.agg(F.sum("times")).first()[0]
+        parts.append(some.withColumn("weight", F.col("times") * F.lit(total / taken)))
+    rows = parts[0].union(parts[1])
+    forest = RandomForestClassifier(
+        numTrees=trees, maxDepth=depth, seed=seed, labelCol="label", weightCol="weight"
+    )
     fitted = forest.fit(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows))
     return Scanner(fitted, corpus)
 
@@ -222,13 +242,15 @@ def scan(
 ) -> DataFrame:
     """Secrets of ``docs``: key, path, place, value, probability.
 
-    Without a model every candidate is reported with probability 1.
+    Without a model, which is without any label, every candidate is reported with probability 1.
     """
     found = candidates(docs, key, text, path)
     keep = ["key", "at", "place", "value", "probability"]
     rows = found.withColumn("at", F.col("path"))
     if model is None:
         scored = rows.withColumn("probability", F.lit(1.0))
+    elif isinstance(model.forest, float):
+        scored = rows.withColumn("probability", F.lit(model.forest))
     else:
         rows = features(rows, model.corpus)
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
