@@ -15,6 +15,7 @@ from veracast.llm import (
     secret_scan,
     sequences,
     token_counts,
+    warc,
 )
 from veracast.llm.common import fold_of, table
 
@@ -139,6 +140,17 @@ def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "_lm.*")
 
 
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.archived(table(spark, folder, "pages"))
+    return found.select(
+        F.col("key").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
 def queries() -> dict:
     own = (
         op1_decontaminate,
@@ -151,5 +163,6 @@ def queries() -> dict:
         op8_secret_scan,
         op9_graded_quality,
         op10_language_model,
+        op11_warc,
     )
     return {f.__name__: f for f in own}

@@ -126,5 +126,21 @@ select doc_id, lang, source, domain, cast(n_tokens as bigint) n_tokens, cast(bud
 from placed"""
 
 
+def _op11() -> str:
+    return """
+with p as (select page_id, coalesce(html, '') h, strlen(coalesce(html, '')) n from pages),
+m as (select h, max(page_id) top from p where n >= 1000 group by h),
+r as (select page_id, h, n, top, top is null or page_id is not distinct from top first_one
+      from p left join m using (h))
+select page_id, cast(n as bigint) payload_bytes, sha1(h) payload_digest,
+       case when first_one then 'response' else 'revisit' end record_type,
+       case when not first_one then top end refers_to from r"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_decontaminate": _op1(), "op5_quality_rules": _op5(), "op6_mixture": _op6()}
+    return {
+        "op1_decontaminate": _op1(),
+        "op5_quality_rules": _op5(),
+        "op6_mixture": _op6(),
+        "op11_warc": _op11(),
+    }
