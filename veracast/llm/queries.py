@@ -11,6 +11,7 @@ from veracast.llm import (
     language_model,
     mixture,
     near_duplicates,
+    prefix_trie,
     quality_rules,
     secret_scan,
     sequences,
@@ -151,6 +152,25 @@ def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def rebuilt_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations that begin like the first one of their twenty, for ``crc32 mod 4`` turns."""
+    own = prefix_trie.turns_of(table(spark, folder, "conversations"))
+    borrowed = own.where(F.col("conv_id") % 20 == 0).select(
+        F.col("conv_id").alias("base"), F.slice("turns", 1, 3).alias("front")
+    )
+    taken = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    rows = own.select(
+        "*", (F.col("conv_id") - F.col("conv_id") % 20).alias("base"), taken.cast("int").alias("h")
+    ).join(borrowed, "base", "left")
+    front = F.slice(F.coalesce("front", F.slice("turns", 1, 0)), F.lit(1), F.col("h"))
+    rest = F.slice("turns", F.col("h") + 1, F.size("turns"))
+    return rows.select("conv_id", F.concat(front, rest).alias("turns"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(rebuilt_conversations(spark, folder))
+
+
 def queries() -> dict:
     own = (
         op1_decontaminate,
@@ -164,5 +184,6 @@ def queries() -> dict:
         op9_graded_quality,
         op10_language_model,
         op11_warc,
+        op12_prefix_trie,
     )
     return {f.__name__: f for f in own}

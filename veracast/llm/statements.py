@@ -137,10 +137,48 @@ select page_id, cast(n as bigint) payload_bytes, sha1(h) payload_digest,
        case when not first_one then top end refers_to from r"""
 
 
+# CRC-32 of a text, bit by bit: the polynomial reversed, all ones in and out.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split({x}, ''), lambda c: ascii(c)::bigint)),
+  lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+    lambda v, unused: xor(v >> 1, 3988292384::bigint * (v & 1)))), 4294967295::bigint)"""
+
+
+def _op12() -> str:
+    crc = _CRC32.format(x="cast(conv_id as varchar)")
+    return f"""
+with c as (select conv_id, turn, sha256(strlen(r) || ':' || r || t) s, len(regexp_extract_all(t, '{_SPACED}')) w
+           from (select conv_id, turn, coalesce(role, '') r, coalesce(text, '') t from conversations
+                 where conv_id is not null)),
+own as (select conv_id, list(struct_pack(s := s, w := w) order by turn nulls first, s) steps from c group by 1),
+based as (select conv_id, steps, conv_id - conv_id % 20 base, cast({crc} % 4 as int) h from own),
+whole as materialized (
+  select a.conv_id, list_concat(coalesce(b.steps[1:a.h], []), a.steps[a.h + 1:]) steps
+  from based a left join own b on b.conv_id = a.base),
+pre as materialized (
+  select conv_id, d, sha256(array_to_string(list_transform(steps[1:d], lambda x: x.s), ',')) p,
+         case when d > 0 then sha256(array_to_string(list_transform(steps[1:d - 1], lambda x: x.s), ',')) end up,
+         case when d > 0 then steps[d].w else 0 end w, d = len(steps) ended
+  from (select conv_id, steps, unnest(range(0, len(steps) + 1)) d from whole)),
+node as materialized (
+  select p, d, any_value(up) up, any_value(w) w, min(conv_id) conv, count(*) n,
+         sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where ended), '')) ends
+  from pre group by p, d),
+kids as (select up, d - 1 d, count(*) n from node where d > 0 group by 1, 2),
+below as (select a.p, a.d, sum(case when k.n is null then 1 else 0 end) leaves, sum((q.n - 1) * q.w) saved
+          from node q left join kids k on k.up = q.p and k.d = q.d
+          join pre a on a.conv_id = q.conv and a.d <= q.d group by 1, 2)
+select node.conv conv_id, node.d depth, parent.conv parent_conv_id, node.n n_convs,
+       coalesce(kids.n, 0) n_children, cast(leaves as bigint) n_leaves, cast(saved as bigint) saved_tokens,
+       node.ends ends_sha256
+from node join below using (p, d) left join kids on kids.up = node.p and kids.d = node.d
+left join node parent on parent.p = node.up and parent.d = node.d - 1"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_decontaminate": _op1(),
         "op5_quality_rules": _op5(),
         "op6_mixture": _op6(),
         "op11_warc": _op11(),
+        "op12_prefix_trie": _op12(),
     }
