@@ -16,6 +16,7 @@ from veracast.llm import (
     secret_scan,
     sequences,
     token_counts,
+    vector_codes,
     warc,
 )
 from veracast.llm.common import fold_of, table
@@ -171,6 +172,10 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.prefix_trie(rebuilt_conversations(spark, folder))
 
 
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.product_codes(table(spark, folder, "embeddings")).drop("label")
+
+
 def queries() -> dict:
     own = (
         op1_decontaminate,
@@ -185,5 +190,6 @@ def queries() -> dict:
         op10_language_model,
         op11_warc,
         op12_prefix_trie,
+        op13_vector_codes,
     )
     return {f.__name__: f for f in own}

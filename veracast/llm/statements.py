@@ -174,6 +174,46 @@ from node join below using (p, d) left join kids on kids.up = node.p and kids.d
 left join node parent on parent.p = node.up and parent.d = node.d - 1"""
 
 
+def _op13(rounds: int = 6) -> str:
+    """Parts as rows, and the codebooks of every round as a step of their own."""
+    near = """select x.rid, x.part, b.entry, x.v,
+              list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint dist
+       from parts x join {books} b using (part)
+       qualify row_number() over (partition by x.rid, x.part order by dist, b.entry) = 1"""
+    steps = [
+        """kept as materialized (
+  select row_number() over () rid, vec_id, label,
+         list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) v
+  from embeddings where embedding is not null
+       and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""",
+        """parts as materialized (
+  select rid, part, v[part * len(v) // 8 + 1:(part + 1) * len(v) // 8] v
+  from kept, (select unnest(range(0, 8)) part))""",
+        """b0 as materialized (
+  select part, e entry, v from parts
+  join (select rid, row_number() over (order by vec_id, v) - 1 e from kept qualify e < 16) using (rid))""",
+    ]
+    for i in range(rounds):
+        steps.append(f"n{i} as materialized ({near.format(books=f'b{i}')})")
+        steps.append(f"""b{i + 1} as materialized (
+  select part, entry, coalesce(m.v, b.v) v from b{i} b left join (
+    select part, entry, list(cast((s - ((s % c) + c) % c) // c as bigint) order by j) v from (
+      select part, entry, j, cast(sum(x) as bigint) s, count(*) c
+      from (select part, entry, unnest(v) x, unnest(range(0, len(v))) j from n{i}) group by 1, 2, 3)
+    group by 1, 2) m using (part, entry))""")
+    last = f"b{rounds}"
+    steps.append(f"final as materialized ({near.format(books=last)})")
+    steps.append("""coded as (
+  select rid, string_agg(printf('%02x', cast(entry as int)), '' order by part) code, cast(sum(dist) as bigint) error
+  from final group by rid)""")
+    steps.append(f"""digest as (
+  select sha256(string_agg(cast(x as varchar), ',' order by part, entry, j)) d
+  from (select part, entry, unnest(v) x, unnest(range(0, len(v))) j from {last}))""")
+    return f"""with {', '.join(steps)}
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) label_error, d codebooks_sha256
+from kept join coded using (rid), digest"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_decontaminate": _op1(),
@@ -181,4 +221,5 @@ def statements() -> dict[str, str]:
         "op6_mixture": _op6(),
         "op11_warc": _op11(),
         "op12_prefix_trie": _op12(),
+        "op13_vector_codes": _op13(),
     }

@@ -199,6 +199,7 @@ class WarcReader(DataSourceReader):
             raise ValueError(f"columns {unknown} are not among those of WARC records")
         self.schema, self.path = schema, options["path"]
         self.partition_bytes = int(options.get("partition_bytes", PARTITION_BYTES))
+        self.least_partitions = int(options.get("least_partitions", 1))
         self.skip_damaged = options.get("damaged", "fail") == "skip"
         self.predicates: list = []
 
@@ -237,7 +238,7 @@ class WarcReader(DataSourceReader):
         import heapq
 
         files = sorted(self.files(), key=lambda f: (-f[1], f[0]))
-        wanted = max(1, -(-sum(n for _, n in files) // self.partition_bytes))
+        wanted = max(self.least_partitions, -(-sum(n for _, n in files) // self.partition_bytes))
         heap = [(0, i, []) for i in range(min(wanted, max(1, len(files))))]
         for file in files:
             size, i, paths = heapq.heappop(heap)
@@ -399,8 +400,8 @@ class WarcWriter(DataSourceArrowWriter):
 
 
 class WarcSource(DataSource):
-    """``format("warc")``; options ``path``, ``partition_bytes``, ``damaged``; for writing
-    ``file_bytes``, ``compression`` (gzip or none), ``level`` and ``date``."""
+    """``format("warc")``; options ``path``, ``partition_bytes``, ``least_partitions`` (as far as there
+    are files), ``damaged``; for writing ``file_bytes``, ``compression`` (gzip or none), ``level`` and ``date``."""
 
     @classmethod
     def name(cls) -> str:
@@ -503,7 +504,8 @@ def archived(pages: DataFrame, **options: str) -> DataFrame:
     columns = [
         "record_type", "record_id", "refers_to", "payload_digest", "payload_bytes", "payload",
     ]
-    back = read_archives(pages.sparkSession, folder, columns)
+    cores = str(pages.sparkSession.sparkContext.defaultParallelism)
+    back = read_archives(pages.sparkSession, folder, columns, least_partitions=cores)
     whole = F.col("record_type") == "response"
     return back.where(F.col("record_type").isin("response", "revisit")).select(
         urn_key(F.col("record_id")).alias("key"),
