@@ -30,22 +30,6 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/events.parquet")
 
 
-def stream_events(
-    spark: SparkSession, folder: str, files_per_batch: int | None = None
-) -> DataFrame:
-    """The same table as a stream of files; the table is one file or a folder of part files."""
-    pin_utc(spark)
-    table = f"{folder}/events.parquet"
-    reader = spark.readStream.schema(spark.read.parquet(table).schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
-    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if store.getFileStatus(path).isDirectory():
-        return reader.parquet(table)
-    return reader.option("pathGlobFilter", "events.parquet").parquet(folder)
-
-
 def weather_from_events(events: DataFrame) -> DataFrame:
     """raw_weather: one observation per event."""
     pin_utc(events.sparkSession)
@@ -159,3 +143,35 @@ def wire_messages(events: DataFrame) -> DataFrame:
     return weather_from_events(events).selectExpr(
         "CAST(ville AS BINARY) AS key", f"CAST({spoiled} AS BINARY) AS value"
     )
+
+
+def deliveries(records: DataFrame, key: str) -> DataFrame:
+    """``records`` as two overlapping deliveries (column ``delivery``) of a topic.
+
+    The first leaves out a third of the records, the second another third. In the second, all values
+    are 100 degrees warmer, a fifth of the records comes once more, 200 degrees warmer, and a seventh
+    has lost its key.
+    """
+    listed = """explode(filter(array(
+      IF(humidite % 3 <> 2, named_struct('delivery', 0, 'warmer', 0D), NULL),
+      IF(humidite % 3 <> 0, named_struct('delivery', 1, 'warmer', 100D), NULL),
+      IF(humidite % 3 <> 0 AND humidite % 5 = 0, named_struct('delivery', 1, 'warmer', 200D), NULL)),
+      d -> d IS NOT NULL)) AS d"""
+    changed = {
+        key: f"IF(d.delivery = 1 AND humidite % 7 = 0, NULL, {key}) AS {key}",
+        "temperature": "temperature + d.warmer AS temperature",
+    }
+    return records.selectExpr("*", listed).selectExpr(
+        *[changed.get(c, c) for c in records.columns], "d.delivery"
+    )
+
+
+def junk_messages(records: DataFrame) -> DataFrame:
+    """(key, value): a message that is no JSON for each record of an eleventh."""
+    return records.where("humidite % 11 = 0").selectExpr(
+        "CAST(ville AS BINARY) AS key", "CAST('no json' AS BINARY) AS value"
+    )
+
+
+# Days of a month in three deliveries; a seventh of the seconds comes one delivery late.
+ARRIVES = "least((time_api - 1704067200) DIV 864000 + IF(time_api % 7 = 0, 1, 0), 2)"

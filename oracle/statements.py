@@ -25,6 +25,7 @@ def _round(x: str, n: int) -> str:
 _CITY = """case user_id when 0 then 'Lisbon' when 1 then 'Paris' when 2 then 'Rome'
   when 3 then 'Amsterdam' else 'V' || user_id end"""
 
+# Labels, thresholds and category names.
 _FRENCH = """case {c} when 'Rain' then 'Pluie' when 'Clouds' then 'Nuageux'
   when 'Clear' then 'Ciel dégagé' when 'Snow' then 'Neige' when 'Thunderstorm' then 'Orage'
   when 'Drizzle' then 'Bruine' else coalesce({c}, 'Inconnu') end"""
@@ -241,8 +242,60 @@ from (select *, {_FORECAST_RISK} as risk
   where rn = 1) f
 left join m6 r on r.ville = f.ville and r.categorie_prevue = f.categorie_prevue"""
 
+def _sent(table: str, key: str, columns: str) -> str:
+    """Two overlapping deliveries: other thirds, warmer values, repeats and lost keys in the second."""
+    changed = {
+        key: f"case when delivery = 1 and humidite % 7 = 0 then null else {key} end as {key}",
+        "temperature": "temperature + warmer as temperature",
+    }
+    taken = ", ".join(changed.get(c, c) for c in columns.split(", "))
+    return f"""select {taken}, delivery
+from {table}, (values (0, 0::double), (1, 100), (1, 200)) as d(delivery, warmer)
+where case warmer when 0 then humidite % 3 <> 2 when 100 then humidite % 3 <> 0
+  else humidite % 3 <> 0 and humidite % 5 = 0 end"""
+
+
+_RAW_WEATHER = (
+    "record_id, ville, temperature, humidite, vitesse_vent, categorie_meteo, description_meteo, "
+    "time_api, heure_run"
+)
+STEPS["sent_weather"] = _sent("raw_weather", "record_id", _RAW_WEATHER)
+STEPS["sent_forecast"] = _sent("raw_forecast", "record_forecast_id", _RAW_FORECAST)
+
+
+def _merged(table: str, key: str, columns: str, delivered: str = "") -> str:
+    """Rows with their place among those of their id: by delivery, collection time, then values."""
+    rest = [c for c in columns.split(", ") if c not in (key, "heure_run")]
+    ties = ", ".join(f"{c} desc nulls last" for c in rest)
+    return f"""select *, {key} is null or row_number() over (
+  partition by {key} order by {delivered}heure_run asc nulls first, {ties}) = 1 as lands
+from {table}"""
+
+
+STEPS["landed_weather"] = _merged("sent_weather", "record_id", _RAW_WEATHER, "delivery, ")
+STEPS["landed_forecast"] = _merged("sent_forecast", "record_forecast_id", _RAW_FORECAST, "delivery, ")
+
+# Observations in three deliveries; a row is late if its hour ended by the watermark of its delivery.
+STEPS["arrived"] = """select w.* exclude (delivery), delivery as batch,
+  case when time_api is null then 'untimed'
+    when time_api // 3600 * 3600 + 3600 <= newest - 7200 then 'late' else 'on_time' end as arrival
+from (select *, least((time_api - 1704067200) // 864000 + (time_api % 7 = 0)::int, 2)::bigint as delivery
+      from raw_weather) w
+left join (select n, max(time_api) as newest
+  from raw_weather, (values (1::bigint), (2)) as later(n)
+  where least((time_api - 1704067200) // 864000 + (time_api % 7 = 0)::int, 2) < n group by n) on n = delivery"""
+STEPS["on_time"] = "select * exclude (batch, arrival) from arrived where arrival = 'on_time'"
+STEPS["m1_on_time"] = STEPS["m1"].replace("from raw_weather", "from on_time")
+
 # Which steps each step reads.
 READS = {
+    "sent_weather": ("raw_weather",),
+    "sent_forecast": ("raw_forecast",),
+    "landed_weather": ("sent_weather",),
+    "landed_forecast": ("sent_forecast",),
+    "arrived": ("raw_weather",),
+    "on_time": ("arrived",),
+    "m1_on_time": ("on_time",),
     "ev": (),
     "raw_weather": ("ev",),
     "raw_forecast_once": ("ev",),
@@ -271,7 +324,8 @@ def _with(sql: str, *reads: str) -> str:
 
     for name in reads:
         visit(name)
-    steps = ",\n".join(f"{n} as (\n{STEPS[n]}\n)" for n in ordered)
+    # Worked out once each, however often they are read.
+    steps = ",\n".join(f"{n} as materialized (\n{STEPS[n]}\n)" for n in ordered)
     return f"with {steps}\n{sql}"
 
 
@@ -289,23 +343,19 @@ def _nulls(model: str, *columns: str) -> str:
     )
 
 
-_RAW_WEATHER = (
-    "record_id, ville, temperature, humidite, vitesse_vent, categorie_meteo, description_meteo, "
-    "time_api, heure_run"
-)
+def _body(*fields: tuple[str, str]) -> str:
+    """A JSON object as Spark writes it: in this order, without fields that are null."""
+    quoted = lambda v: f"'\"' || {v} || '\"'"
+    parts = []
+    for name, kind in fields:
+        value = f"cast({name} as varchar)" if kind == "number" else quoted(name)
+        parts.append(f"""case when {name} is not null then '"{name.split(' ')[0]}":' || {value} end""")
+    return "'{' || concat_ws(',', " + ", ".join(parts) + ") || '}'"
 
 
-def _first_rows(table: str, key: str, columns: str) -> str:
-    """The first row per id by collection time, and all rows without an id."""
-    rest = [c for c in columns.split(", ") if c not in (key, "heure_run")]
-    ties = ", ".join(f"{c} desc nulls last" for c in rest)
-    return f"""select {columns} from (
-  select *, row_number() over (partition by {key} order by heure_run asc nulls first, {ties}) as rn
-  from {table} where {key} is not null)
-where rn = 1
-union all
-select {columns} from {table} where {key} is null"""
-
+_NUMBERS = ("temperature", "humidite", "vitesse_vent", "time_api")
+_FIELDS = [(c, "number" if c in _NUMBERS else "text") for c in _RAW_WEATHER.split(", ")]
+_REST = [f for f in _FIELDS if f[0] in ("record_id", "ville", "vitesse_vent", "time_api", "heure_run")]
 
 # Hours and slots end before the last measurement less two hours, the stream's watermark.
 _CLOSED = "<= (select max(time_api) from raw_weather) - 7200"
@@ -330,32 +380,45 @@ from raw_weather, (values (1::bigint), (2), (3)) as g(i) where i <= time_api % 4
 from raw_weather where time_api % 10 not in (0, 1, 4)""",
             "raw_weather",
         ),
+        "s4_bounded_drain": _with(
+            f"""select {_RAW_WEATHER} from ({_merged('raw_weather', 'record_id', _RAW_WEATHER)})
+where lands""",
+            "raw_weather",
+        ),
         "s7_quarantine": _with(
-            """select case time_api % 10 when 0 then 'n' when 1 then '{' else '[' end as debut,
-  case time_api % 10 when 0 then null else record_id end as record_id,
-  case time_api % 10 when 0 then null when 1 then humidite + 0.5::double else humidite::double end as humidite,
-  count(*) as nb_messages
-from raw_weather where time_api % 10 in (0, 1, 4) group by 1, 2, 3""",
+            f"""select sha256(case time_api % 10 when 0 then 'no json'
+    when 1 then {_body(*_REST, ('humidite + 0.5::double', 'number'))}
+    else '[' || {_body(*_FIELDS)} || ']' end) as body_sha256, count(*) as nb_messages
+from raw_weather where time_api % 10 in (0, 1, 4) group by 1""",
             "raw_weather",
         ),
         "s9_added_column": _with(
-            "select * replace (null::bigint as forecast_timestamp) from raw_forecast",
+            """select * replace (case when humidite % 2 <> 0 then forecast_timestamp end
+  as forecast_timestamp) from raw_forecast""",
             "raw_forecast",
         ),
+        "s10_landing_reports": _with(
+            """select delivery::bigint as batch, count(*) + count(*) filter (where humidite % 11 = 0) as read,
+  count(*) filter (where lands) as inserted, count(*) filter (where not lands) as duplicates,
+  count(*) filter (where humidite % 11 = 0) as quarantined
+from landed_weather group by delivery""",
+            "landed_weather",
+        ),
         "t1_ingest_weather": _with(
-            _first_rows("raw_weather", "record_id", _RAW_WEATHER), "raw_weather"
+            f"select {_RAW_WEATHER} from landed_weather where lands", "landed_weather"
         ),
         "t2_ingest_forecast": _with(
-            _first_rows("raw_forecast", "record_forecast_id", _RAW_FORECAST), "raw_forecast"
+            f"select {_RAW_FORECAST} from landed_forecast where lands", "landed_forecast"
         ),
         "t3_newest_per_hour_stream": _with(
-            f"select * from m1 where epoch(heure_meteo)::bigint + 3600 {_CLOSED}", "m1"
+            f"select * from m1_on_time where epoch(heure_meteo)::bigint + 3600 {_CLOSED}", "m1_on_time"
         ),
         "t4_slots_3h_stream": _with(
-            f"""select * from ({STEPS['a1'].replace('from m3', 'from m1')})
+            f"""select * from ({STEPS['a1'].replace('from m3', 'from m1_on_time')})
 where epoch(date_heure)::bigint + 10800 {_CLOSED}""",
-            "m1",
+            "m1_on_time",
         ),
+        "t5_late_rows": _with("select * from arrived", "arrived"),
     }
 
 
@@ -373,39 +436,36 @@ def oracle_sql() -> dict[str, str]:
     }
     out["s8_merge_insert_only"] = _with(
         f"""select {_RAW_FORECAST} from (
-  select *, row_number() over (partition by record_forecast_id order by
-    heure_run asc nulls first, ville desc nulls last, temperature desc nulls last,
-    humidite desc nulls last, vitesse_vent desc nulls last, categorie_meteo desc nulls last,
-    description_meteo desc nulls last, time_api desc nulls last,
-    forecast_timestamp desc nulls last) as rn
-  from raw_forecast where record_forecast_id is not null) first_rows
-where rn = 1 and not exists (
-  select 1 from raw_forecast t where t.record_forecast_id = first_rows.record_forecast_id
-  and t.time_api is not null and (t.time_api // 10800) % 5 = 0)
-union all
-select {_RAW_FORECAST} from raw_forecast where record_forecast_id is null""",
+  select *, record_forecast_id is not null and bool_or(
+    coalesce((time_api // 10800) % 5 = 0, false)) over (partition by record_forecast_id) as held
+  from ({_merged('raw_forecast', 'record_forecast_id', _RAW_FORECAST)}))
+where lands and not held""",
         "raw_forecast",
     )
-    out["q1_not_null"] = _with(
-        "\nunion all\n".join(
-            (
-                _nulls("stg_weather_stream", "ville", "heure_meteo"),
-                _nulls(
-                    "stg_forecast",
-                    "ville",
-                    "date_heure_prevue",
-                    "date_heure_collecte",
-                    "id_prevision",
-                ),
-                _nulls("int_forecast_24h", "ville", "date_heure_prevue"),
-                _nulls("mart_weather_accuracy_24h", "ville", "date_heure"),
-            )
-        ),
-        "m1",
-        "m2",
-        "m4",
-        "m5",
+    out["s12_full_refresh"] = out["m7_next_two_days"]
+    missing = "\nunion all\n".join(
+        (
+            _nulls("stg_weather_stream", "ville", "heure_meteo"),
+            _nulls(
+                "stg_forecast", "ville", "date_heure_prevue", "date_heure_collecte", "id_prevision"
+            ),
+            _nulls("int_forecast_24h", "ville", "date_heure_prevue"),
+            _nulls("mart_weather_accuracy_24h", "ville", "date_heure"),
+        )
+    )
+    # Times the raw tables give but nobody can read; epochs are sound throughout.
+    unread = "\nunion all\n".join(
+        f"select '{t}', '{c}', count(*) filter (where {c} is not null and {bad})::bigint from {t}"
+        for t, columns in (
+            ("raw_weather", ("heure_run", "time_api")),
+            ("raw_forecast", ("heure_run", "time_api", "forecast_timestamp")),
+        )
+        for c in columns
+        for bad in ["try_cast(heure_run as timestamp) is null" if c == "heure_run" else "false"]
     )
+    models = ("m1", "m2", "m4", "m5")
+    out["q1_not_null"] = _with(missing, *models)
+    out["q2_counted_quality"] = _with(f"{missing}\nunion all\n{unread}", *models)
     out["k1_risk_by_city"] = _with(
         "select ville, niveau_risque, count(*) as nb_heures from m3 group by 1, 2", "m3"
     )

@@ -2,11 +2,17 @@
 
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
 from veracast.operators.merge import merge_insert_only
 from veracast.schemas import MESSAGE, RAW_FORECAST, RAW_WEATHER
 from veracast.sources import messages as msg
+from veracast.plans import quality
+from veracast.plans.rebuild import days_ahead
 from veracast.sources import payloads, tables
-from veracast.streaming.landing import land_batch
+from veracast.sources.versions import VersionedTable
+from veracast.streaming.landing import create, land_batch, landing_reports, read_quarantine
 
 T0 = 1704067200
 RUN = "2024-01-01T00:05:00.123456+00:00"
@@ -127,8 +133,8 @@ def test_merge_insert_only(spark):
 
 def test_land_batch_is_repeatable(spark, tmp_path):
     path, table = str(tmp_path / "raw"), tables.RAW_WEATHER_TABLE
-    tables.ensure_table(spark, table, path)
-    tables.ensure_table(spark, table, path)
+    create(spark, table, path)
+    create(spark, table, path)
 
     def body(key, temp, run=RUN):
         return json.dumps({"record_id": key, "ville": "Paris", "temperature": temp, "heure_run": run})
@@ -141,8 +147,8 @@ def test_land_batch_is_repeatable(spark, tmp_path):
     )
     report = land_batch(first, table, path, "s", 0)
     assert (report.read, report.inserted, report.duplicates, report.quarantined) == (6, 4, 1, 1)
-    again = land_batch(first, table, path, "s", 0)  # the same batch after a lost commit
-    assert (again.inserted, again.duplicates) == (2, 3)
+    again = land_batch(first, table, path, "s", 0)  # the same batch after a lost checkpoint
+    assert again == report
     got = tables.read_raw(spark, table, path)
     assert got.schema.names == RAW_WEATHER.names
     assert sorted(got.select("temperature").toPandas().temperature) == [1.0, 3.0, 4.0, 4.0]
@@ -154,17 +160,29 @@ def test_land_batch_is_repeatable(spark, tmp_path):
     report = land_batch(later, table, path, "s", 1)
     assert (report.inserted, report.duplicates) == (2, 2)
     assert tables.read_raw(spark, table, path).count() == 6
-    assert spark.read.parquet(f"{path}/quarantine").count() == 1
+    assert [bytes(r["body"]) for r in read_quarantine(spark, path).collect()] == [b"junk"]
+    assert tables.row_count(spark, path) == 6
+    told = landing_reports(spark, path).orderBy("batch").collect()
+    assert [(r["read"], r["inserted"], r["duplicates"], r["quarantined"]) for r in told] == [
+        (6, 4, 1, 1),
+        (4, 2, 2, 0),
+    ]
 
 
-def test_added_column_reads_as_null(spark, tmp_path):
-    path = str(tmp_path / "old")
-    old = spark.createDataFrame([("a", "P")], "record_forecast_id string, ville string")
-    old.write.parquet(path)
-    got = tables.scan_raw(spark, RAW_FORECAST, path)
+def test_files_of_two_schemas_are_one_scan(spark, tmp_path):
+    raw, table = VersionedTable(spark, str(tmp_path / "raw")), tables.RAW_FORECAST_TABLE
+    older = spark.createDataFrame([(ID, "P")], "record_forecast_id string, ville string")
+    newer = spark.createDataFrame(
+        [("Paris_2024-01-01T06:00:00+00:00", "P", T0)],
+        "record_forecast_id string, ville string, forecast_timestamp bigint",
+    )
+    for rows in (older, newer):
+        raw.commit(raw.version(), raw.add(rows, F.lit("2024-01-01"))[0])
+    got = tables.read_raw(spark, table, raw.path)
     assert got.schema.names == RAW_FORECAST.names
-    assert (got.first().ville, got.first().forecast_timestamp) == ("P", None)
-    assert tables.add_missing_columns(old, RAW_FORECAST).first() == got.first()
+    assert sorted(r["forecast_timestamp"] or 0 for r in got.collect()) == [0, T0]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Union" not in plan
 
 
 def test_rebuild_writes_every_table(spark, tmp_path):
@@ -172,7 +190,8 @@ def test_rebuild_writes_every_table(spark, tmp_path):
     from veracast.plans.rebuild import rebuild
 
     m = _Models(spark, "/root/testdata/sf0.001")
-    out = rebuild(m.raw_weather(), m.raw_forecast(), str(tmp_path), "2024-01-15")
+    known = {"raw_weather": m.raw_weather().count(), "raw_forecast": m.raw_forecast().count()}
+    out = rebuild(m.raw_weather(), m.raw_forecast(), str(tmp_path), "2024-01-15", known)
     assert {p.name for p in tmp_path.iterdir()} == {
         "stg_weather_stream",
         "previsions_meteo_nettoyees",
@@ -187,8 +206,53 @@ def test_rebuild_writes_every_table(spark, tmp_path):
     tabled = out["mart_next_two_days"]
     assert direct.exceptAll(tabled).count() == 0 and tabled.exceptAll(direct).count() == 0
     assert out["quality_report"].count() == 15
-    rebuild(m.raw_weather(), m.raw_forecast(), str(tmp_path), "2024-01-15")  # replaces, not adds
-    assert spark.read.parquet(str(tmp_path / "previsions_cible_24h")).count() == m.m4().count()
+    # The report is the one that scans give.
+    scanned = quality.not_null_report({n: out[n] for n in quality.NOT_NULL})
+    scanned = scanned.unionByName(quality.unreadable_times(m.raw_weather(), "raw_weather"))
+    scanned = scanned.unionByName(quality.unreadable_times(m.raw_forecast(), "raw_forecast"))
+    assert sorted(scanned.collect()) == sorted(out["quality_report"].collect())
+    # Two days' rows come from two days' files.
+    ahead = tables.read_model(spark, str(tmp_path), "stg_forecast", days_ahead("2024-01-15"))
+    days = {f.split("jour_cle=")[1].split("/")[0] for f in ahead.inputFiles()}
+    assert days == {"2024-01-16", "2024-01-17"}
+    assert len(out["stg_forecast"].inputFiles()) > len(ahead.inputFiles())
+
+
+def test_a_rebuild_that_dies_leaves_the_old_tables(spark, tmp_path, monkeypatch):
+    folder, old = str(tmp_path), spark.range(5).toDF("n")
+    tables.write_model(old, folder, "stg_forecast")
+    with pytest.raises(Exception, match="lost"):
+        # Some rows are written before the job fails.
+        fails = spark.range(0, 1000, 1, 10).select(
+            F.when(F.col("id") == 999, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("id")).alias("n")
+        )
+        tables.write_model(fails, folder, "stg_forecast")
+    assert tables.read_model(spark, folder, "stg_forecast").count() == 5
+    # Killed between the write and the commit.
+    monkeypatch.setattr(VersionedTable, "commit", lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt))
+    with pytest.raises(KeyboardInterrupt):
+        tables.write_model(spark.range(9).toDF("n"), folder, "stg_forecast")
+    monkeypatch.undo()
+    before = tables.read_model(spark, folder, "stg_forecast")
+    assert before.count() == 5
+    tables.write_model(spark.range(9).toDF("n"), folder, "stg_forecast")
+    assert tables.read_model(spark, folder, "stg_forecast").count() == 9
+    # A reader of the old version still has its files.
+    assert before.count() == 5
+
+
+def test_recount_when_a_task_was_counted_twice(spark):
+    raw = weather_rows(spark)
+    counted, seen = quality.counting_times(raw)
+    counted.collect()
+    assert quality.observed_times(raw, seen, raw.count()) == {"heure_run": 1, "time_api": 0}
+    twice = type("Twice", (), {"get": {"_rows": 2 * raw.count(), "heure_run": 2, "time_api": 0}})
+    assert quality.observed_times(raw, twice, raw.count()) == {"heure_run": 1, "time_api": 0}
+
+
+def weather_rows(spark):
+    rows = [(ID, "Paris", 1.0, 5, 1.0, None, None, T0, r) for r in (RUN, "garbage", None)]
+    return spark.createDataFrame(rows, RAW_WEATHER)
 
 
 def test_legacy_value_counts_only_when_taken(spark):

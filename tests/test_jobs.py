@@ -3,8 +3,9 @@
 import pytest
 
 from veracast.__main__ import run
+from veracast.sources.tables import RAW_FORECAST_TABLE, read_model, read_raw
 from veracast.session import apply_settings, shared_folder, shuffle_settings
-from veracast.sources.from_events import current_documents, forecast_documents, read_events
+from oracle.from_events import current_documents, forecast_documents, read_events
 
 
 def test_documents_to_models(spark, tmp_path):
@@ -23,11 +24,16 @@ def test_documents_to_models(spark, tmp_path):
         + ["--as-of", "2024-01-15"],
     )
     out = tmp_path / "out"
-    hours = spark.read.parquet(str(out / "stg_weather_stream"))
+    hours = read_model(spark, str(out), "stg_weather_stream")
     assert 900 < hours.count() <= 1000
-    assert spark.read.parquet(str(out / "previsions_cible_24h")).count() > 0
-    report = spark.read.parquet(str(out / "quality_report"))
+    assert read_model(spark, str(out), "int_forecast_24h").count() > 0
+    report = read_model(spark, str(out), "quality_report")
     assert report.where("failures > 0").count() == 0
+    path = str(tmp_path / "raw" / "raw_forecast")
+    before = read_raw(spark, RAW_FORECAST_TABLE, path)
+    rows = sorted(before.collect(), key=str)
+    run(spark, ["compact", "--feed", "forecast", "--raw", str(tmp_path / "raw"), "--least", "1"])
+    assert sorted(read_raw(spark, RAW_FORECAST_TABLE, path).collect(), key=str) == rows
 
 
 def test_jobs_session_carries_the_settings(spark):

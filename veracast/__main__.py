@@ -2,6 +2,7 @@
 
     spark-submit run.py publish  --feed weather  --documents DIR --format kafka --option topic=...
     spark-submit run.py land     --feed forecast --raw DIR --checkpoint DIR --format kafka --option ...
+    spark-submit run.py compact  --feed forecast --raw DIR
     spark-submit run.py rebuild  --raw DIR --out DIR [--as-of 2024-01-15]
 """
 
@@ -13,8 +14,8 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from veracast.plans.rebuild import rebuild
-from veracast.session import apply_settings, pin_utc, size_of
-from veracast.sources import messages, payloads, tables
+from veracast.session import apply_settings, pin_utc
+from veracast.sources import messages, payloads, store, tables
 from veracast.streaming.landing import start_landing
 
 FEEDS = {
@@ -27,6 +28,10 @@ FEEDS = {
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="veracast")
     jobs = parser.add_subparsers(dest="job", required=True)
+    job = jobs.add_parser("compact")
+    job.add_argument("--feed", choices=FEEDS, required=True)
+    job.add_argument("--raw", required=True)
+    job.add_argument("--least", type=int, default=8, help="writes a day has before they are joined")
     for name in ("publish", "land"):
         job = jobs.add_parser(name)
         job.add_argument("--feed", choices=FEEDS, required=True)
@@ -52,16 +57,21 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     pin_utc(spark)
     folder = args.documents if args.job == "publish" else args.raw
-    size = size_of(spark, folder) if args.input_bytes is None else args.input_bytes
+    size = store.size(spark, folder) if args.input_bytes is None else args.input_bytes
     apply_settings(spark, size)
     if args.job == "rebuild":
         raw = [
             tables.read_raw(spark, table, f"{args.raw}/{table.name}")
             for table, _ in (FEEDS["weather"], FEEDS[args.forecast_feed])
         ]
-        rebuild(*raw, args.out, args.as_of)
+        names = ("raw_weather", "raw_forecast")
+        rows = {n: tables.row_count(spark, f"{args.raw}/{n}") for n in names}
+        rebuild(*raw, args.out, args.as_of, rows)
         return
     table, flatten = FEEDS[args.feed]
+    if args.job == "compact":
+        tables.compact_raw(spark, table, f"{args.raw}/{table.name}", args.least)
+        return
     options = dict(o.split("=", 1) for o in args.option)
     if args.job == "publish":
         documents = spark.read.schema("ville string, body string").json(args.documents)

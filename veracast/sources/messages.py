@@ -8,7 +8,13 @@ from veracast.operators.once import computed_once
 from veracast.schemas import LEGACY_NAMES, MESSAGE
 
 _BAD = "_corrupt_record"
-_BATCH_MESSAGES = "20000000"
+# What one batch of a backlog takes in at most, by source.
+_LIMITS = {
+    "kafka": {"maxOffsetsPerTrigger": "20000000"},
+    "files": {"maxFilesPerTrigger": "1000"},
+}
+# What is kept of a message set aside.
+QUARANTINE = T.StructType([T.StructField("body", T.BinaryType())])
 # Columns a broker adds that say in what order messages arrived.
 ARRIVAL = ("timestamp", "partition", "offset")
 
@@ -33,12 +39,14 @@ def open_topic(
 
     With ``latest`` a first run sees only what arrives after it started; use ``earliest`` to load
     what is already there. A long backlog is drained in several batches, of the size given as
-    ``maxOffsetsPerTrigger`` (``maxFilesPerTrigger`` for files).
+    ``maxOffsetsPerTrigger`` (``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` for files).
     """
     if fmt == "kafka":
-        options.setdefault("maxOffsetsPerTrigger", _BATCH_MESSAGES)
-        options["startingOffsets"] = starting_offsets
+        options = {**_LIMITS["kafka"], "startingOffsets": starting_offsets, **options}
         return spark.readStream.format(fmt).options(**options).load()
+    # Spark takes one of its two limits.
+    if not {"maxfilespertrigger", "maxbytespertrigger"} & {o.lower() for o in options}:
+        options |= _LIMITS["files"]
     return spark.readStream.format(fmt).options(**options).schema(MESSAGE).load()
 
 
@@ -68,29 +76,29 @@ def _field(field: T.StructField, absent_only: bool) -> tuple[Column, Column | No
     if absent_only:
         # The names are listed only for the rare row that has the legacy value alone.
         taken = taken & ~F.coalesce(
-            F.array_contains(F.json_object_keys("body"), F.lit(name)), F.lit(False)
+            F.array_contains(F.json_object_keys("_text"), F.lit(name)), F.lit(False)
         )
     legacy = text.try_cast(field.dataType)
     return F.when(taken, legacy).otherwise(current).alias(name), ~taken | legacy.isNotNull()
 
 
 def decode(messages: DataFrame, schema: T.StructType, absent_only: bool = True) -> DataFrame:
-    """Messages to record columns plus ``body`` and ``is_good``.
+    """Messages to record columns plus ``body``, the bytes as they came, and ``is_good``.
 
     Not good: no value, broken UTF-8, anything but one JSON object, or a field of the wrong type.
     ``absent_only`` reads a legacy name only if the present name is absent; otherwise a null under
     the present name also falls back.
     """
     options = {"columnNameOfCorruptRecord": _BAD, "allowSingleQuotes": "false"}
-    text = messages.withColumn("body", F.col("value").cast("string"))
-    read = computed_once(text, p=F.from_json("body", _wire_schema(schema), options))
-    bare = F.btrim("body", F.lit(" \t\r\n"))
+    text = messages.withColumn("_text", F.col("value").cast("string"))
+    read = computed_once(text, p=F.from_json("_text", _wire_schema(schema), options))
+    bare = F.btrim("_text", F.lit(" \t\r\n"))
     is_object = F.startswith(bare, F.lit("{")) & F.endswith(bare, F.lit("}"))
     good = (
         F.col("p").isNotNull()
         & F.col(f"p.{_BAD}").isNull()
         & is_object
-        & F.is_valid_utf8(F.col("body"))
+        & F.is_valid_utf8(F.col("_text"))
     )
     arrival = [c for c in ARRIVAL if c in messages.columns]
     fields = [_field(f, absent_only) for f in schema.fields]
@@ -99,7 +107,7 @@ def decode(messages: DataFrame, schema: T.StructType, absent_only: bool = True)
             good = good & fits
     return read.select(
         *[value for value, _ in fields],
-        "body",
+        F.col("value").alias("body"),
         F.coalesce(good, F.lit(False)).alias("is_good"),
         *arrival,
     )

@@ -1,27 +1,24 @@
-"""Raw landing tables and model tables on shared storage.
+"""Raw landing tables and model tables on shared storage, all of them versioned.
 
-A raw table has two parts. ``keyed`` holds rows with a whole key, partitioned by a day read from the
-key itself: equal keys always share a partition, so a merge only reads the days its batch touches.
-``unkeyed`` holds rows whose key has a null part; nothing ever matches them, so they are kept per
-stream and batch, where a repeated batch overwrites its own rows instead of adding them again.
+A raw table is parted by the day read from the key itself: equal keys always share a part, so a merge
+reads only the days its batch touches. Rows whose key has a null part match nothing and have a part of
+their own, as have keys that name no day.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from veracast.functions.rules import all_present
 from veracast.functions.scalars import epoch_instant, parse_instant
 from veracast.schemas import RAW_FORECAST, RAW_WEATHER
 from veracast.session import pin_utc
+from veracast.sources.versions import VersionedTable
 
-DAY = "jour_cle"
-_TIMESTAMPS = "spark.sql.parquet.outputTimestampType"
-_UNKEYED_PARTS = T.StructType(
-    [T.StructField("stream", T.StringType()), T.StructField("batch", T.LongType())]
-)
+UNKEYED, UNDATED = "unkeyed", "undated"
 
 
 def day_in_id(key: str) -> Callable[[], Column]:
@@ -33,6 +30,11 @@ def day_of_epoch(name: str) -> Callable[[], Column]:
     return lambda: F.to_date(epoch_instant(F.col(name)))
 
 
+def day_part(instant: Column) -> Column:
+    """A day as the name of a part."""
+    return F.date_format(instant, "yyyy-MM-dd")
+
+
 @dataclass(frozen=True)
 class RawTable:
     """Schema, merge key and the day a key belongs to (a function of the key alone)."""
@@ -42,9 +44,10 @@ class RawTable:
     key: tuple[str, ...]
     day: Callable[[], Column]
 
-    @property
-    def stored_schema(self) -> T.StructType:
-        return T.StructType([*self.schema.fields, T.StructField(DAY, T.DateType())])
+    def part(self) -> Column:
+        """The part of the table a row belongs to."""
+        whole = all_present(*[F.col(k) for k in self.key])
+        return F.when(whole, F.coalesce(day_part(self.day()), F.lit(UNDATED))).otherwise(UNKEYED)
 
 
 RAW_WEATHER_TABLE = RawTable("raw_weather", RAW_WEATHER, ("record_id",), day_in_id("record_id"))
@@ -58,55 +61,26 @@ RAW_FORECAST_HISTORY_TABLE = RawTable(
 )
 
 
-def ensure_table(spark: SparkSession, table: RawTable, path: str) -> None:
-    """Create the empty table if it is not there."""
-    keyed = spark.createDataFrame([], table.stored_schema)
-    keyed.write.mode("ignore").partitionBy(DAY).parquet(f"{path}/keyed")
-    unkeyed = spark.createDataFrame([], T.StructType([*table.schema, *_UNKEYED_PARTS]))
-    unkeyed.write.mode("ignore").partitionBy("stream", "batch").parquet(f"{path}/unkeyed")
-
-
-def keyed_rows(spark: SparkSession, table: RawTable, path: str) -> DataFrame:
-    return spark.read.schema(table.stored_schema).parquet(f"{path}/keyed")
-
-
-def read_raw(spark: SparkSession, table: RawTable, path: str) -> DataFrame:
-    """All rows of a raw table. Files older than a column give null for it; no footers are merged."""
+def read_raw(
+    spark: SparkSession, table: RawTable, path: str, parts: Iterable[str] | None = None
+) -> DataFrame:
+    """Rows of a raw table, of some parts if given. Files older than a column give null for it."""
     pin_utc(spark)
-    unkeyed = spark.read.schema(T.StructType([*table.schema, *_UNKEYED_PARTS])).parquet(
-        f"{path}/unkeyed"
-    )
-    names = table.schema.names
-    return keyed_rows(spark, table, path).select(*names).unionByName(unkeyed.select(*names))
+    return VersionedTable(spark, path).read(table.schema, parts)
 
 
-def append_keyed(rows: DataFrame, table: RawTable, path: str) -> None:
-    """Append rows with a whole key. Rebalancing splits a heavy day and joins small ones."""
-    dated = rows.select(*table.schema.names, table.day().alias(DAY))
-    dated.hint("rebalance", DAY).write.mode("append").partitionBy(DAY).parquet(f"{path}/keyed")
+def row_count(spark: SparkSession, path: str) -> int | None:
+    """Rows of a raw table as its landings counted them, without reading it."""
+    return VersionedTable(spark, path).version().notes.get("rows")
 
 
-def write_unkeyed(rows: DataFrame, table: RawTable, path: str, stream: str, batch: int) -> None:
-    target = f"{path}/unkeyed/stream={stream}/batch={batch}"
-    rows.select(*table.schema.names).write.mode("overwrite").parquet(target)
-
-
-def scan_raw(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
-    """A raw table kept as plain Parquet files, read with its fixed schema."""
+def compact_raw(spark: SparkSession, table: RawTable, path: str, least: int = 8) -> list[str]:
+    """Join the writes of parts that have many; older versions stay readable until they expire."""
     pin_utc(spark)
-    return spark.read.schema(schema).parquet(path)
-
-
-def add_missing_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of ``schema`` in order, null where ``df`` lacks one."""
-    return df.select(
-        *[
-            F.col(f.name).cast(f.dataType).alias(f.name)
-            if f.name in df.columns
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    store = VersionedTable(spark, path)
+    joined = store.compact(table.schema, least)
+    store.expire()
+    return joined
 
 
 # Tables whose stored name differs from the model's.
@@ -123,19 +97,27 @@ def model_path(folder: str, model: str) -> str:
     return f"{folder.rstrip('/')}/{ALIASES.get(model, model)}"
 
 
-def write_model(df: DataFrame, folder: str, model: str, sort_by: str | None = None) -> DataFrame:
-    """Replace a model's table and return it as read back.
+def write_model(
+    df: DataFrame,
+    folder: str,
+    model: str,
+    part: Column | None = None,
+    checks: dict[str, Column] | None = None,
+) -> tuple[DataFrame, dict[str, int]]:
+    """Replace a model's table; returns it as read back, and how many rows meet each check.
 
-    Reading back cuts the lineage: later models start from files that outlive any executor.
-    ``sort_by`` orders each file by a time column, so range filters can skip pages without a shuffle.
+    Readers see the old table until the new one is whole, also if the job dies on the way. Reading
+    back cuts the lineage: later models start from files that outlive any executor. ``part`` lays
+    the table out in parts (days), which a reader can ask for.
     """
-    spark, path, schema = df.sparkSession, model_path(folder, model), df.schema
-    ordered = df.sortWithinPartitions(sort_by) if sort_by else df
-    # The default timestamp storage keeps no minima and maxima, so no filter could skip anything.
-    default = spark.conf.get(_TIMESTAMPS)
-    spark.conf.set(_TIMESTAMPS, "TIMESTAMP_MICROS")
-    try:
-        ordered.write.mode("overwrite").parquet(path)
-    finally:
-        spark.conf.set(_TIMESTAMPS, default)
-    return spark.read.schema(schema).parquet(path)
+    table = VersionedTable(df.sparkSession, model_path(folder, model))
+    counts = table.replace(df, part, checks)
+    return table.read(), counts
+
+
+def read_model(
+    spark: SparkSession, folder: str, model: str, parts: Iterable[str] | None = None
+) -> DataFrame:
+    """A model's table as last committed, or some of its parts."""
+    pin_utc(spark)
+    return VersionedTable(spark, model_path(folder, model)).read(parts=parts)

@@ -1,6 +1,7 @@
 """Streaming forms of the newest-per-hour and 3-hour-slot steps.
 
-Rows later than the watermark are dropped here; the batch models stay the full truth.
+Rows later than the watermark are dropped here; ``streaming.late`` tells them apart beforehand, counts
+and keeps them. The batch models stay the full truth.
 """
 
 from __future__ import annotations
