@@ -1,15 +1,15 @@
 """Versioned tables of Parquet files: every change is one new small file, so it shows whole or not.
 
     data/write=<id>/jour_cle=<part>/*.parquet     what one write added to a part (a day, say)
-    parts/<part>/<id>.json                        the writes a part consists of, with their bytes
+    lists/<id>.json                               the writes of the parts that one commit touched
     versions/<number>.json                        for each part the list that counts, notes, schema
 
 A reader takes the newest version file, then the lists of the parts it wants, and scans just those
-folders; no other file is listed. A writer adds files under a new id, lists the parts it touched anew,
-and commits by renaming the version file into place. What a failed writer left is named nowhere. Of
-two writers that started from one version the second one's commit fails.
+folders; no other file is listed. A writer adds files under a new id, lists the parts it touched anew
+in one file, and commits by renaming the version file into place. What a failed writer left is named
+nowhere. Of two writers that started from one version the second one's commit fails.
 
-The part lists keep version files small: they grow with the parts, not with the writes or files.
+The lists keep version files small: they grow with the parts, not with the writes or files.
 The rename has to be atomic, as it is on HDFS and local file systems.
 """
 
@@ -60,21 +60,21 @@ class VersionedTable:
             return Version()
         return Version(**json.loads(store.read_text(self.spark, self._version_path(number))))
 
-    def writes(self, version: Version, part: str) -> list[tuple[str, int]]:
-        """(write id, bytes) a part consists of."""
-        listed = version.parts.get(part)
-        if listed is None:
-            return []
-        text = store.read_text(self.spark, f"{self.path}/parts/{part}/{listed}.json")
-        return [tuple(w) for w in json.loads(text)]
+    def writes(self, version: Version, parts: Iterable[str] | None = None) -> dict[str, list[str]]:
+        """The ids of the writes that some parts (all by default) consist of."""
+        wanted = set(version.parts) if parts is None else set(parts) & set(version.parts)
+        lists = {i: self._list(i) for i in sorted({version.parts[p] for p in wanted})}
+        return {p: lists[version.parts[p]][p] for p in sorted(wanted)}
+
+    def _list(self, listed: str) -> dict[str, list[str]]:
+        return json.loads(store.read_text(self.spark, f"{self.path}/lists/{listed}.json"))
 
     def folders(self, version: Version, parts: Iterable[str] | None = None) -> list[str]:
         """The data folders of some parts, all by default."""
-        wanted = sorted(version.parts) if parts is None else sorted(set(parts))
         return [
             f"{self.path}/data/{_WRITE}={write}/{PART}={part}"
-            for part in wanted
-            for write, _ in self.writes(version, part)
+            for part, writes in self.writes(version, parts).items()
+            for write in writes
         ]
 
     def read(
@@ -100,12 +100,12 @@ class VersionedTable:
 
     def add(
         self, rows: DataFrame, part: Column | None, checks: dict[str, Column] | None = None
-    ) -> tuple[dict[str, tuple[str, int]], dict[str, int]]:
+    ) -> tuple[dict[str, str], dict[str, int]]:
         """Write rows as one new write, not yet part of any version.
 
         With a part for each row the rows are dealt out by it, heavy parts over several tasks.
-        Returns the parts written, each with (write id, bytes), and the number of rows (``rows``) and
-        of those meeting each check, counted by the write itself. They are counted behind the last
+        Returns the parts written, each with the write's id, and the number of rows (``rows``) and of
+        those meeting each check, counted by the write itself. They are counted behind the last
         shuffle, where a lost executor repeats no task whose rows are already written.
         """
         write, seen = uuid.uuid4().hex, Observation()
@@ -122,13 +122,12 @@ class VersionedTable:
             store.remove(self.spark, folder)
             return {}, found
         written = [n.split("=", 1)[1] for n in store.names(self.spark, folder) if "=" in n]
-        sized = {p: (write, store.size(self.spark, f"{folder}/{PART}={p}")) for p in written}
-        return sized, found
+        return {part: write for part in written}, found
 
     def commit(
         self,
         base: Version,
-        added: dict[str, tuple[str, int]],
+        added: dict[str, str],
         notes: dict | None = None,
         schema: T.StructType | None = None,
         instead: Iterable[str] | None = (),
@@ -140,12 +139,12 @@ class VersionedTable:
         parts = dict(base.parts) if instead is not None else {}
         for part in instead or ():
             parts.pop(part, None)
-        for part, write in added.items():
-            earlier = self.writes(base, part) if part in parts else []
+        if added:
+            earlier = self.writes(base, parts.keys() & added.keys())
+            lists = {part: [*earlier.get(part, ()), write] for part, write in added.items()}
             listed = uuid.uuid4().hex
-            text = json.dumps([*earlier, write])
-            store.write_text(self.spark, f"{self.path}/parts/{part}/{listed}.json", text)
-            parts[part] = listed
+            store.write_text(self.spark, f"{self.path}/lists/{listed}.json", json.dumps(lists))
+            parts |= dict.fromkeys(added, listed)
         new = Version(
             base.number + 1,
             parts,
@@ -168,7 +167,7 @@ class VersionedTable:
     def compact(self, schema: T.StructType, least: int = 8) -> list[str]:
         """Write parts that consist of ``least`` writes or more as one each; returns those parts."""
         base = self.version()
-        small = [p for p in base.parts if len(self.writes(base, p)) >= least]
+        small = [p for p, writes in self.writes(base).items() if len(writes) >= least]
         if not small:
             return []
         folders = self.folders(base, small)
@@ -190,21 +189,21 @@ class VersionedTable:
         old, new = numbers[:-keep], numbers[-keep:]
         if not old:
             return
-        named = lambda ns: {
-            (part, listed) for n in ns for part, listed in self.version(n).parts.items()
-        }
-        kept = named(new)
-        writes = lambda pairs: {
-            (part, write) for part, listed in pairs for write, _ in self._listed(part, listed)
-        }
-        gone = named(old) - kept
-        for part, write in writes(gone) - writes(kept):
+        kept_lists: set[str] = set()
+        kept: set[tuple[str, str]] = set()
+        gone: set[tuple[str, str]] = set()
+        lists: dict[str, dict] = {}
+        for numbered, pairs in ((new, kept), (old, gone)):
+            for n in numbered:
+                for part, listed in self.version(n).parts.items():
+                    if listed not in lists:
+                        lists[listed] = self._list(listed)
+                    pairs.update((part, write) for write in lists[listed][part])
+            if numbered is new:
+                kept_lists = set(lists)
+        for part, write in gone - kept:
             store.remove(self.spark, f"{self.path}/data/{_WRITE}={write}/{PART}={part}")
         for n in old:
             store.remove(self.spark, self._version_path(n))
-        for part, listed in gone:
-            store.remove(self.spark, f"{self.path}/parts/{part}/{listed}.json")
-
-    def _listed(self, part: str, listed: str) -> list[tuple[str, int]]:
-        text = store.read_text(self.spark, f"{self.path}/parts/{part}/{listed}.json")
-        return [tuple(w) for w in json.loads(text)]
+        for listed in lists.keys() - kept_lists:
+            store.remove(self.spark, f"{self.path}/lists/{listed}.json")
