@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -72,9 +73,16 @@ def arrow_type(schema) -> pa.DataType:
     return to_arrow_type(schema)
 
 
+# Folders named since the innermost open ``scratch`` began, one list for each that is open.
+_open: list[list[str]] = []
+
+
 def new_place(spark: SparkSession, what: str) -> str:
     """A new folder that the driver and all executors reach."""
-    return f"{shared_folder(spark)}/llm/{what}-{uuid.uuid4().hex}"
+    place = f"{shared_folder(spark)}/llm/{what}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(place)
+    return place
 
 
 def kept(df: DataFrame, what: str, place: str | None = None) -> DataFrame:
@@ -87,7 +95,54 @@ def kept(df: DataFrame, what: str, place: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
+@contextmanager
+def scratch(spark: SparkSession, *keep: str) -> Iterator[list[str]]:
+    """Delete the folders that ``new_place`` names inside, except those for the uses ``keep``.
+
+    Kept ones fall to the scratch around this one, if any, and are listed in what this yields.
+    """
+    _open.append([])
+    left: list[str] = []
+    try:
+        yield left
+    finally:
+        for place in _open.pop():
+            if place.rsplit("/", 1)[1].rsplit("-", 1)[0] in keep:
+                left.append(place)
+            else:
+                remove(spark, place)
+        if _open:
+            _open[-1].extend(left)
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """List the folders that ``new_place`` names inside, for whoever deletes them later."""
+    _open.append([])
+    places = _open[-1]
+    try:
+        yield places
+    finally:
+        _open.pop()
+        if _open:
+            _open[-1].extend(places)
+
+
 def remove(spark: SparkSession, place: str) -> None:
     """Delete a folder that ``new_place`` named, once nothing reads it any more."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first name like it that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def refuse_taken(df: DataFrame, name: str) -> None:
+    """Every operator's rule for its result column: a name that the table has already is refused."""
+    if name.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the table has a column {name} already; give another one as into")

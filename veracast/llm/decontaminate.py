@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from veracast.llm.common import alnum_words, kept, per_row
+from veracast.llm.common import alnum_words, kept, per_row, refuse_taken
 
 WINDOW = 10
 # Benchmark text per broadcast block. Windows overlap, so a table takes some 60 times its text.
@@ -153,6 +153,7 @@ def contamination(
     count once; every row of ``docs``, also a repeated one or one without an id, gives one row. With
     an empty benchmark nothing is hit. ``into`` may not be a column of ``docs``.
     """
+    refuse_taken(docs, into)
     spark = docs.sparkSession
     items = benchmark.select(
         F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("body")

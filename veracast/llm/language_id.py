@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
-from veracast.llm.common import arrow_type
+from veracast.llm.common import arrow_type, refuse_taken
 
 # The training sample: at most so many rows of a language, and so many bytes of all languages.
 ROWS_PER_LANGUAGE = 200
@@ -211,8 +211,9 @@ def identify(docs: DataFrame, model: tuple, into: str = "_lang", text: str = "te
 
     The score is the winner's share of 2 to the minus bits a byte over all languages. A null text,
     one without a letter, and every text if nothing was learnt, is ``und`` with score 0. Equal
-    phrases: the first language in order. Every row gives one row.
+    phrases: the first language in order. Every row gives one row. A column ``into`` is refused.
     """
+    refuse_taken(docs, into)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = arrow_type(StructType.fromDDL(RESULT))
 

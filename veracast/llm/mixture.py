@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from veracast.llm.common import kept
+from veracast.llm.common import kept, refuse_taken
 
 LEVELS = ("domain", "lang", "source")
 # Rows that should share the leading digits of the order key.
@@ -102,8 +102,10 @@ def mix(
     ``weights`` gives whole numbers for a level's nodes, 0 to leave one out. Nulls of a level are a
     node of their own. Rows with equal ids within a leaf, and rows without one, have one place in
     the order and are taken together. Texts without words cost nothing and come with the part of
-    the order they lie in; a leaf without a budget gives none. An empty table gives none.
+    the order they lie in; a leaf without a budget gives none. An empty table gives none. A column
+    ``into`` of ``docs`` is refused.
     """
+    refuse_taken(docs, into)
     slim = kept(
         docs.select(
             domain.alias("domain"),

@@ -20,6 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from veracast.llm.common import refuse_taken
 from veracast.llm.encode import RunEncoder, byte_slices, tokenizer_path
 
 RULES = ("first", "last", "most")
@@ -109,4 +110,5 @@ def section_tokens(
     if rule not in RULES:
         raise ValueError(f"rule {rule!r} is none of {RULES}")
     counter = _counter(tokenizer or tokenizer_path(), end, rule)
+    refuse_taken(docs, into)
     return docs.withColumn(into, counter(F.col(text)))
