@@ -16,7 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 TOKENIZER = "word_bpe_49k.json"
-_KEPT_RUNS = 700_000
+# What the store of a task may hold: bytes of its runs and what a run costs beside them.
+_STORE_BYTES, _RUN_BYTES = 64 << 20, 140
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -65,7 +66,7 @@ class RunEncoder:
         self._offsets = offsets
         # For lower-case ASCII words normalising and cutting at classes change nothing, so the same
         # model runs without them; the last token of a word is known by its suffix.
-        self._plain = Tokenizer.from_file(path)
+        self._plain = Tokenizer(self._tokenizer.model)
         self._plain.normalizer = normalizers.Sequence([])
         self._plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.vocabulary = self._tokenizer.get_vocab_size()
@@ -79,6 +80,7 @@ class RunEncoder:
 
     def _forget(self) -> None:
         self._row: dict[str, int] = {}
+        self._held = 0
         self._ids = np.zeros(0, np.uint32)
         self._spans = np.zeros((0, 2), np.int64)
         self._start, self._length = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -108,7 +110,7 @@ class RunEncoder:
         self._ids, self._spans = np.concatenate(ids), np.concatenate(spans)
 
     def _rows(self, runs: list[str]) -> np.ndarray:
-        if len(self._row) > _KEPT_RUNS:
+        if self._held > _STORE_BYTES:
             self._forget()
         known = self._row
         new = [r for r in runs if r not in known]
@@ -118,6 +120,7 @@ class RunEncoder:
                 easy = self._by_suffix and r.isascii() and r.isalpha() and r.islower()
                 (plain if easy else other).append(r)
             first = len(known)
+            self._held += sum(map(len, new)) + _RUN_BYTES * len(new)
             known.update(zip(plain + other, range(first, first + len(new))))
             self._learn(plain, other)
         return np.fromiter(map(known.__getitem__, runs), np.int64, len(runs))

@@ -2,13 +2,14 @@
 
 Every shard is one Arrow file of record batches with two fixed-size-list columns and ``BATCH_ROWS``
 rows a batch: ``ids``, ``length`` values a row (uint16 if the vocabulary allows, else uint32), and
-``mask``, one bit a value packed into ``length`` / 8 bytes. Row i of a shard is
+``mask``, as many booleans, which Arrow packs into bits. Row i of a shard is
 row i % BATCH_ROWS of batch i // BATCH_ROWS, so any sequence is reached through the file's footer
 without reading others, and its values are a view of the mapped file. A shard's ids are those of its
 documents one after the other; only its last sequence is filled up, with id 0 and mask 0. Beside it
 lies a second Arrow file with the place of each document: doc_id, first id, number of ids.
 
-Shards hold ascending, disjoint ranges of doc_id.
+Shards hold ascending ranges of doc_id. Texts are encoded where they are read; ids, not texts, are
+shuffled to the shards, whose bounds come from a sketch of the doc_ids.
 """
 
 from __future__ import annotations
@@ -28,8 +29,9 @@ from veracast.llm.encode import RunEncoder, byte_slices, tokenizer_path
 LENGTH = 1024
 BATCH_ROWS = 256
 END_ID = 2
-# Text to a shard.
-SHARD_BYTES = 96 << 20
+# Text to a shard, and the most shards: past that, larger ones.
+SHARD_BYTES, MOST_SHARDS = 96 << 20, 100_000
+_ENCODED = "shard int, doc_id bigint, h bigint, n bigint, ids binary"
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 _MANIFEST = "shard int, path string, docs bigint, tokens bigint"
 _ROWS = "shard int, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
@@ -45,14 +47,10 @@ def _opened(path: str):
 class SequenceWriter:
     """Collects ids and writes them batch by batch."""
 
-    def __init__(self, sink, length: int = LENGTH, vocabulary: int = 1 << 32):
-        if length % 8:
-            raise ValueError("length must be a multiple of 8")
-        self.length = length
-        self._type = np.uint16 if vocabulary <= 1 << 16 else np.uint32
-        kind = pa.from_numpy_dtype(self._type)
+    def __init__(self, sink, length: int = LENGTH, kind: np.dtype = np.dtype(np.uint32)):
+        self.length, self._type = length, kind
         self._schema = pa.schema(
-            [("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length // 8))]
+            [("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.bool_(), length))]
         )
         self._writer = pa.ipc.new_file(sink, self._schema)
         self._parts: list[np.ndarray] = []
@@ -69,21 +67,19 @@ class SequenceWriter:
             whole = len(flat) // size * size
             for at in range(0, whole, size):
                 self._write(flat[at : at + size], size)
-            self._parts, self._held = [flat[whole:]], len(flat) - whole
+            self._parts, self._held = [flat[whole:].copy()], len(flat) - whole
 
     def _write(self, flat: np.ndarray, real: int) -> None:
-        mask = np.zeros(len(flat), np.uint8)
-        mask[:real] = 1
         columns = [
             pa.FixedSizeListArray.from_arrays(pa.array(flat.astype(self._type)), self.length),
-            pa.FixedSizeListArray.from_arrays(pa.array(np.packbits(mask)), self.length // 8),
+            pa.FixedSizeListArray.from_arrays(pa.array(np.arange(len(flat)) < real), self.length),
         ]
         self._writer.write_batch(pa.record_batch(columns, schema=self._schema))
 
     def close(self) -> None:
         if self._held:
             flat = np.concatenate(self._parts)
-            filled = np.zeros(-(-len(flat) // self.length) * self.length, np.uint32)
+            filled = np.zeros(-(-len(flat) // self.length) * self.length, self._type)
             filled[: len(flat)] = flat
             self._write(filled, len(flat))
         self._writer.close()
@@ -103,55 +99,95 @@ class SequenceFile:
         last = self._file.get_batch(self._batches - 1).num_rows
         return (self._batches - 1) * BATCH_ROWS + last
 
-    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and packed mask (``numpy.unpackbits``) of a sequence, as views of the file."""
+    def __getitem__(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of a sequence, both views of the file."""
         batch, row = self._file.get_batch(i // BATCH_ROWS), i % BATCH_ROWS
-        sizes = (("ids", self.length), ("mask", self.length // 8))
-        return tuple(_values(batch, c)[row * n : (row + 1) * n] for c, n in sizes)
+        return (
+            _values(batch)[row * self.length : (row + 1) * self.length],
+            batch.column("mask").slice(row, 1).flatten(),
+        )
 
     def ids(self, start: int, n: int) -> Iterator[np.ndarray]:
         """The ids [start, start + n) of the shard, in one view for each batch they lie in."""
         size = self.length * BATCH_ROWS
         while n > 0:
-            flat = _values(self._file.get_batch(start // size), "ids")
+            flat = _values(self._file.get_batch(start // size))
             part = flat[start % size : start % size + n]
             yield part
             start, n = start + len(part), n - len(part)
 
 
-def _values(batch: pa.RecordBatch, column: str) -> np.ndarray:
-    return batch.column(column).flatten().to_numpy(zero_copy_only=True)
+def _values(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("ids").flatten().to_numpy(zero_copy_only=True)
 
 
-def _shard_writer(folder: str, tokenizer: str, end_id: int, length: int):
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+def shard_of(ids: np.ndarray, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Shard of each document: the number of bounds below its id.
+
+    An id that is several bounds, as very frequent ones are, goes on by the order of its hash.
+    """
+    low, high = np.searchsorted(bounds, ids, "left"), np.searchsorted(bounds, ids, "right")
+    place = hashes.astype(np.float64) / 2.0**64 + 0.5
+    return low + np.minimum((place * (high - low + 1)).astype(np.int64), high - low)
 
-        shard = TaskContext.get().partitionId()
-        # Each attempt writes files of its own; the manifest names those of the one that counts.
-        path = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}"
-        store, root = _opened(path)
-        store.create_dir(root.rsplit("/", 1)[0], recursive=True)
+
+def _encoder(tokenizer: str, end_id: int, bounds: np.ndarray):
+    """Rows (doc_id, h, text) to rows of ``_ENCODED``: ids as 16 or 32 bit numbers, end id included."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = RunEncoder(tokenizer)
-        with (
-            store.open_output_stream(f"{root}.ids.arrow") as ids_sink,
-            store.open_output_stream(f"{root}.docs.arrow") as docs_sink,
-        ):
-            out = SequenceWriter(ids_sink, length, max(encoder.vocabulary, end_id + 1))
-            index = pa.ipc.new_file(docs_sink, _INDEX)
+        kind = np.uint16 if max(encoder.vocabulary, end_id + 1) <= 1 << 16 else np.uint32
+        for batch in batches:
+            for at, n in byte_slices(batch.column(2)):
+                some = batch.slice(at, n)
+                code = encoder.encode(some.column(2))
+                ends = np.cumsum(code.counts)
+                flat = np.insert(code.ids, ends, end_id).astype(kind)
+                counts = code.counts + 1
+                starts = np.concatenate([[0], np.cumsum(counts)]) * flat.itemsize
+                data = pa.Array.from_buffers(
+                    pa.large_binary(), n, [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(flat)]
+                ).cast(pa.binary())
+                ids = some.column(0).fill_null(np.iinfo(np.int64).min).to_numpy()
+                shard = shard_of(ids, some.column(1).to_numpy(), bounds)
+                yield pa.record_batch(
+                    [pa.array(shard, pa.int32()), some.column(0), some.column(1), pa.array(counts), data],
+                    names=["shard", "doc_id", "h", "n", "ids"],
+                )
+
+    return rows
+
+
+def _shard_writer(folder: str, length: int):
+    """One shard a task, from its sorted rows of ``_ENCODED``."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from contextlib import ExitStack
+
+        out = None
+        with ExitStack() as files:
             docs = 0
             for batch in batches:
-                for at, n in byte_slices(batch.column(1)):
-                    rows = batch.slice(at, n)
-                    code = encoder.encode(rows.column(1))
-                    ends = np.cumsum(code.counts)
-                    flat = np.insert(code.ids, ends, end_id)
-                    counts = code.counts + 1
-                    starts = out.total + np.cumsum(counts) - counts
-                    out.add(flat)
-                    columns = [rows.column(0), pa.array(starts), pa.array(counts)]
-                    index.write_batch(pa.record_batch(columns, schema=_INDEX))
-                    docs += rows.num_rows
+                if not batch.num_rows:
+                    continue
+                counts = batch.column("n").to_numpy()
+                flat, kind = _flat_ids(batch.column("ids"), int(counts.sum()))
+                if out is None:
+                    shard = batch.column("shard")[0].as_py()
+                    # Each attempt writes files of its own; the manifest names those that count.
+                    path = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}"
+                    store, root = _opened(path)
+                    store.create_dir(root.rsplit("/", 1)[0], recursive=True)
+                    ids_sink = files.enter_context(store.open_output_stream(f"{root}.ids.arrow"))
+                    docs_sink = files.enter_context(store.open_output_stream(f"{root}.docs.arrow"))
+                    out, index = SequenceWriter(ids_sink, length, kind), pa.ipc.new_file(docs_sink, _INDEX)
+                starts = out.total + np.cumsum(counts) - counts
+                out.add(flat)
+                columns = [batch.column("doc_id"), pa.array(starts), pa.array(counts)]
+                index.write_batch(pa.record_batch(columns, schema=_INDEX))
+                docs += batch.num_rows
+            if out is None:
+                return
             out.close()
             index.close()
         row = [[shard], [path], [docs], [out.total]]
@@ -164,6 +200,14 @@ def _shard_writer(folder: str, tokenizer: str, end_id: int, length: int):
     return write
 
 
+def _flat_ids(column: pa.Array, n: int) -> tuple[np.ndarray, np.dtype]:
+    """The ids of all rows, and their type, which the bytes of an id tell."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    kind = np.dtype(f"u{len(data) // n}")
+    return data.copy().view(kind), kind
+
+
 def write_sequences(
     docs: DataFrame,
     folder: str,
@@ -177,22 +221,31 @@ def write_sequences(
     """Write shards below ``folder``; returns the manifest: shard, path, docs, tokens, base.
 
     ``base`` is the number of ids in all earlier shards. A null or empty text is its end id alone.
-    Rows without an id come first; equal ids lie side by side, ordered by a hash of their text, and
-    may be split over shards. An empty table gives an empty manifest. Other columns are not used.
+    Ids are whole numbers; any other kind stops the job. Rows without an id come first; equal ids lie
+    side by side, ordered by a hash of their text, and may be split over shards. An empty table gives an empty manifest. Other columns are not used.
     """
     spark = docs.sparkSession
     tokenizer = tokenizer or tokenizer_path()
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(
+        F.col(doc_id).cast("bigint").alias("doc_id"),
+        F.xxhash64(text).alias("h"),
+        F.col(text).alias("text"),
+    )
     size = rows.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     if not size[1]:
         return spark.createDataFrame([], f"{_MANIFEST}, base bigint")
     shards = max(1, -(-(size[0] or 0) // shard_bytes), spark.sparkContext.defaultParallelism)
-    order = ["doc_id", F.xxhash64("text")]
-    ranged = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order)
+    shards = min(shards, MOST_SHARDS)
+    # Rows without an id count as the least one.
+    places = F.coalesce("doc_id", F.lit(int(np.iinfo(np.int64).min)))
+    cuts = [i / shards for i in range(1, shards)]
+    bounds = rows.agg(F.percentile_approx(places, cuts, max(10_000, 20 * shards))).first()[0] if cuts else []
+    encoded = rows.select("doc_id", "h", "text").mapInArrow(
+        _encoder(tokenizer, end_id, np.array(sorted(bounds), np.int64)), _ENCODED
+    )
+    ranged = encoded.repartitionById(shards, F.col("shard")).sortWithinPartitions("doc_id", "h")
     place = f"{folder}/manifest"
-    ranged.mapInArrow(
-        _shard_writer(f"{folder}/shards", tokenizer, end_id, length), _MANIFEST
-    ).where("docs > 0").write.parquet(place)
+    ranged.mapInArrow(_shard_writer(f"{folder}/shards", length), _MANIFEST).write.parquet(place)
     manifest = spark.read.schema(_MANIFEST).parquet(place)
     # One row a shard.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
