@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from veracast.llm.common import arrow_type, alnum_words
+from veracast.llm.common import alnum_words, arrow_type, kept, refuse_taken
 
 DIMENSIONS = 1 << 16
 # The training sample: at most so many rated rows.
@@ -119,12 +119,20 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def train(
-    rated: DataFrame, text: str = "text", grade: str = "grade", rows: int = TRAIN_ROWS
+    docs: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    grade: str = "grade",
+    rows: int = TRAIN_ROWS,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Model from at most ``rows`` rated texts, those with the smallest text hash.
+    """Model from at most ``rows`` ratings, those of the smallest hash of the key.
 
-    Rows without a grade are not used; a null text is an empty one. Features are made in the tasks;
-    only their places come to the driver.
+    The ratings are chosen from ``labels`` alone, before any text is read; the chosen keys, at most
+    ``rows``, are broadcast to one scan of ``docs``. Copies of a text under several keys come in or
+    stay out each by its own key. Ratings without a key or a grade are not used, repeated ones count
+    once; of several texts of one key the one with the smallest hash counts, however long; a null
+    text is an empty one. Features are made in the tasks; only their places come to the driver.
     """
 
     def places(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -134,12 +142,16 @@ def train(
             yield pa.array(out, pa.list_(pa.int64()))
 
     hashed = F.arrow_udf(places, "array<bigint>").asNondeterministic()
-    graded = rated.where(F.col(grade).isNotNull()).select(
-        F.col(grade).cast("int").alias("grade"), F.col(text).alias("text")
+    rated = labels.select(F.col(key).alias("key"), F.col(grade).cast("int").alias("grade"))
+    rated = rated.where(F.col("key").isNotNull() & F.col("grade").isNotNull()).distinct()
+    chosen = kept(
+        rated.orderBy(F.xxhash64("key", F.lit("rated")), "key", "grade").limit(rows), "rated"
     )
-    order = [F.xxhash64("text", "grade"), F.col("grade")]
-    chosen = graded.select(hashed("text").alias("places"), "grade", order[0].alias("h"))
-    found = chosen.orderBy("h", "grade").limit(rows).select("places", "grade").toArrow()
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    texts = texts.join(F.broadcast(chosen), "key")
+    texts = texts.select("key", "grade", F.xxhash64("text").alias("h"), hashed("text").alias("places"))
+    one = texts.groupBy("key", "grade").agg(F.min_by("places", "h").alias("places"))
+    found = one.orderBy("key", "grade").select("places", "grade").toArrow()
     lists = [p.values.to_numpy() for p in found.column("places")]
     return fit(lists, np.array(found.column("grade").to_pylist(), np.int64))
 
@@ -155,9 +167,11 @@ def grade(
     """``docs`` with a struct column ``into``: expected grade, chance of grade >= ``mark``, selected.
 
     A text is selected if that chance is at least ``least``. A null text is graded as an empty one.
-    If nothing was rated, or all alike, the expected grade is 0 and nothing is selected. Every row
-    gives one row.
+    If nothing was rated, or all alike, the expected grade is 0 and nothing is selected. Every row,
+    also a repeated one, gives one row, and its whole text counts, however long. Equal chances are
+    equal results. A column ``into`` of ``docs`` is refused.
     """
+    refuse_taken(docs, into)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = arrow_type(StructType.fromDDL(RESULT))
 
