@@ -3,7 +3,8 @@
 Every line with a word is judged by itself, failing lines are removed, and a document that loses too
 much of its text with them is rejected. A line fails if
 
-* punctuation: over ``PUNCTUATION_PERCENT`` of its characters are neither letters nor digits;
+* punctuation: over ``PUNCTUATION_PERCENT`` of its characters are neither letters, their combining
+  marks nor digits;
 * navigation: it has at least ``SEPARATORS`` separators, or at most ``SHORT_WORDS`` words and no
   mark at its end;
 * boilerplate: it holds one of the phrases;
@@ -17,6 +18,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from veracast.llm.common import refuse_taken
+
 LEAST_WORDS = 20
 REPEATED_PERCENT = 30
 WINDOW = 8
@@ -28,7 +31,7 @@ KEPT_PERCENT = 50
 BLANK = r"[ \t-\r]"
 SEPARATOR_CHARS = "|»›•·"
 SYMBOL_CHARS = "#*$%&|<>"
-END_CLASS = r"[.!?…:;)\"”'’][ \t-\r]*$"
+END_CLASS = r"[.!?…:;)\"”'’।॥。！？][ \t-\r]*$"
 BLANKS = " \t\n\x0b\f\r"
 PHRASES = (
     "all rights reserved",
@@ -52,7 +55,7 @@ def words_of(text: Column) -> Column:
 
 def _line_fails(line: Column) -> Column:
     tight = F.length(F.translate(line, BLANKS, ""))
-    odd = tight - F.length(F.regexp_replace(line, r"[^\p{L}\p{N}]+", ""))
+    odd = tight - F.length(F.regexp_replace(line, r"[^\p{L}\p{M}\p{N}]+", ""))
     separators = F.length(line) - F.length(F.translate(line, SEPARATOR_CHARS, ""))
     low = F.lower(line)
     boilerplate = F.lit(False)
@@ -118,9 +121,10 @@ def judge(docs: DataFrame, into: str = "_quality", text: str = "text") -> DataFr
     """``docs`` with a struct column ``into``: figures, ``clean`` text, base_failed and kept.
 
     A null text has no words and no lines; with fewer than LEAST_WORDS words a document fails
-    whatever its lines. Every row gives one row. Columns named ``_words``, ``_lines``, ``_repeat``,
+    whatever its lines. Every row gives one row. A column ``into`` is refused. Columns named ``_words``, ``_lines``, ``_repeat``,
     ``_base``, ``_good``, ``_at`` and ``_pairs`` are set aside and put back.
     """
+    refuse_taken(docs, into)
     own = docs.columns
     all_columns = F.struct(*[docs[c] for c in own]).alias("_row")
     body = docs[text]

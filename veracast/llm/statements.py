@@ -52,10 +52,10 @@ repeats as (select rid, count(distinct k + o) n
             from (select rid, k, unnest(range(0, 8)) o from windows join twice using (rid, win)) group by 1),
 l as (select distinct rid, l from (select rid, unnest(lines) l from d)),
 figures as (select rid, l, len(regexp_replace(l, '[\\x20\\x09-\\x0D]+', '', 'g')) tight,
-                   len(regexp_replace(l, '[^\\p{{L}}\\p{{N}}]+', '', 'g')) plain,
+                   len(regexp_replace(l, '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', '', 'g')) plain,
                    len(l) - len(regexp_replace(l, '[|»›•·]', '', 'g')) separators,
                    len(regexp_extract_all(l, '{_SPACED}')) n,
-                   regexp_matches(l, '[.!?…:;)"”''’][\\x20\\x09-\\x0D]*$') ended,
+                   regexp_matches(l, '[.!?…:;)"”''’।॥。！？][\\x20\\x09-\\x0D]*$') ended,
                    {phrases} boiler from l),
 good as (select rid, sum(tight) chars from figures
          where not (100 * (tight - plain) > 20 * tight or separators >= 3 or (n <= 3 and not ended) or boiler)
@@ -87,7 +87,7 @@ def _shared(given: str, parent: str, by: str) -> str:
               from ({given}))))"""
 
 
-def _op6() -> str:
+def _op6(share: tuple[int, int] = (4, 5), epochs: int = 2) -> str:
     level1 = _shared(
         "select domain, max(wd) weight, cast(sum(room) as hugeint) room, (select total from whole) given from leaves group by domain",
         "",
@@ -106,9 +106,9 @@ def _op6() -> str:
     return f"""
 with d as (select doc_id, lang, source, coalesce('d' || (try_cast(substring(source, 4, 9) as int) % 4), 'other') domain,
                   len(regexp_extract_all(coalesce(text, ''), '{_SPACED}')) n_tokens from documents),
-leaves as (select domain, lang, source, sum(n_tokens) tokens, 2 * sum(n_tokens) room,
+leaves as (select domain, lang, source, sum(n_tokens) tokens, {epochs} * sum(n_tokens) room,
                   max({_case("domain", DOMAIN_WEIGHTS)}) wd, max({_case("lang", LANG_WEIGHTS)}) wl from d group by 1, 2, 3),
-whole as (select least(sum(tokens) * 4 // 5, sum(tokens) * 2) total from leaves),
+whole as (select least(sum(tokens) * {share[0]} // {share[1]}, sum(tokens) * {epochs}) total from leaves),
 l1 as {level1}, l2 as {level2}, l3 as {level3},
 plan as (select a.domain, a.lang, a.source, b.budget,
                 case when tokens > 0 then b.budget // tokens else 0 end full_epochs,
