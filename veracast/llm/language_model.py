@@ -1,16 +1,21 @@
 """Text scores from a log-bilinear language model trained with noise-contrastive estimation.
 
 A token is predicted from the two before it: their vectors, each through a matrix of its own place,
-add up to a predicted vector, whose product with a word's target vector plus its bias is the word's
-score. The vocabulary is the ``VOCABULARY`` - 1 most frequent words and one class of all others, so a
-batch of contexts times all targets is one matrix product, and scores are normalised exactly.
-
-Training covers every training document. Each task walks over its own documents in mini-batches of
-distinct contexts; the noise term is not sampled but summed over the whole vocabulary, which the same
-matrix product gives. Parameters of all tasks, which start alike, are averaged by tokens.
-
-A word outside the vocabulary has the probability of the class times its share of the class:
-(c + 1) / (N_o + V_o + 1), c its count, N_o and V_o tokens and distinct words of the class in training.
+add up to a predicted vector, whose product with a target vector plus its bias is a score. The
+vocabulary holds every word seen ``LEAST_COUNT`` times or more in training, the commonest ``MOST_WORDS``
+at most (a bound on memory: 13 MB of parameters), and one entry for all others. Words are cut by
+frequency into classes of ``CLASS`` words; a word's probability is that of its class times its own
+within the class. Both are softmaxes over a few hundred scores, so every probability is normalised
+exactly by two batched matrix products, whatever the vocabulary.
+
+Training covers every training document. Noise is drawn: classes from the unigram distribution, shared
+by a mini-batch, and words for each token from the unigram distribution of its class. Documents are
+dealt out to parts, and ordered within, by a hash of key and text, so the model does not follow file
+splits or cores. Parts start alike; their parameters are averaged row by row, weighted by how often
+each part trained the row.
+
+A word outside the vocabulary has the probability of its entry times its share of it:
+(c + 1) / (N_o + V_o + 1), c its count, N_o and V_o tokens and distinct words outside in training.
 Counts are over all training documents. The most frequent ``HEAD`` words are looked up in the tasks;
 rarer ones are joined, one row for a document and word.
 """
@@ -24,17 +29,24 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from veracast.llm.common import kept
+from veracast.llm.common import kept, refuse_taken
 from veracast.llm.encode import byte_slices
 
-VOCABULARY = 512
+LEAST_COUNT, MOST_WORDS = 5, 65_535
+CLASS = 256
 WIDTH = 24
-NOISE = 16
+# Draws a mini-batch shares for classes, and draws a token has within its class.
+CLASS_NOISE, WORD_NOISE = 64, 4
 HEAD = 200_000
+# Training tokens to a part, and the most parts: past that, larger ones. The first few are smaller.
+PART_TOKENS, MOST_PARTS = 4_000_000, 16_384
+FIRST_PARTS, FIRST_TOKENS = 4, 1_000_000
+RATE = 0.08
 # The end of a text; no word is empty.
 END = ""
-_BATCH = 2048
-_MERGERS = 64
+_BATCH = 4096
+_BLOCK_ROWS = 4096
+_SCORED_ROWS = 16_384
 
 
 def tokens(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -71,139 +83,265 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 class LogBilinear:
-    """Parameters in one flat array; index 0 of the vocabulary is the class of all other words."""
-
-    def __init__(self, size: int, flat: np.ndarray):
-        self.size, self.flat, at = size, flat, 0
-        for name, shape in (
-            ("context", (size + 1, WIDTH)),
-            ("target", (size, WIDTH)),
-            ("bias", (size,)),
-            ("near", (WIDTH, WIDTH)),
-            ("far", (WIDTH, WIDTH)),
-        ):
-            n = int(np.prod(shape))
-            setattr(self, name, flat[at : at + n].reshape(shape))
-            at += n
+    """Parameters as four tables; entry 0 of the vocabulary is the one of all other words.
+
+    ``context`` holds a row a word and one for what stands before a text, ``target`` and ``classes`` a
+    vector and a bias a row, ``places`` the matrices of the far and the near word.
+    """
+
+    NAMES = ("context", "target", "classes", "places")
+
+    def __init__(self, tables: list[np.ndarray], frequency: np.ndarray):
+        self.context, self.target, self.classes, self.places = tables
+        size = len(frequency)
+        self.of_class = np.arange(size) // CLASS
+        share = frequency / frequency.sum()
+        self.class_share = np.bincount(self.of_class, weights=share)
+        self.word_share = (share / self.class_share[self.of_class]).astype(np.float32)
+        # Each class takes an equal stretch of the line from which words are drawn.
+        within = np.concatenate([[0.0], np.cumsum(share / self.class_share[self.of_class])])
+        self._within = within
+        self._starts = within[np.arange(len(self.class_share)) * CLASS]
+        self._class_line = np.cumsum(self.class_share)
 
     @classmethod
     def start(cls, frequency: np.ndarray, seed: int = 3) -> LogBilinear:
-        """Small random vectors, and the logarithm of the frequency as bias."""
-        size = len(frequency)
-        n = (2 * size + 1) * WIDTH + size + 2 * WIDTH * WIDTH
-        model = cls(size, np.random.default_rng(seed).normal(0, 0.1, n).astype(np.float32))
-        model.bias[:] = np.log(frequency)
-        model.near[:] = np.eye(WIDTH)
-        model.far[:] = 0.5 * np.eye(WIDTH)
+        """Small random vectors; biases give the unigram distribution."""
+        draw = np.random.default_rng(seed)
+        size, classes = len(frequency), -(-len(frequency) // CLASS)
+        tables = [draw.normal(0, 0.1, (size + 1, WIDTH)), draw.normal(0, 0.1, (size, WIDTH + 1))]
+        tables += [draw.normal(0, 0.1, (classes, WIDTH + 1)), np.concatenate([0.5 * np.eye(WIDTH), np.eye(WIDTH)])]
+        model = cls([t.astype(np.float32) for t in tables], frequency)
+        model.target[:, WIDTH] = np.log(model.word_share)
+        model.classes[:, WIDTH] = np.log(model.class_share)
         return model
 
-    def predicted(self, contexts: np.ndarray) -> np.ndarray:
-        """Predicted vectors of contexts (far word, near word)."""
-        far, near = self.context[contexts[:, 0]], self.context[contexts[:, 1]]
-        return far @ self.far + near @ self.near
-
-    def log_probabilities(self, contexts: np.ndarray) -> np.ndarray:
-        """Normalised natural logarithms, a row for each context and a column for each word."""
-        score = self.predicted(contexts) @ self.target.T + self.bias
-        top = score.max(axis=1, keepdims=True)
-        score -= top
-        return score - np.log(np.exp(score).sum(axis=1, keepdims=True))
-
-    def step(self, contexts, counts, noise: np.ndarray, moments, rate: float) -> None:
-        """One Adam step on the contrastive loss of contexts with counts of the words after them."""
-        q = self.predicted(contexts)
-        total = counts.sum(axis=1, keepdims=True)
-        delta = q @ self.target.T + self.bias - np.log(NOISE * noise)
-        real = 1 / (1 + np.exp(-np.clip(delta, -30, 30)))
-        g = (NOISE * total * noise * real - counts * (1 - real)) / counts.sum()
-        gradient = LogBilinear(self.size, np.zeros_like(self.flat))
-        gradient.target[:] = g.T @ q
-        gradient.bias[:] = g.sum(axis=0)
-        gq = g @ self.target
-        far, near = self.context[contexts[:, 0]], self.context[contexts[:, 1]]
-        gradient.far[:], gradient.near[:] = far.T @ gq, near.T @ gq
-        np.add.at(gradient.context, contexts[:, 0], gq @ self.far.T)
-        np.add.at(gradient.context, contexts[:, 1], gq @ self.near.T)
-        moments[0] = 0.9 * moments[0] + 0.1 * gradient.flat
-        moments[1] = 0.99 * moments[1] + 0.01 * gradient.flat**2
-        moments[2] += 1
-        first = moments[0] / (1 - 0.9 ** moments[2])
-        second = moments[1] / (1 - 0.99 ** moments[2])
-        self.flat -= (rate * first / (np.sqrt(second) + 1e-8)).astype(np.float32)
+    @property
+    def tables(self) -> list[np.ndarray]:
+        return [self.context, self.target, self.classes, self.places]
+
+    def predicted(self, far: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """Predicted vectors, each with a 1 for the bias behind it."""
+        q = self.context[far] @ self.places[:WIDTH] + self.context[near] @ self.places[WIDTH:]
+        return np.concatenate([q, np.ones((len(q), 1), np.float32)], axis=1)
+
+    def log_probabilities(self, words: np.ndarray, far: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """Normalised natural logarithms of each word behind its two words."""
+        out = np.empty(len(words))
+        for at in range(0, len(words), _SCORED_ROWS):
+            some = slice(at, at + _SCORED_ROWS)
+            own = words[some]
+            q = self.predicted(far[some], near[some])
+            kind = self.of_class[own]
+            logs = _log_softmax_at(q @ self.classes.T, kind)
+            # Tokens of one class lie side by side for one product each.
+            order = np.argsort(kind, kind="stable")
+            ends = np.flatnonzero(np.diff(kind[order], append=-1)) + 1
+            begin = 0
+            for end in ends.tolist():
+                rows = order[begin:end]
+                first = int(kind[rows[0]]) * CLASS
+                scores = q[rows] @ self.target[first : first + CLASS].T
+                logs[rows] += _log_softmax_at(scores, own[rows] - first)
+                begin = end
+            out[some] = logs
+        return out
+
+    def draw_words(self, kind: np.ndarray, draw: np.random.Generator) -> np.ndarray:
+        """``WORD_NOISE`` words for each class given, by their share of the class."""
+        at = self._starts[kind][:, None] + draw.random((len(kind), WORD_NOISE))
+        found = np.searchsorted(self._within, at, "right") - 1
+        last = np.minimum((kind + 1) * CLASS, len(self.word_share)) - 1
+        return np.clip(found, (kind * CLASS)[:, None], last[:, None])
+
+    def step(self, words, far, near, draw, squares, seen) -> None:
+        """One step on the contrastive loss of a mini-batch, classes and words within them."""
+        q = self.predicted(far, near)
+        kind = self.of_class[words]
+        noise = np.searchsorted(self._class_line, draw.random(CLASS_NOISE) * self._class_line[-1])
+        noise = np.minimum(noise, len(self.classes) - 1)
+        # Classes: the true one against the draws of the batch.
+        true = self.classes[kind]
+        g_true = _sigmoid((q * true).sum(1) - np.log(CLASS_NOISE * self.class_share[kind])) - 1
+        g_noise = _sigmoid(q @ self.classes[noise].T - np.log(CLASS_NOISE * self.class_share[noise]))
+        gq = g_true[:, None] * true + g_noise @ self.classes[noise]
+        g_class = np.concatenate([g_true[:, None] * q, g_noise.T @ q])
+        # Words: the true one against draws from its class.
+        drawn = np.concatenate([words[:, None], self.draw_words(kind, draw)], axis=1)
+        vectors = self.target[drawn]
+        g = _sigmoid(np.einsum("bd,bkd->bk", q, vectors) - np.log(WORD_NOISE * self.word_share[drawn]))
+        g[:, 0] -= 1
+        gq += np.einsum("bk,bkd->bd", g, vectors)
+        g_word = (g[:, :, None] * q[:, None, :]).reshape(-1, WIDTH + 1)
+        gq = gq[:, :WIDTH]
+        f, n = self.context[far], self.context[near]
+        g_places = np.concatenate([f.T @ gq, n.T @ gq])
+        g_context = np.concatenate([gq @ self.places[:WIDTH].T, gq @ self.places[WIDTH:].T])
+        changes = (
+            (np.concatenate([far, near]), g_context),
+            (drawn.reshape(-1), g_word),
+            (np.concatenate([kind, noise]), g_class),
+            (np.arange(2 * WIDTH), g_places),
+        )
+        for table, square, count, (rows, gradient) in zip(self.tables, squares, seen, changes):
+            order = np.argsort(rows, kind="stable")
+            rows = rows[order]
+            begin = np.flatnonzero(np.diff(rows, prepend=-1))
+            total = np.add.reduceat(gradient[order], begin, axis=0)
+            rows = rows[begin]
+            square[rows] += (total * total).mean(axis=1)
+            table[rows] -= (RATE / np.sqrt(square[rows] + 1e-6))[:, None] * total
+            count[rows] += np.diff(begin, append=len(order))
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return (1 / (1 + np.exp(-np.clip(x, -30, 30)))).astype(np.float32)
+
+
+def _log_softmax_at(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Logarithm of the softmax of each row at one column."""
+    scores -= scores.max(axis=1, keepdims=True)
+    picked = scores[np.arange(len(scores)), at].astype(np.float64)
+    np.exp(scores, out=scores)
+    return picked - np.log(scores.sum(axis=1, dtype=np.float64))
 
 
 def _coded(distinct: list[str], index: np.ndarray, sizes: np.ndarray, place: dict[str, int]):
     """Vocabulary index of every token and its context; before a text stands an index of its own."""
     words = np.fromiter((place.get(w, 0) for w in distinct), np.int64, len(distinct))[index]
+    return words, *_contexts(words, sizes, len(place) + 1)
+
+
+def _contexts(words: np.ndarray, sizes: np.ndarray, outside: int) -> tuple[np.ndarray, np.ndarray]:
     start = np.zeros(len(words), bool)
     start[np.cumsum(sizes) - sizes] = True
-    outside = len(place) + 1
     near = np.concatenate([[outside], words[:-1]])
     near[start] = outside
     far = np.concatenate([[outside], near[:-1]])
     far[start] = outside
-    return words, far, near
+    return far, near
+
+
+def _encoder(shared):
+    """(h, text) to (h, ids): vocabulary indices of all tokens as unsigned 16-bit numbers."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = shared.value
+        for batch in batches:
+            for at, n in byte_slices(batch.column(1), 16 << 20):
+                distinct, index, sizes = tokens(batch.column(1).slice(at, n))
+                known = np.fromiter((place.get(w, 0) for w in distinct), np.uint16, len(distinct))
+                flat = known[index]
+                ends = np.concatenate([[0], np.cumsum(sizes)]) * 2
+                ids = pa.Array.from_buffers(
+                    pa.large_binary(), n, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(flat)]
+                ).cast(pa.binary())
+                yield pa.record_batch([batch.column(0).slice(at, n), ids], names=["h", "ids"])
+
+    return rows
 
 
-def _trainer(place: dict[str, int], flat: np.ndarray, noise: np.ndarray):
-    size = len(noise)
+_ROWS_OF = "name string, block int, part int, rows binary, times binary"
+
+
+def _trainer(frequency: np.ndarray):
+    """One part's documents, in order, to its parameters, a row for each block of a table."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        model, moments = LogBilinear(size, flat.copy()), [0.0, 0.0, 0]
-        draw, seen = np.random.default_rng(part), 0
+        model, draw = LogBilinear.start(frequency), np.random.default_rng(part)
+        outside, trained = len(frequency), False
+        squares = [np.zeros(len(t), np.float32) for t in model.tables]
+        seen = [np.zeros(len(t), np.float32) for t in model.tables]
         for batch in batches:
-            for at, n in byte_slices(batch.column(0), 16 << 20):
-                words, far, near = _coded(*tokens(batch.column(0).slice(at, n)), place)
-                seen += len(words)
-                distinct, row = np.unique(far * (size + 1) + near, return_inverse=True)
-                order = draw.permutation(len(distinct))
-                rank = np.empty(len(distinct), np.int64)
-                rank[order] = np.arange(len(distinct))
-                row = rank[row]
-                by_row = np.argsort(row, kind="stable")
-                row, word = row[by_row], words[by_row]
-                pairs = np.stack([distinct // (size + 1), distinct % (size + 1)], axis=1)[order]
-                for first in range(0, len(pairs), _BATCH):
-                    some = pairs[first : first + _BATCH]
-                    own = slice(*np.searchsorted(row, [first, first + len(some)]))
-                    cells = (row[own] - first) * size + word[own]
-                    counts = np.bincount(cells, minlength=len(some) * size).reshape(len(some), size)
-                    model.step(some, counts.astype(np.float32), noise, moments, rate=0.01)
-        if seen:
-            yield pa.record_batch(
-                [pa.array([part % _MERGERS]), pa.array([seen]), pa.array([model.flat.tobytes()])],
-                names=["merger", "seen", "flat"],
-            )
+            column = batch.column("ids")
+            lengths = np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1])
+            begin = np.frombuffer(column.buffers()[1], np.int32)[column.offset]
+            data = np.frombuffer(column.buffers()[2], np.uint8)[begin : begin + lengths.sum()]
+            words = data.copy().view(np.uint16).astype(np.int64)
+            far, near = _contexts(words, lengths // 2, outside)
+            order = draw.permutation(len(words))
+            for at in range(0, len(words), _BATCH):
+                some = order[at : at + _BATCH]
+                model.step(words[some], far[some], near[some], draw, squares, seen)
+            trained = trained or len(words) > 0
+        if not trained:
+            return
+        for name, table, times in zip(LogBilinear.NAMES, model.tables, seen):
+            for block, at in enumerate(range(0, len(table), _BLOCK_ROWS)):
+                own, n = table[at : at + _BLOCK_ROWS], times[at : at + _BLOCK_ROWS]
+                columns = [[name], [block], [part], [(own * n[:, None]).tobytes()], [n.tobytes()]]
+                types = [pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+                yield pa.record_batch(
+                    [pa.array(c, t) for c, t in zip(columns, types)],
+                    names=["name", "block", "part", "rows", "times"],
+                )
 
     return rows
 
 
-def _merge(table: pa.Table) -> pa.Table:
-    seen = table.column("seen").to_pylist()
-    total = sum(
-        n * np.frombuffer(f.as_py(), np.float32).astype(float) for n, f in zip(seen, table.column("flat"))
-    )
-    flat = (total / sum(seen)).astype(np.float32).tobytes()
-    merger = table.column("merger").slice(0, 1)
-    return pa.table([merger, pa.array([sum(seen)]), pa.array([flat])], names=["merger", "seen", "flat"])
-
-
-def train(docs: DataFrame, place: dict[str, int], noise: np.ndarray, text: str = "text") -> np.ndarray:
-    """Flat parameters after one pass over all rows of ``docs``.
+def _adder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks in order of name, number and part to their sums, one block held at a time."""
+    names = ["name", "block", "part", "rows", "times"]
+    types = [pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+
+    def given():
+        columns = [[current[0]], [current[1]], [0], [total.tobytes()], [times.tobytes()]]
+        return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+    current, total, times = None, None, None
+    for batch in batches:
+        for i in range(batch.num_rows):
+            at = (batch.column(0)[i].as_py(), batch.column(1)[i].as_py())
+            own = np.frombuffer(batch.column(3)[i].as_py(), np.float32).astype(np.float64)
+            n = np.frombuffer(batch.column(4)[i].as_py(), np.float32).astype(np.float64)
+            if at != current:
+                if current is not None:
+                    yield given()
+                current, total, times = at, own, n
+            else:
+                total, times = total + own, times + n
+    if current is not None:
+        yield given()
+
+
+def train(
+    docs: DataFrame,
+    place: dict[str, int],
+    frequency: np.ndarray,
+    tokens_given: int,
+    text: str = "text",
+    key: str | None = None,
+) -> LogBilinear:
+    """The model after one pass over all rows of ``docs``.
 
-    One parameter set a task, merged in ``_MERGERS`` groups before the driver merges those.
+    The number of parts follows the tokens alone. To the driver come the averaged parameters.
     """
-    schema = "merger bigint, seen bigint, flat binary"
-    start = LogBilinear.start(noise).flat
-    trained = docs.select(text).mapInArrow(_trainer(place, start, noise), schema)
-    merged = trained.groupBy("merger").applyInArrow(_merge, schema).toArrow()
-    if not merged.num_rows:
-        return start
-    final = _merge(merged.combine_chunks())
-    return np.frombuffer(final.column("flat")[0].as_py(), np.float32)
+    model = LogBilinear.start(frequency)
+    least = min(FIRST_PARTS, -(-tokens_given // FIRST_TOKENS))
+    parts = max(1, least, min(MOST_PARTS, -(-tokens_given // PART_TOKENS)))
+    shared = docs.sparkSession.sparkContext.broadcast(place)
+    h = F.xxhash64(*([F.col(key)] if key else []), F.col(text)).alias("h")
+    coded = docs.select(h, F.col(text).alias("text")).mapInArrow(_encoder(shared), "h bigint, ids binary")
+    dealt = coded.repartitionById(parts, F.pmod("h", F.lit(parts)).cast("int")).sortWithinPartitions("h", "ids")
+    added = (
+        dealt.mapInArrow(_trainer(frequency), _ROWS_OF)
+        .repartition("name", "block")
+        .sortWithinPartitions("name", "block", "part")
+        .mapInArrow(_adder, _ROWS_OF)
+        .toArrow()
+    )
+    for name, block, total, times in zip(*(added.column(c).to_pylist() for c in ("name", "block", "rows", "times"))):
+        table = getattr(model, name)
+        at = block * _BLOCK_ROWS
+        n = np.frombuffer(times, np.float64)
+        mean = np.frombuffer(total, np.float64).reshape(len(n), -1) / np.maximum(n, 1)[:, None]
+        # Rows that no part trained stay at their start.
+        own = table[at : at + len(n)]
+        own[n > 0] = mean[n > 0]
+    return model
 
 
 _SCORED = (
@@ -214,31 +352,21 @@ _SCORED = (
 
 def _scorer(shared):
     def rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        place, flat, size, head = shared.value
-        model = LogBilinear(size, flat)
+        place, tables, frequency, head = shared.value
+        model = LogBilinear(tables, frequency)
         for texts in batches:
             parts = [
-                _scored(texts.slice(at, n), place, model, size, head)
-                for at, n in byte_slices(texts, 16 << 20)
+                _scored(texts.slice(at, n), place, model, head) for at, n in byte_slices(texts, 8 << 20)
             ]
-            yield pa.concat_arrays(parts) if parts else _scored(texts, place, model, size, head)
+            yield pa.concat_arrays(parts) if parts else _scored(texts, place, model, head)
 
     return F.arrow_udf(rows, _SCORED).asNondeterministic()
 
 
-def _scored(texts, place, model, size, head) -> pa.StructArray:
+def _scored(texts, place, model, head) -> pa.StructArray:
     distinct, index, sizes = tokens(texts)
     words, far, near = _coded(distinct, index, sizes, place)
-    contexts, row = np.unique(far * (size + 1) + near, return_inverse=True)
-    by_row = np.argsort(row, kind="stable")
-    ordered = row[by_row]
-    log_p = np.zeros(len(words))
-    pairs = np.stack([contexts // (size + 1), contexts % (size + 1)], axis=1)
-    for first in range(0, len(pairs), _BATCH):
-        some = pairs[first : first + _BATCH]
-        own = slice(*np.searchsorted(ordered, [first, first + len(some)]))
-        at = by_row[own]
-        log_p[at] = model.log_probabilities(some)[ordered[own] - first, words[at]]
+    log_p = model.log_probabilities(words, far, near)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     sums = lambda x: np.bincount(owner, weights=x, minlength=len(sizes))
     count = np.fromiter((head.get(w, 0) for w in distinct), np.int64, len(distinct))[index]
@@ -266,31 +394,39 @@ def score(
     docs: DataFrame,
     training: DataFrame,
     text: str = "text",
-    vocabulary: int = VOCABULARY,
+    key: str | None = None,
+    least_count: int = LEAST_COUNT,
+    most_words: int = MOST_WORDS,
     head: int = HEAD,
+    into: str = "_lm",
 ) -> DataFrame:
-    """``docs`` with ``_lm``: n_tokens, n_known, train_tokens, base_score and score.
+    """``docs`` with a struct ``into``: n_tokens, n_known, n_modelled, train_tokens, base_score, score.
 
     ``base_score`` is the sum of log10((c + 1) / (N + V + 1)), ``score`` the model's log10 probability
-    of the text, its end included. A null or empty text is its end alone. Without training rows all
-    counts are 0 and the model knows one class. Every row gives one row; the others' columns stay.
+    of the text, its end included, ``n_modelled`` the tokens that are vocabulary words of their own. A
+    null or empty text is its end alone. Without training rows all counts are 0 and the model knows
+    one entry. ``key`` names a column that tells training rows of one text apart. Every row gives one
+    row, however long its text; other columns stay, the text is not carried along, and a column
+    ``into`` is refused. Words of equal count enter the vocabulary in their order.
     """
+    refuse_taken(docs, into)
     spark = docs.sparkSession
     counts = kept(word_counts(training, text), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
     top = counts.orderBy(F.desc("count"), "word").limit(head).toArrow()
     known = dict(zip(top.column("word").to_pylist(), top.column("count").to_pylist()))
-    place = {w: i + 1 for i, w in enumerate(list(known)[: vocabulary - 1])}
-    inside = [known[w] for w in place]
+    common = [w for w, n in known.items() if n >= least_count][:most_words]
+    place = {w: i + 1 for i, w in enumerate(common)}
+    inside = [known[w] for w in common]
     others = total - sum(inside)
     frequency = np.array([max(others, 1), *inside], float)
-    noise = (frequency / frequency.sum()).astype(np.float32)
-    flat = train(training, place, noise, text)
-    shared = spark.sparkContext.broadcast((place, flat, len(noise), known))
+    model = train(training, place, frequency, total, text, key) if total else LogBilinear.start(frequency)
+    shared = spark.sparkContext.broadcast((place, model.tables, frequency, known))
+    rest = [docs[c] for c in docs.columns if c != text]
     scored = docs.select(
         F.monotonically_increasing_id().alias("_uid"),
-        F.struct(*[docs[c] for c in docs.columns if c != text]).alias("_row"),
-        _scorer(shared)(F.col(text)).alias("_s"),
+        (F.struct(*rest) if rest else F.lit(None).cast("int")).alias("_row"),
+        _scorer(shared)(docs[text]).alias("_s"),
     )
     scored = kept(scored, "scored")
     rare = scored.select("_uid", F.explode("_s.rare").alias("r")).select("_uid", "r.word", "r.times")
@@ -305,8 +441,9 @@ def score(
     lm = F.struct(
         s["n_tokens"].alias("n_tokens"),
         (s["known"] + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        (s["n_tokens"] - s["outside"]).alias("n_modelled"),
         F.lit(int(total)).cast("bigint").alias("train_tokens"),
         (logs - s["n_tokens"] * F.lit(float(np.log10(total + distinct + 1.0)))).alias("base_score"),
         (s["model"] + logs - s["inside_logs"] - s["outside"] * F.lit(float(of_class))).alias("score"),
     )
-    return whole.select("_row.*", lm.alias("_lm"))
+    return whole.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c != text], lm.alias(into))

@@ -121,24 +121,23 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def graded_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Rated texts: grade 0 is toxic, 1 of low quality, 2 good."""
+def ratings(spark: SparkSession, folder: str) -> DataFrame:
+    """Rated ids: grade 0 is toxic, 1 of low quality, 2 good."""
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
-    labels = table(spark, folder, "labels").select("doc_id", grade.alias("grade"))
-    return table(spark, folder, "documents").select("doc_id", "text").join(labels, "doc_id")
+    return table(spark, folder, "labels").select("doc_id", grade.alias("grade"))
 
 
 def op9_graded_quality(spark: SparkSession, folder: str) -> DataFrame:
     held_out = fold_of(F.col("doc_id"), 5) == 0
-    model = graded_quality.train(graded_documents(spark, folder).where(~held_out))
     docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = graded_quality.train(docs, ratings(spark, folder).where(~held_out))
     return graded_quality.grade(docs, model).select("doc_id", held_out.alias("held_out"), "_grade.*")
 
 
 def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     held_out = fold_of(F.col("doc_id"), 7) == 2
-    found = language_model.score(docs, docs.where(~held_out))
+    found = language_model.score(docs, docs.where(~held_out), key="doc_id")
     return found.select("doc_id", held_out.alias("held_out"), "_lm.*")
 
 
