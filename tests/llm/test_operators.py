@@ -354,6 +354,28 @@ def test_likelihood_gradient_is_that_of_differences():
             assert loss(free[0], other) > here - 1e-4
 
 
+def test_a_large_leaf_is_cut_where_an_ordered_one_is(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 7 == 0, 7).otherwise(F.col("id")).alias("doc_id"),
+        F.repeat(F.lit("w "), (F.col("id") % 5).cast("int")).alias("text"),
+        F.lit("en").alias("lang"),
+        F.when(F.col("id") % 3 == 0, "src1").alias("source"),
+    )
+    odd = spark.createDataFrame([(None, "a b c", "de", "src2")] * 40, "i long, t string, l string, s string")
+    rows = rows.union(odd)
+
+    def taken(most):
+        found = mixture.mix(rows, F.lit("d"), {}, (5, 8), epochs=1, rows_a_task=most)
+        return sorted((str(r["doc_id"]), r["text"], r["_mix"]["copies"], r["_mix"]["leaf_budget"]) for r in found.collect())
+
+    one = taken(10_000)
+    assert {r[2] for r in one} == {0, 1}
+    assert taken(3) == taken(100) == one
+    # Weight 0 leaves a domain out; all of a leaf fits where the share is the whole.
+    whole = mixture.mix(rows, F.lit("d"), {}, (1, 1), epochs=1, rows_a_task=50)
+    assert whole.where("_mix.copies = 1").count() == rows.count()
+
+
 def test_language_model_base_and_normalisation(spark, docs, none):
     rows = language_model.score(docs, docs.where("doc_id is not null"), head=4).collect()
     words = lambda t: [*near_duplicates_words(t), ""]

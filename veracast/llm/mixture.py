@@ -8,7 +8,7 @@ when all of them are full: siblings come before ancestors. Budgets are whole tok
 Each leaf is read in epochs, each in an order of its own drawn from the seed. Full epochs take every
 document; of the last, the longest prefix of documents that fits is taken. Its end is found without
 ordering the leaf: sums by leading digits of the order key name the part in which the budget ends,
-and only that part is ordered.
+the next digits the part of that part, and only what is small is ordered.
 """
 
 from __future__ import annotations
@@ -18,8 +18,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from veracast.llm.common import kept, refuse_taken
 
 LEVELS = ("domain", "lang", "source")
-# Rows that should share the leading digits of the order key.
-_ROWS_A_PART = 250
+# Documents of a leaf that one task may put in order, and the digits of the key a round goes on by.
+ROWS_A_TASK = 4096
+_DIGITS = 3
 
 
 def count_words(text: Column) -> Column:
@@ -90,6 +91,7 @@ def mix(
     share_of_tokens: tuple[int, int] = (4, 5),
     epochs: int = 2,
     seed: int = 7,
+    rows_a_task: int = ROWS_A_TASK,
     into: str = "_mix",
     doc_id: str = "doc_id",
     text: str = "text",
@@ -129,12 +131,10 @@ def mix(
         F.coalesce("budget", F.lit(0)).alias("budget"),
         F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(0).alias("full"),
         F.when(F.col("tokens") > 0, F.expr("budget % tokens")).otherwise(0).alias("rest"),
-        F.greatest(
-            F.lit(0), F.ceil(F.log(16.0, F.col("docs") / F.lit(float(_ROWS_A_PART))))
-        ).cast("int").alias("digits"),
+        "docs",
     )
     plan = kept(plan, "plan")
-    ends = _ends(slim, plan, seed)
+    ends = _ends(slim, plan, seed, rows_a_task)
     plan = plan.join(
         ends, [plan[f"_{c}"].eqNullSafe(ends[f"e_{c}"]) for c in LEVELS], "left"
     ).select(*[f"_{c}" for c in LEVELS], "budget", "full", "end")
@@ -167,46 +167,70 @@ def _key(seed: int) -> Column:
     return F.md5(F.concat_ws("|", *parts).cast("binary"))
 
 
-def _ends(slim: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
-    """The key of the last document that fits in each leaf's last epoch."""
+def _ends(slim: DataFrame, plan: DataFrame, seed: int, most: int) -> DataFrame:
+    """The key of the last document that fits in each leaf's last epoch.
+
+    A leaf of more than ``most`` documents is not put in order as a whole. Each round splits the part
+    of it that the end lies in by the next digits of the keys, and goes on with the part among those
+    that the end lies in, until that is small or of one key. So a round orders at most 16^``_DIGITS``
+    sums of a leaf, the last step at most ``most`` documents, and rounds grow with the logarithm.
+    """
     leaf = [f"_{c}" for c in LEVELS]
-    placed = (
-        slim.join(plan, [slim[c].eqNullSafe(plan[f"_{c}"]) for c in LEVELS])
-        .select(*leaf, "rest", "digits", "tokens", _key(seed).alias("key"))
-        .withColumn("part", F.expr("substring(key, 1, digits)"))
-    )
-    parts = placed.groupBy(*leaf, "rest", "part").agg(F.sum("tokens").alias("tokens"))
-    until = Window.partitionBy(*leaf).orderBy("part")
-    parts = parts.withColumn("upto", F.sum("tokens").over(until))
-    # The first part that goes beyond the rest: keys before it fit, keys after it do not.
-    edge = (
-        parts.where("upto > rest")
-        .groupBy(*leaf)
-        .agg(F.min_by(F.struct("part", (F.col("upto") - F.col("tokens")).alias("start")), "part").alias("p"))
-        .select(*[F.col(c).alias(f"e{c}") for c in leaf], "p.part", "p.start")
-        .withColumnRenamed("part", "edge")
-    )
-    inside = placed.join(
-        edge,
-        [placed[c].eqNullSafe(edge[f"e{c}"]) for c in leaf] + [placed["part"] == edge["edge"]],
-    )
-    # Equal keys are one place in the order.
-    places = inside.groupBy(*[f"e{c}" for c in leaf], "rest", "start", "part", "key").agg(
-        F.sum("tokens").alias("tokens")
-    )
-    order = Window.partitionBy(*[f"e{c}" for c in leaf]).orderBy("key")
-    fits = places.withColumn("upto", F.col("start") + F.sum("tokens").over(order)).where(
-        "upto <= rest"
-    )
-    cut = fits.groupBy(*[f"e{c}" for c in leaf]).agg(F.max("key").alias("cut"))
-    # Without a document of the edge part, the prefix ends with the parts before it; "z" is beyond
-    # every key, for a leaf that fits as a whole.
-    whole = parts.groupBy(*leaf).agg(F.max("upto").alias("all"), F.max("rest").alias("rest"))
-    out = whole.join(edge, [whole[c].eqNullSafe(edge[f"e{c}"]) for c in leaf], "left").select(
-        *[whole[c] for c in leaf], "edge"
+    placed = kept(
+        slim.join(plan, [slim[c].eqNullSafe(plan[f"_{c}"]) for c in LEVELS]).select(
+            *leaf, "tokens", _key(seed).alias("key")
+        ),
+        "placed",
     )
-    out = out.join(cut, [out[c].eqNullSafe(cut[f"e{c}"]) for c in leaf], "left")
-    return out.select(
+    edges = plan.select(
         *[F.col(c).alias(f"e{c}") for c in leaf],
-        F.when(F.col("edge").isNull(), F.lit("z")).otherwise(F.coalesce("cut", "edge")).alias("end"),
-    )
+        "rest",
+        F.lit("").alias("edge"),
+        F.lit(0).cast(plan.schema["rest"].dataType).alias("before"),
+        (F.col("docs") > most).alias("large"),
+    )
+    own = [f"e{c}" for c in leaf]
+    same = [F.col(c).eqNullSafe(F.col(f"e{c}")) for c in leaf] + [F.startswith("key", "edge")]
+    whole: list[DataFrame] = []
+    edges = kept(edges, "edges")
+    while edges.where("large").take(1):
+        large = edges.where("large")
+        digits = F.expr(f"substring(key, length(edge) + 1, {_DIGITS})").alias("digits")
+        parts = (
+            placed.join(large, same)
+            .groupBy(*own, "rest", "edge", "before", digits)
+            .agg(
+                F.sum("tokens").alias("tokens"),
+                F.count("*").alias("docs"),
+                (F.min("key") < F.max("key")).alias("several"),
+            )
+        )
+        upto = F.col("before") + F.sum("tokens").over(Window.partitionBy(*own).orderBy("digits"))
+        parts = kept(parts.withColumn("upto", upto), "parts")
+        first = F.min_by(F.struct("edge", "digits", "upto", "tokens", "docs", "several"), "digits").alias("p")
+        found = parts.where("upto > rest").groupBy(*own, "rest").agg(first)
+        finer = found.select(
+            *own,
+            "rest",
+            F.concat("p.edge", "p.digits").alias("edge"),
+            (F.col("p.upto") - F.col("p.tokens")).cast(edges.schema["before"].dataType).alias("before"),
+            ((F.col("p.docs") > most) & F.col("p.several")).alias("large"),
+        )
+        # Leaves that fit as a whole: "z" is beyond every key.
+        fits = parts.groupBy(*own, "rest").agg(F.max("upto").alias("all")).where("all <= rest")
+        whole.append(fits.select(*own, F.lit("z").alias("end")))
+        edges = kept(edges.where("not large").union(finer), "edges")
+    # Equal keys are one place in the order.
+    places = (
+        placed.join(edges, same).groupBy(*own, "rest", "before", "key").agg(F.sum("tokens").alias("tokens"))
+    )
+    upto = F.col("before") + F.sum("tokens").over(Window.partitionBy(*own).orderBy("key"))
+    fits = places.withColumn("upto", upto).where("upto <= rest")
+    cut = fits.groupBy(*[F.col(c).alias(f"c{c}") for c in own]).agg(F.max("key").alias("cut"))
+    # Without a document of the edge that fits, the order ends before the edge.
+    out = edges.join(cut, [edges[c].eqNullSafe(cut[f"c{c}"]) for c in own], "left").select(
+        *own, F.coalesce("cut", "edge").alias("end")
+    )
+    for part in whole:
+        out = out.union(part)
+    return out
