@@ -71,6 +71,25 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        not base_failed and 100 * chars >= 50 * word_chars kept from judged"""
 
 
+def _op4() -> str:
+    """Similarities of all documents that share a shingle, and the closure of the links."""
+    return f"""
+with recursive d as (select row_number() over () rid, doc_id, {_words(_SPACED)} w from documents),
+s as materialized (
+  select distinct rid, unnest(list_transform(range(1, greatest(len(w), 2)),
+                 lambda k: array_to_string(w[k:k + 1], ' '))) sh from d where len(w) > 0),
+n as materialized (select rid, count(*) n from s group by rid),
+pairs as (select a.rid x, b.rid y, count(*) c from s a join s b on a.sh = b.sh and a.rid < b.rid group by 1, 2),
+links as materialized (
+  select x, y from pairs join n a on a.rid = x join n b on b.rid = y where 100 * c >= 80 * (a.n + b.n - c)),
+sides as materialized (select x a, y b from links union all select y, x from links),
+reach(rid, other) as (
+  select rid, rid from d union select reach.rid, sides.b from reach join sides on sides.a = reach.other),
+least as (select reach.rid, min(o.doc_id) component_id from reach join d o on o.rid = reach.other group by 1)
+select doc_id, coalesce(n, 0) n_shingles, component_id, doc_id is not distinct from component_id kept
+from d join least using (rid) left join n using (rid)"""
+
+
 def _case(column: str, weights: dict[str, int]) -> str:
     return f"case {column} " + " ".join(f"when '{k}' then {v}" for k, v in weights.items()) + " else 1 end"
 
@@ -217,6 +236,7 @@ from kept join coded using (rid), digest"""
 def statements() -> dict[str, str]:
     return {
         "op1_decontaminate": _op1(),
+        "op4_near_duplicates": _op4(),
         "op5_quality_rules": _op5(),
         "op6_mixture": _op6(),
         "op11_warc": _op11(),
