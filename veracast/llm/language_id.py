@@ -23,9 +23,12 @@ from pyspark.sql.types import StructType
 
 from veracast.llm.common import arrow_type, refuse_taken
 
-# The training sample: at most so many rows of a language, and so many bytes of all languages.
+# The training sample of each language: at most so many rows, bytes, and bytes from one row.
 ROWS_PER_LANGUAGE = 200
-TRAIN_BYTES = 240_000
+LANGUAGE_BYTES = 60_000
+TEXT_BYTES = 1_500
+# The rows of a language are first ranked in so many groups.
+_SALTS = 64
 BLOCK = 1024
 _SLICE_BYTES = 6 << 20
 RESULT = "lang string, score double"
@@ -177,32 +180,39 @@ def train(
     text: str = "text",
     lang: str = "lang",
     rows: int = ROWS_PER_LANGUAGE,
-    most_bytes: int = TRAIN_BYTES,
+    most_bytes: int = LANGUAGE_BYTES,
+    text_bytes: int = TEXT_BYTES,
 ) -> tuple:
     """Parser tables from at most ``rows`` labelled texts of each language.
 
-    The rows with the smallest text hash are taken, repeated texts once. ``most_bytes`` of letters
-    are shared evenly among the languages; a text that goes beyond its language's share is cut there.
-    Rows without a language or a letter are not used.
+    The rows with the smallest text hash are taken, repeated texts once; a language that holds most
+    rows is ranked in salted groups first. Each language has ``most_bytes`` of letters, of which one
+    text gives ``text_bytes`` at most, in a second turn more if there are too few texts. Rows
+    without a language or a letter are not used.
     """
     rows_of = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
     hashed = rows_of.select("lang", F.xxhash64("text").alias("h")).distinct()
-    order = Window.partitionBy("lang").orderBy("h")
-    chosen = hashed.withColumn("n", F.row_number().over(order)).where(f"n <= {rows}").drop("n")
+    salted = hashed.withColumn("salt", F.pmod("h", F.lit(_SALTS)))
+    for by in (["lang", "salt"], ["lang"]):
+        n = F.row_number().over(Window.partitionBy(*by).orderBy("h"))
+        salted = salted.withColumn("n", n).where(f"n <= {rows}").drop("n")
+    chosen = salted.drop("salt")
     picked = rows_of.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "h"])
-    # No sampled text is needed beyond the whole budget.
+    # No more of a text is needed than a language may have.
     sample = picked.select("lang", "h", F.substring("text", 1, most_bytes).alias("text"))
-    by_lang: dict[str, list[bytes]] = {}
     found = {(r["lang"], r["h"]): r["text"] for r in sample.toLocalIterator()}
-    langs = {name for name, _ in found}
-    room = {name: most_bytes // len(langs) for name in langs}
-    for (name, _), body in sorted(found.items()):
-        part = letters(body)[: room[name]]
-        room[name] -= len(part)
-        if part:
-            by_lang.setdefault(name, []).append(part)
+    by_lang: dict[str, list[bytes]] = {}
+    room: dict[str, int] = {}
+    bodies = {key: letters(body) for key, body in sorted(found.items())}
+    for first, last in ((0, text_bytes), (text_bytes, most_bytes)):
+        for (name, _), body in bodies.items():
+            left = room.setdefault(name, most_bytes)
+            part = body[first : min(last, first + left)]
+            room[name] = left - len(part)
+            if part:
+                by_lang.setdefault(name, []).append(part)
     return Parser.tables(by_lang) if by_lang else ([], [], None, None, None)
 
 
