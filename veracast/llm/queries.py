@@ -99,7 +99,8 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def labelled_findings(docs: DataFrame) -> DataFrame:
     """Findings labelled by known formats: a long hex or prefixed key that is assigned.
 
-    In capitals or not, with quotes or without; a name that says it is a checksum makes it none.
+    In capitals or not, with quotes or without; a name that says it is a checksum makes it none. The
+    formats and the sign of assignment are withheld from the forest, which sees neither.
     """
     found = secret_scan.candidates(docs)
     known = F.col("value").rlike(r"(?i)^([0-9a-f]{32,64}|AKIA[0-9A-Z]{16}|(ghp|sk|xox[bp])[-_][\w-]+)$")

@@ -1,12 +1,16 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of 16 or more key characters holding a letter and a digit. Its features are its
-length, how unusual its character transitions are in the corpus, how much of it dictionary words
-cover, its character mix, the path it comes from and the words beside it. Spark's random forest
-learns from labelled findings; candidates it takes for false positives are dropped from the report.
+A candidate is a run of 16 or more key characters holding a letter and a digit; shorter runs, and
+those of letters or digits alone, are not judged. Its features are its length, how unusual its
+character transitions are in the corpus, how much of it dictionary words cover, its character mix,
+and what labelled findings tell of the path it comes from and of the words beside it. Spark's random
+forest learns from labelled findings; candidates it takes for false positives are dropped.
 
 Transitions and words are counted over all documents of the corpus. The transition table is bounded
-(128 x 128 characters) and goes to the tasks; words grow with the corpus and are joined.
+(128 x 128 characters) and goes to the tasks; words grow with the corpus and are joined. Paths and
+words beside findings are counted by label, and stand for their log odds against those of all
+findings; an unseen one stands for 0. A finding that the forest learns from is given the counts of
+the other folds of findings, so its own label is not among its features.
 """
 
 from __future__ import annotations
@@ -31,13 +35,13 @@ NAME = r"^.*=(?=[^=]{16,}=*$)"
 TRAIN_FINDINGS = 20_000
 # Letters and count from which a word of the corpus is one of the dictionary.
 WORD_LETTERS, WORD_COUNT = 3, 2
-# Words beside a candidate that are looked for: fixed values.
-KEY_WORDS = ("token", "key", "secret", "password", "passwd", "pwd", "auth", "bearer", "credential")
-HARMLESS_WORDS = ("sha", "commit", "md5", "checksum", "uuid", "id", "version", "http", "www")
+# Folds of labelled findings, and the findings that a word's or path's odds start from.
+FOLDS, PRIOR_FINDINGS = 5, 2.0
 FEATURES = [
-    "length", "digits", "capitals", "hex", "classes", "changes", "unlikely", "dictionary",
-    "key_word", "harmless_word", "assigned", "quoted", "path",
+    "length", "digits", "capitals", "changes", "unlikely", "dictionary",
+    "beside_most", "beside_mean", "path_odds",
 ]
+_WORD_BESIDE = "[a-z][a-z0-9]*"
 
 
 def candidates(
@@ -80,11 +84,19 @@ class Corpus(NamedTuple):
     words: DataFrame
 
 
+class Learnt(NamedTuple):
+    """Findings by label of each (kind, item, fold), kind being word or path, and the share labelled 1."""
+
+    counts: DataFrame
+    share: float
+
+
 class Scanner(NamedTuple):
-    """The forest, or the one probability of labels of one kind, and the corpus of its features."""
+    """The forest, or the one probability of labels of one kind, and what its features rest on."""
 
     forest: RandomForestClassificationModel | float
     corpus: Corpus
+    learnt: Learnt | None
 
 
 def _ascii(texts: list[str]) -> np.ndarray:
@@ -158,35 +170,75 @@ def _covered(found: DataFrame, corpus: Corpus) -> DataFrame:
     return rows.groupBy("value").agg(F.sum(F.length("word")).alias("covered"))
 
 
-def features(found: DataFrame, corpus: Corpus) -> DataFrame:
-    """Adds the features. Null context counts as empty, a null path as a path of its own."""
-    found = kept(found, "findings")
-    found = found.join(_covered(found, corpus), "value", "left")
-    value, n = F.col("value"), F.length("value").cast("double")
+def _items(found: DataFrame, *rest: str) -> DataFrame:
+    """One row for each distinct word beside a finding, and one for its path."""
     near = F.lower(F.concat_ws(" ", "before", "after"))
+    words = F.array_distinct(F.regexp_extract_all(near, F.lit(_WORD_BESIDE), F.lit(0)))
+    word = F.transform(words, lambda w: F.struct(F.lit("word").alias("kind"), w.alias("item")))
+    path = F.struct(F.lit("path").alias("kind"), F.coalesce("path", F.lit("")).alias("item"))
+    items = F.explode(F.concat(word, F.array(path))).alias("i")
+    return found.select(*rest, items).select(*rest, "i.kind", "i.item")
+
+
+def learn_items(labelled: DataFrame) -> Learnt:
+    """Counts by label of words and paths, from findings with ``label`` and ``fold``."""
+    one = F.col("label").cast("double")
+    counts = (
+        _items(labelled, "fold", "label")
+        .groupBy("kind", "item", "fold")
+        .agg(F.sum(one).alias("yes"), F.sum(1 - one).alias("no"))
+    )
+    share = labelled.agg(F.avg("label")).first()[0]
+    return Learnt(kept(counts, "items"), min(max(share or 0.0, 1e-6), 1 - 1e-6))
+
+
+def _odds(found: DataFrame, learnt: Learnt) -> DataFrame:
+    """(row, beside_most, beside_mean, path_odds): log odds without the finding's own fold."""
+    items = _items(found, "row", "fold")
+    whole = learnt.counts.groupBy("kind", "item").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    own = learnt.counts.select("kind", "item", "fold", F.col("yes").alias("own_yes"), F.col("no").alias("own_no"))
+    joined = items.join(whole, ["kind", "item"]).join(own, ["kind", "item", "fold"], "left")
+    yes = F.col("yes") - F.coalesce("own_yes", F.lit(0.0)) + PRIOR_FINDINGS * learnt.share
+    no = F.col("no") - F.coalesce("own_no", F.lit(0.0)) + PRIOR_FINDINGS * (1 - learnt.share)
+    start = float(np.log(learnt.share / (1 - learnt.share)))
+    joined = joined.select("row", "kind", (F.log(yes / no) - start).alias("odds"))
+    of = lambda kind: F.when(F.col("kind") == kind, F.col("odds"))
+    return joined.groupBy("row").agg(
+        F.max(of("word")).alias("beside_most"),
+        F.avg(of("word")).alias("beside_mean"),
+        F.max(of("path")).alias("path_odds"),
+    )
+
+
+def features(found: DataFrame, corpus: Corpus, learnt: Learnt) -> DataFrame:
+    """Adds the features. Null context counts as empty, a null path as a path of its own.
+
+    Findings with a ``fold`` are judged by the others' labels, those without one by all.
+    """
+    if "fold" not in found.columns:
+        found = found.withColumn("fold", F.lit(None).cast("int"))
+    found = kept(found.withColumn("row", F.monotonically_increasing_id()), "findings")
+    found = found.join(_covered(found, corpus), "value", "left").join(_odds(found, learnt), "row", "left")
+    value, n = F.col("value"), F.length("value").cast("double")
     # A change of character class (lower, capital, digit, other) from one character to the next.
     classes = F.regexp_replace(
         F.regexp_replace(F.regexp_replace(value, "[a-z]+", "a"), "[A-Z]+", "A"), "[0-9]+", "0"
     )
-    any_of = lambda names: F.greatest(*[near.contains(w).cast("double") for w in names])
+    none = F.lit(0.0)
     out = found.withColumns(
         {
             "length": n,
             "digits": _count(value, "0-9") / n,
             "capitals": _count(value, "A-Z") / n,
-            "hex": value.rlike("^[0-9A-Fa-f]+$").cast("double"),
-            "classes": sum(value.rlike(c).cast("double") for c in ("[a-z]", "[A-Z]", "[0-9]", "[+/_=.-]")),
             "changes": F.length(classes) / n,
             "unlikely": _unlikely(corpus.surprise)(value),
             "dictionary": F.coalesce("covered", F.lit(0)) / n,
-            "key_word": any_of(KEY_WORDS),
-            "harmless_word": any_of(HARMLESS_WORDS),
-            "assigned": F.coalesce(F.col("before").rlike(r"[=:]\s*[\"']?$"), F.lit(False)).cast("double"),
-            "quoted": F.coalesce(F.col("before").rlike("[\"']$"), F.lit(False)).cast("double"),
-            "path": F.pmod(F.crc32(F.coalesce("path", F.lit("")).cast("binary")), F.lit(16)).cast("double"),
+            "beside_most": F.coalesce("beside_most", none),
+            "beside_mean": F.coalesce("beside_mean", none),
+            "path_odds": F.coalesce("path_odds", none),
         }
     )
-    return out.drop("covered")
+    return out.drop("covered", "fold", "row")
 
 
 def train(
@@ -208,15 +260,19 @@ def train(
     if corpus is None:
         beside = F.concat_ws("", "before", "value", "after")
         corpus = corpus_of(labelled.select(beside.alias("text")))
-    rows = features(labelled.where("label is not null"), corpus)
+    # Copies of a value share a fold.
+    fold = F.pmod(F.xxhash64("value"), F.lit(FOLDS)).cast("int")
+    labelled = kept(labelled.where("label is not null").withColumn("fold", fold), "given")
+    if not labelled.take(1):
+        return None
+    learnt = learn_items(labelled)
+    rows = features(labelled, corpus, learnt)
     rows = rows.select("value", F.col("label").cast("double").alias("label"), *FEATURES)
     rows = kept(rows.groupBy(*rows.columns).agg(F.count("*").cast("double").alias("times")), "labelled")
     found = rows.groupBy("label").agg(F.count("*"), F.sum("times")).collect()
     kinds = {label: (distinct, total) for label, distinct, total in found}
-    if not kinds:
-        return None
     if len(kinds) == 1:
-        return Scanner(next(iter(kinds)), corpus)
+        return Scanner(next(iter(kinds)), corpus, None)
     parts = []
     for label, (_, total) in kinds.items():
         others = sum(n for k, (n, _) in kinds.items() if k != label)
@@ -229,7 +285,7 @@ def train(
         numTrees=trees, maxDepth=depth, seed=seed, labelCol="label", weightCol="weight"
     )
     fitted = forest.fit(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows))
-    return Scanner(fitted, corpus)
+    return Scanner(fitted, corpus, learnt)
 
 
 def scan(
@@ -242,17 +298,19 @@ def scan(
 ) -> DataFrame:
     """Secrets of ``docs``: key, path, place, value, probability.
 
-    Without a model, which is without any label, every candidate is reported with probability 1.
+    Without a model, which is without any label, nothing is known of any candidate: none is reported.
+    Every row's whole text is searched, however long; a null or empty one has no candidates. Other
+    columns are not used, whatever their names.
     """
     found = candidates(docs, key, text, path)
     keep = ["key", "at", "place", "value", "probability"]
     rows = found.withColumn("at", F.col("path"))
     if model is None:
-        scored = rows.withColumn("probability", F.lit(1.0))
+        scored = rows.withColumn("probability", F.lit(0.0)).where(F.lit(False))
     elif isinstance(model.forest, float):
         scored = rows.withColumn("probability", F.lit(model.forest))
     else:
-        rows = features(rows, model.corpus)
+        rows = features(rows, model.corpus, model.learnt)
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
         scored = model.forest.transform(vectors.drop("probability")).withColumn(
             "probability", vector_to_array("probability")[1]
