@@ -10,11 +10,15 @@ none, is one window of its own. The windows of one length m form one pattern set
 * a window in the bucket is an occurrence only if all its words are those of the text.
 
 Test items are the stated query set. They are taken in blocks of bounded text, each broadcast alone
-and searched for in every document; between blocks the rows are kept in the shared folder.
+and searched for in every document. With several blocks the texts are kept in the shared folder once,
+and of each block the hits alone.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from veracast.llm.common import alnum_words, kept, per_row, refuse_taken
@@ -73,13 +77,16 @@ class PatternSet:
 
 def pattern_tables(items: list[tuple[str | None, str | None]]) -> list[tuple[int, dict, dict]]:
     """One table for each window length that occurs; equal windows of several items are one pattern."""
-    by_width: dict[int, dict[tuple[bytes, ...], list[str]]] = {}
+    by_width: dict[int, dict[tuple[bytes, ...], dict[str, None]]] = {}
     for item, text in items:
         for window in windows_of(alnum_words(text)):
-            owners = by_width.setdefault(len(window), {}).setdefault(window, [])
-            if item is not None and item not in owners:
-                owners.append(item)
-    return [tables(width, windows) for width, windows in sorted(by_width.items())]
+            owners = by_width.setdefault(len(window), {}).setdefault(window, {})
+            if item is not None:
+                owners[item] = None
+    return [
+        tables(width, {window: list(owners) for window, owners in windows.items()})
+        for width, windows in sorted(by_width.items())
+    ]
 
 
 def find(words: list[bytes], sets: list[PatternSet]) -> tuple[list[dict], set[str]]:
@@ -120,21 +127,14 @@ def _searcher(sets):
 
 
 def _joined():
-    """Spans and items of two blocks of the benchmark put together."""
+    """Spans of several blocks of the benchmark put together."""
 
     def work():
-        def rows(pairs):
-            out = []
-            for p in pairs:
-                a, b = p["a"], p["b"]
-                found = [(s["first"], s["last"]) for s in a["spans"] + b["spans"]]
-                items = sorted({*a["items"], *b["items"]})
-                out.append({"n_words": a["n_words"], "spans": _merged(found), "items": items})
-            return out
+        return lambda lists: [
+            {"spans": _merged([(s["first"], s["last"]) for s in spans])} for spans in lists
+        ]
 
-        return rows
-
-    return per_row(work, HITS)
+    return per_row(work, "spans array<struct<first: bigint, last: bigint>>")
 
 
 def contamination(
@@ -160,19 +160,36 @@ def contamination(
     ).where("body is not null")
     size = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    for block in range(blocks):
+
+    def searched(block: int) -> Callable:
         part = items.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == block)
         sets = spark.sparkContext.broadcast(pattern_tables([tuple(r) for r in part.toLocalIterator()]))
-        hits = _searcher(sets)(F.col(text))
-        if block == 0:
-            docs = docs.withColumn(into, hits)
-        else:
-            both = docs.withColumn(f"{into}_b", hits)
-            pair = F.struct(F.col(into).alias("a"), F.col(f"{into}_b").alias("b"))
-            docs = both.withColumn(into, _joined()(pair)).drop(f"{into}_b")
-        if block + 1 < blocks:
-            docs = kept(docs, "decontaminate")
-    return docs
+        return _searcher(sets)
+
+    if blocks == 1:
+        return docs.withColumn(into, searched(0)(F.col(text)))
+    # The table is written once and searched for every block; of a block only its hits are kept.
+    base = kept(
+        docs.select(
+            F.monotonically_increasing_id().alias("uid"),
+            F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+            F.col(text).alias("body"),
+        ),
+        "decontaminate",
+    )
+    found = []
+    for block in range(blocks):
+        hits = base.select("uid", searched(block)("body").alias("h")).select("uid", "h.*")
+        # Every row is counted once, with the first block.
+        found.append(kept(hits if not block else hits.where(F.size("spans") > 0), "hits"))
+    every = functools.reduce(DataFrame.union, found).groupBy("uid").agg(
+        F.max("n_words").alias("n_words"),
+        F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+    every = every.select("uid", "n_words", _joined()("spans").alias("s"), "items")
+    hit = F.struct("n_words", "s.spans", "items").alias(into)
+    return base.join(every, "uid").select(*[F.col("row")[c].alias(c) for c in docs.columns], hit)
 
 
 def digest(annotated: DataFrame, hits: str = "_hits") -> DataFrame:
