@@ -210,3 +210,24 @@ def test_properties(spark):
     assert m4.count() == m4.select("ville", "date_heure_prevue").distinct().count()
     scores = {r[0] for r in m5.select("score_fiabilite_0_100").distinct().collect()}
     assert scores <= {round(p / 9 * 100, 1) for p in range(10)}
+
+
+def test_slot_means_are_those_of_exact_fractions(spark):
+    """Measures are whole tenths, so their means are known exactly; no decimal is shared with the models."""
+    from collections import defaultdict
+    from fractions import Fraction
+
+    from __spark_entry__ import _Models
+
+    m = _Models(spark, "/root/testdata/sf0.001")
+    tenths = defaultdict(list)
+    for r in m.m3().collect():
+        epoch = int(r["heure_meteo"].replace(tzinfo=dt.timezone.utc).timestamp())
+        tenths[r["ville"], epoch // 10800].append(round(r["temperature"] * 10))
+    for r in m.a1().collect():
+        epoch = int(r["date_heure"].replace(tzinfo=dt.timezone.utc).timestamp())
+        own = tenths.pop((r["ville"], epoch // 10800))
+        scaled = Fraction(100 * sum(own), 10 * len(own))
+        nearest = (abs(scaled) + Fraction(1, 2)).__floor__() * (1 if scaled >= 0 else -1)
+        assert r["temperature_reelle"] == nearest / 100
+    assert not tenths
