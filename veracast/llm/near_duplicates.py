@@ -13,8 +13,11 @@ Candidates are not all pairs of a bucket. First each class is tried against the
 hubs (the smallest class of a bucket), one pair a class. Then only buckets that still hold several
 components are taken up: each class outside a bucket's largest component is tried against one member
 of it, the best over its buckets, and at last against all classes of other components whose longer
-signature does not rule it out. So a bucket of many like copies costs as many pairs as it has members, while a
-link between unlike groups is still tried.
+signature does not rule it out, once a pair however many buckets it shares. So a bucket of many like
+copies costs as many pairs as it has members, while a link between unlike groups is still tried.
+
+Texts are shuffled for no pair: of the table of all texts those of the candidates are picked by their
+numbers, which Spark broadcasts while that table is below its threshold.
 
 At a similarity of 0.8 a pair shares no band with probability (1 - 0.8^6)^42 = 3e-6.
 """
@@ -29,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from veracast.llm.common import kept
+from veracast.llm.common import kept, refuse_taken, scratch
 from veracast.llm.encode import byte_slices
 
 SHINGLE = 5
@@ -235,8 +238,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """``pairs`` (u, v) with ``linked``, from the texts of both."""
-    left = texts.select(F.col("uid").alias("u"), F.col("text").alias("_left"))
-    right = texts.select(F.col("uid").alias("v"), F.col("text").alias("_right"))
+    pairs = kept(pairs, "pairs")
+    ids = kept(pairs.select(F.col("u").alias("uid")).union(pairs.select("v")).distinct(), "ids")
+    some = kept(texts.join(ids, "uid"), "texts")
+    left = some.select(F.col("uid").alias("u"), F.col("text").alias("_left"))
+    right = some.select(F.col("uid").alias("v"), F.col("text").alias("_right"))
     both = pairs.join(left, "u").join(right, "v")
     return both.select("u", "v", _confirmer(width, percent)("_left", "_right").alias("linked"))
 
@@ -273,8 +279,16 @@ def near_duplicates(
     the component and the row; ``first`` is true for one row of each component, the one with the
     smallest id. A text without words has no shingles and a component of its own. Rows without an id
     take part; a component of such rows alone has the component_id null. Repeated ids are separate
-    rows. Columns other than the id and the text are carried along.
+    rows. Columns other than the id and the text are carried along; a column ``into`` is refused.
     """
+    refuse_taken(docs, into)
+    with scratch(docs.sparkSession, "signed", "named", "firsts"):
+        return _grouped(docs, shingle, percent, into, doc_id, text)
+
+
+def _grouped(
+    docs: DataFrame, shingle: int, percent: int, into: str, doc_id: str, text: str
+) -> DataFrame:
     signed = docs.select(
         F.monotonically_increasing_id().alias("uid"),
         F.col(doc_id).alias("doc_id"),
@@ -345,38 +359,37 @@ def near_duplicates(
     found = components(known.union(second.where("linked").select("u", "v")))
     members = _open_members(banded, hubs, found, sides)
     # The long signature is made for these documents alone.
-    signed = members.select(F.col("node").alias("uid")).distinct().join(texts, "uid")
-    signed = kept(
-        signed.select(F.col("uid").alias("node"), _long_signer(shingle)("text").alias("long")), "long"
-    )
-    members = members.join(signed, "node")
-    outside = members.where("comp <> main").select(
-        "key",
-        F.col("node").alias("x"),
-        F.col("comp").alias("cx"),
-        F.col("size").alias("nx"),
-        F.col("planes").alias("p"),
-        F.col("long").alias("lp"),
-    )
-    inside = members.select(
-        "key",
-        F.col("node").alias("y"),
-        F.col("comp").alias("cy"),
-        F.col("size").alias("ny"),
-        F.col("planes").alias("q"),
-        F.col("long").alias("lq"),
-    )
+    ids = kept(members.select(F.col("node").alias("uid")).distinct(), "ids")
+    signed = texts.join(ids, "uid").select(F.col("uid").alias("node"), _long_signer(shingle)("text").alias("long"))
+    signed = kept(signed, "long")
+    keys = nodes.select(F.col("uid").alias("node"), "bands")
+    members = members.join(signed, "node").join(keys, "node")
+    side = lambda name, size, comp, p, lp, bands: [
+        F.col("key"),
+        F.col("node").alias(name),
+        F.col("comp").alias(comp),
+        F.col("size").alias(size),
+        F.col("planes").alias(p),
+        F.col("long").alias(lp),
+        F.col("bands").alias(bands),
+    ]
+    outside = members.where("comp <> main").select("main", *side("x", "nx", "cx", "p", "lp", "bx"))
+    inside = members.select(*side("y", "ny", "cy", "q", "lq", "by"))
     across = (
         outside.join(
             inside,
             (outside["key"] == inside["key"])
             & (F.col("cx") != F.col("cy"))
             & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+            # Two that are both outside the largest component meet from either side.
+            & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y")))
             & (differing(F.col("p"), F.col("q")) <= most)
             & (
                 differing(F.col("lp"), F.col("lq"), LONG_HASHES)
                 <= most_differing(percent, LONG_HASHES)
-            ),
+            )
+            # A pair is taken in the first bucket it shares; every bucket it shares is open.
+            & (F.get(F.array_intersect("bx", "by"), F.lit(0)) == outside["key"]),
         )
         .select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v"))
         .distinct()
