@@ -42,6 +42,8 @@ HASHES, BANDS, ROWS = 256, 42, 6
 LONG_HASHES = 2048
 # Standard deviations by which an estimate may miss the similarity before the pair is dropped.
 DEVIATIONS = 4.5
+# Text, and pairs, that a task works on at a time.
+_SLICE_BYTES, _SLICE_PAIRS = 1 << 20, 100
 _FEATURES = "n bigint, k1 bigint, k2 bigint, bands array<bigint>, planes array<bigint>"
 
 
@@ -146,9 +148,10 @@ def _signer(width: int):
     def rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         signer = Signer()
         for texts in batches:
+            pa.default_memory_pool().release_unused()
             parts = [
                 signer.sign(shingle_sets(texts.slice(at, n), width))
-                for at, n in byte_slices(texts)
+                for at, n in byte_slices(texts, _SLICE_BYTES)
             ]
             yield pa.concat_arrays(parts) if parts else signer.sign([])
 
@@ -159,8 +162,9 @@ def _long_signer(width: int):
     def rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         signer = Signer(LONG_HASHES, seed=6)
         for texts in batches:
+            pa.default_memory_pool().release_unused()
             parts = [np.zeros((0, LONG_HASHES // 32), np.int64)]
-            for at, n in byte_slices(texts):
+            for at, n in byte_slices(texts, _SLICE_BYTES):
                 sets = shingle_sets(texts.slice(at, n), width)
                 parts.append(_planes(np.array([signer.minima(s) for s in sets], np.uint32)))
             yield _lists(np.concatenate(parts))
@@ -171,11 +175,12 @@ def _long_signer(width: int):
 def _confirmer(width: int, percent: int):
     def rows(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for left, right in batches:
+            pa.default_memory_pool().release_unused()
             out = []
-            for at in range(0, len(left), 500):
+            for at in range(0, len(left), _SLICE_PAIRS):
                 pairs = zip(
-                    shingle_sets(left.slice(at, 500), width),
-                    shingle_sets(right.slice(at, 500), width),
+                    shingle_sets(left.slice(at, _SLICE_PAIRS), width),
+                    shingle_sets(right.slice(at, _SLICE_PAIRS), width),
                 )
                 for a, b in pairs:
                     both = len(np.intersect1d(a, b, assume_unique=True))
