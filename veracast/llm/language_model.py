@@ -45,6 +45,8 @@ RATE = 0.08
 # The end of a text; no word is empty.
 END = ""
 _BATCH = 4096
+# Tokens of whole documents that mini-batches are drawn from in one go.
+_STIRRED = 500_000
 _BLOCK_ROWS = 4096
 _SCORED_ROWS = 16_384
 
@@ -228,7 +230,7 @@ def _encoder(shared):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = shared.value
         for batch in batches:
-            for at, n in byte_slices(batch.column(1), 16 << 20):
+            for at, n in byte_slices(batch.column(1), 4 << 20):
                 distinct, index, sizes = tokens(batch.column(1).slice(at, n))
                 known = np.fromiter((place.get(w, 0) for w in distinct), np.uint16, len(distinct))
                 flat = known[index]
@@ -260,13 +262,19 @@ def _trainer(frequency: np.ndarray):
             lengths = np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1])
             begin = np.frombuffer(column.buffers()[1], np.int32)[column.offset]
             data = np.frombuffer(column.buffers()[2], np.uint8)[begin : begin + lengths.sum()]
-            words = data.copy().view(np.uint16).astype(np.int64)
-            far, near = _contexts(words, lengths // 2, outside)
-            order = draw.permutation(len(words))
-            for at in range(0, len(words), _BATCH):
-                some = order[at : at + _BATCH]
-                model.step(words[some], far[some], near[some], draw, squares, seen)
-            trained = trained or len(words) > 0
+            flat, sizes = data.copy().view(np.uint16), lengths // 2
+            ends = np.cumsum(sizes)
+            first = 0
+            while first < len(sizes):
+                done = ends[first] - sizes[first]
+                last = max(first + 1, int(np.searchsorted(ends, done + _STIRRED, "right")))
+                words = flat[done : ends[last - 1]].astype(np.int64)
+                far, near = _contexts(words, sizes[first:last], outside)
+                order = draw.permutation(len(words))
+                for at in range(0, len(words), _BATCH):
+                    some = order[at : at + _BATCH]
+                    model.step(words[some], far[some], near[some], draw, squares, seen)
+                first, trained = last, True
         if not trained:
             return
         for name, table, times in zip(LogBilinear.NAMES, model.tables, seen):
@@ -356,7 +364,7 @@ def _scorer(shared):
         model = LogBilinear(tables, frequency)
         for texts in batches:
             parts = [
-                _scored(texts.slice(at, n), place, model, head) for at, n in byte_slices(texts, 8 << 20)
+                _scored(texts.slice(at, n), place, model, head) for at, n in byte_slices(texts, 4 << 20)
             ]
             yield pa.concat_arrays(parts) if parts else _scored(texts, place, model, head)
 
