@@ -11,8 +11,9 @@ exactly by two batched matrix products, whatever the vocabulary.
 Training covers every training document. Noise is drawn: classes from the unigram distribution, shared
 by a mini-batch, and words for each token from the unigram distribution of its class. Documents are
 dealt out to parts, and ordered within, by a hash of key and text, so the model does not follow file
-splits or cores. Parts start alike; their parameters are averaged row by row, weighted by how often
-each part trained the row.
+splits or cores. The first part is trained alone; the others start from what it learnt, so that they
+stay comparable, and their parameters are averaged row by row, weighted by how often each part
+trained the row.
 
 A word outside the vocabulary has the probability of its entry times its share of it:
 (c + 1) / (N_o + V_o + 1), c its count, N_o and V_o tokens and distinct words outside in training.
@@ -38,9 +39,8 @@ WIDTH = 24
 # Draws a mini-batch shares for classes, and draws a token has within its class.
 CLASS_NOISE, WORD_NOISE = 64, 4
 HEAD = 200_000
-# Training tokens to a part, and the most parts: past that, larger ones. The first few are smaller.
+# Training tokens to a part, and the most parts: past that, larger ones.
 PART_TOKENS, MOST_PARTS = 4_000_000, 16_384
-FIRST_PARTS, FIRST_TOKENS = 4, 1_000_000
 RATE = 0.08
 # The end of a text; no word is empty.
 END = ""
@@ -96,6 +96,7 @@ class LogBilinear:
     def __init__(self, tables: list[np.ndarray], frequency: np.ndarray):
         self.context, self.target, self.classes, self.places = tables
         size = len(frequency)
+        self.frequency = frequency
         self.of_class = np.arange(size) // CLASS
         share = frequency / frequency.sum()
         self.class_share = np.bincount(self.of_class, weights=share)
@@ -246,16 +247,19 @@ def _encoder(shared):
 _ROWS_OF = "name string, block int, part int, rows binary, times binary"
 
 
-def _trainer(frequency: np.ndarray):
-    """One part's documents, in order, to its parameters, a row for each block of a table."""
+def _trainer(shared):
+    """One part's documents, in order, to its parameters, a row for each block of a table.
+
+    Behind a row's parameters stands its sum of squared gradients, which sets its step.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        model, draw = LogBilinear.start(frequency), np.random.default_rng(part)
-        outside, trained = len(frequency), False
-        squares = [np.zeros(len(t), np.float32) for t in model.tables]
+        tables, squares, frequency, phase = shared.value
+        model, squares = LogBilinear([t.copy() for t in tables], frequency), [q.copy() for q in squares]
+        draw, outside, trained = np.random.default_rng([phase, part]), len(frequency), False
         seen = [np.zeros(len(t), np.float32) for t in model.tables]
         for batch in batches:
             column = batch.column("ids")
@@ -277,7 +281,8 @@ def _trainer(frequency: np.ndarray):
                 first, trained = last, True
         if not trained:
             return
-        for name, table, times in zip(LogBilinear.NAMES, model.tables, seen):
+        for name, table, square, times in zip(LogBilinear.NAMES, model.tables, squares, seen):
+            table = np.concatenate([table, square[:, None]], axis=1)
             for block, at in enumerate(range(0, len(table), _BLOCK_ROWS)):
                 own, n = table[at : at + _BLOCK_ROWS], times[at : at + _BLOCK_ROWS]
                 columns = [[name], [block], [part], [(own * n[:, None]).tobytes()], [n.tobytes()]]
@@ -327,29 +332,40 @@ def train(
 
     The number of parts follows the tokens alone. To the driver come the averaged parameters.
     """
+    parts = max(1, min(MOST_PARTS, -(-tokens_given // PART_TOKENS)))
     model = LogBilinear.start(frequency)
-    least = min(FIRST_PARTS, -(-tokens_given // FIRST_TOKENS))
-    parts = max(1, least, min(MOST_PARTS, -(-tokens_given // PART_TOKENS)))
-    shared = docs.sparkSession.sparkContext.broadcast(place)
-    h = F.xxhash64(*([F.col(key)] if key else []), F.col(text)).alias("h")
-    coded = docs.select(h, F.col(text).alias("text")).mapInArrow(_encoder(shared), "h bigint, ids binary")
-    dealt = coded.repartitionById(parts, F.pmod("h", F.lit(parts)).cast("int")).sortWithinPartitions("h", "ids")
+    squares = [np.zeros(len(t), np.float32) for t in model.tables]
+    places = docs.sparkSession.sparkContext.broadcast(place)
+    h = F.xxhash64(*([F.col(key)] if key else []), F.col(text))
+    rows = docs.select(h.alias("h"), F.col(text).alias("text"))
+    part = F.pmod("h", F.lit(parts)).cast("int")
+    _train_parts(rows.where(part == 0), 1, F.lit(0), places, model, squares, phase=0)
+    if parts > 1:
+        _train_parts(rows.where(part > 0), parts, part, places, model, squares, phase=1)
+    return model
+
+
+def _train_parts(rows, parts: int, part, places, model: LogBilinear, squares, phase: int) -> None:
+    """Train parts from the model as it is, and put their averages in its place."""
+    frequency = model.frequency
+    shared = rows.sparkSession.sparkContext.broadcast((model.tables, squares, frequency, phase))
+    coded = rows.mapInArrow(_encoder(places), "h bigint, ids binary")
+    dealt = coded.repartitionById(parts, part).sortWithinPartitions("h", "ids")
     added = (
-        dealt.mapInArrow(_trainer(frequency), _ROWS_OF)
+        dealt.mapInArrow(_trainer(shared), _ROWS_OF)
         .repartition("name", "block")
         .sortWithinPartitions("name", "block", "part")
         .mapInArrow(_adder, _ROWS_OF)
         .toArrow()
     )
     for name, block, total, times in zip(*(added.column(c).to_pylist() for c in ("name", "block", "rows", "times"))):
-        table = getattr(model, name)
-        at = block * _BLOCK_ROWS
+        number = LogBilinear.NAMES.index(name)
         n = np.frombuffer(times, np.float64)
         mean = np.frombuffer(total, np.float64).reshape(len(n), -1) / np.maximum(n, 1)[:, None]
-        # Rows that no part trained stay at their start.
-        own = table[at : at + len(n)]
-        own[n > 0] = mean[n > 0]
-    return model
+        # Rows that no part trained stay as they were.
+        own = slice(block * _BLOCK_ROWS, block * _BLOCK_ROWS + len(n))
+        model.tables[number][own][n > 0] = mean[n > 0, :-1]
+        squares[number][own][n > 0] = mean[n > 0, -1]
 
 
 _SCORED = (
