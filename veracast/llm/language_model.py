@@ -48,7 +48,7 @@ _BATCH = 4096
 # Tokens of whole documents that mini-batches are drawn from in one go.
 _STIRRED = 500_000
 _BLOCK_ROWS = 4096
-_SCORED_ROWS = 16_384
+_SCORED_ROWS, _CACHED_ROWS = 131_072, 1_024
 
 
 def tokens(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -139,7 +139,7 @@ class LogBilinear:
             own = words[some]
             q = self.predicted(far[some], near[some])
             kind = self.of_class[own]
-            logs = _log_softmax_at(q @ self.classes.T, kind)
+            logs = _log_softmax_at(q, self.classes, kind)
             # Tokens of one class lie side by side for one product each.
             order = np.argsort(kind, kind="stable")
             ends = np.flatnonzero(np.diff(kind[order], append=-1)) + 1
@@ -147,8 +147,7 @@ class LogBilinear:
             for end in ends.tolist():
                 rows = order[begin:end]
                 first = int(kind[rows[0]]) * CLASS
-                scores = q[rows] @ self.target[first : first + CLASS].T
-                logs[rows] += _log_softmax_at(scores, own[rows] - first)
+                logs[rows] += _log_softmax_at(q[rows], self.target[first : first + CLASS], own[rows] - first)
                 begin = end
             out[some] = logs
         return out
@@ -204,12 +203,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _log_softmax_at(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Logarithm of the softmax of each row at one column."""
-    scores -= scores.max(axis=1, keepdims=True)
-    picked = scores[np.arange(len(scores)), at].astype(np.float64)
-    np.exp(scores, out=scores)
-    return picked - np.log(scores.sum(axis=1, dtype=np.float64))
+def _log_softmax_at(q: np.ndarray, targets: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Logarithm of the softmax over ``targets`` at one of them for each row, in blocks a cache holds."""
+    out = np.empty(len(q))
+    for first in range(0, len(q), _CACHED_ROWS):
+        some = slice(first, first + _CACHED_ROWS)
+        scores = q[some] @ targets.T
+        scores -= scores.max(axis=1, keepdims=True)
+        picked = scores[np.arange(len(scores)), at[some]].astype(np.float64)
+        np.exp(scores, out=scores)
+        out[some] = picked - np.log(scores.sum(axis=1).astype(np.float64))
+    return out
 
 
 def _coded(distinct: list[str], index: np.ndarray, sizes: np.ndarray, place: dict[str, int]):
