@@ -1,6 +1,7 @@
 """The ten operators on hand rows: nulls, empty and long texts, ties, repeats, empty tables, clashes."""
 
 import hashlib
+import pickle
 import re
 import zlib
 
@@ -103,6 +104,16 @@ def test_phrases_are_longest_matches():
     assert parser.phrases(texts).tolist() == want
 
 
+def test_language_tables_stay_off_the_driver(spark):
+    """What the driver learns and sends is the sample of bytes, not the tables made of it."""
+    many = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(" ".join(many[i % 26] + many[(i * j) % 26] for j in range(200)), f"l{i % 2}") for i in range(60)]
+    model = language_id.train(spark.createDataFrame(rows, "text string, lang string"), most_bytes=6_000)
+    assert len(pickle.dumps(model)) < 2 * 6_000 + 4_000
+    assert [name for name, _ in model] == ["l0", "l1"]
+    assert all(5_000 < sum(map(len, parts)) <= 6_000 for _, parts in model)
+
+
 def test_language_accuracy_and_edges(spark, docs, none):
     found = queries()["op2_language_id"](spark, "/root/testdata/sf0.01")
     truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")

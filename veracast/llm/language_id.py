@@ -13,6 +13,7 @@ phrase ended. Each block's last phrase counts as ended.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -32,6 +33,8 @@ _SALTS = 64
 BLOCK = 1024
 _SLICE_BYTES = 6 << 20
 RESULT = "lang string, score double"
+# Each language with its training texts.
+Sample = tuple[tuple[str, tuple[bytes, ...]], ...]
 _OTHER = re.compile(r"[\W\d_]+")
 
 
@@ -94,7 +97,7 @@ class Parser:
         for lang in langs:
             # A byte that is in no training text parts them.
             nexts = automaton(b"\xff".join(training[lang]))
-            table = np.zeros((len(nexts), width), np.int64)
+            table = np.zeros((len(nexts), width), np.int32)
             known = np.zeros((len(nexts), width), bool)
             for state, out in enumerate(nexts):
                 for c, to in out.items():
@@ -102,15 +105,18 @@ class Parser:
                         table[state, symbol[c]], known[state, symbol[c]] = to, True
             # Where a phrase cannot go on it ends, and the byte starts the next one; a byte that no
             # phrase can hold is one by itself.
-            restart, lone = table[0], ~known[0]
-            ended = np.where(known, 0, 1 + lone[None, :])
+            restart, lone = table[0].copy(), ~known[0]
+            ended = np.where(known, 0, 1 + lone[None, :]).astype(np.uint8)
             ended[0] = lone
-            to = np.where(known, table, restart[None, :])
-            parts.append(((base + to) * width * 4 + ended).reshape(-1))
+            np.copyto(table, restart[None, :], where=~known)
+            table += base
+            table *= width * 4
+            table += ended
+            parts.append(table.reshape(-1))
             roots.append(base * width)
             sizes.append(max(2, sum(map(len, training[lang]))))
             base += len(nexts)
-        return langs, sizes, symbol, np.concatenate(parts).astype(np.int32), np.array(roots, np.int32)
+        return langs, sizes, symbol, np.concatenate(parts), np.array(roots, np.int32)
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
         """Phrases of each text (rows) against each language (columns)."""
@@ -182,8 +188,8 @@ def train(
     rows: int = ROWS_PER_LANGUAGE,
     most_bytes: int = LANGUAGE_BYTES,
     text_bytes: int = TEXT_BYTES,
-) -> tuple:
-    """Parser tables from at most ``rows`` labelled texts of each language.
+) -> Sample:
+    """Training texts of each language, from at most ``rows`` labelled texts of it.
 
     The rows with the smallest text hash are taken, repeated texts once; a language that holds most
     rows is ranked in salted groups first. Each language has ``most_bytes`` of letters, of which one
@@ -213,10 +219,19 @@ def train(
             room[name] = left - len(part)
             if part:
                 by_lang.setdefault(name, []).append(part)
-    return Parser.tables(by_lang) if by_lang else ([], [], None, None, None)
+    return tuple((name, tuple(parts)) for name, parts in by_lang.items())
 
 
-def identify(docs: DataFrame, model: tuple, into: str = "_lang", text: str = "text") -> DataFrame:
+@functools.lru_cache(maxsize=1)
+def _parser(model: Sample) -> Parser:
+    """Tables of the sample, worked out once in each Python worker.
+
+    They are some hundred times the sample, so the driver neither makes nor sends them.
+    """
+    return Parser(*Parser.tables({name: list(parts) for name, parts in model}) if model else ([], [], None, None, None))
+
+
+def identify(docs: DataFrame, model: Sample, into: str = "_lang", text: str = "text") -> DataFrame:
     """``docs`` with a struct column ``into``: lang and score (0 to 1).
 
     The score is the winner's share of 2 to the minus bits a byte over all languages. A null text,
@@ -228,7 +243,7 @@ def identify(docs: DataFrame, model: tuple, into: str = "_lang", text: str = "te
     schema = arrow_type(StructType.fromDDL(RESULT))
 
     def rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        parser = Parser(*shared.value)
+        parser = _parser(shared.value)
         for texts in batches:
             yield pa.array(parser.judge(texts.to_pylist()), type=schema)
 
