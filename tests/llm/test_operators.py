@@ -450,6 +450,21 @@ def test_language_model_probabilities_add_up():
     assert np.abs(first - model.word_share[:256]).max() < 0.005
 
 
+def test_language_model_scores_a_token_alike_whatever_is_beside_it():
+    """Repeated contexts, lone ones and blocks of any length give the same logarithms, near or far from 0."""
+    draw = np.random.default_rng(4)
+    for scale in (1, 60):
+        model = language_model.LogBilinear.start(np.arange(700, 0, -1).astype(float))
+        model.context *= scale
+        words, far, near = draw.integers(0, 700, (3, 3000))
+        far[::2], near[::2] = 5, 7
+        whole = model.log_probabilities(words, far, near)
+        assert np.isfinite(whole).all()
+        order = draw.permutation(3000)
+        for some in (order, order[:1], order[:77], order[500:1301]):
+            assert model.log_probabilities(words[some], far[some], near[some]) == pytest.approx(whole[some], rel=1e-9)
+
+
 def test_language_model_learns_and_does_not_follow_splits(spark):
     """Held-out texts of a language with fixed followers score far above the unigram base."""
     draw = np.random.default_rng(2)

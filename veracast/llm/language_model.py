@@ -48,23 +48,26 @@ _BATCH = 4096
 # Tokens of whole documents that mini-batches are drawn from in one go.
 _STIRRED = 500_000
 _BLOCK_ROWS = 4096
-_SCORED_ROWS, _CACHED_ROWS = 131_072, 1_024
+_SCORED_ROWS, _CACHED_ROWS, _PICKED_ROWS = 524_288, 256, 65_536
+# Scores up to this have exponentials whose sum over a class fits single precision.
+_SAFE = 80.0
 
 
-def tokens(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct tokens of a batch, the index of each token, and tokens per text (end included)."""
     texts = pc.take(texts.cast(pa.large_string()), pa.array(np.arange(len(texts))))
     runs = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     coded = runs.flatten().dictionary_encode()
-    distinct = coded.dictionary.to_pylist()
+    distinct = coded.dictionary
     index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    real = np.fromiter((bool(w) for w in distinct), bool, len(distinct))[index]
+    named = pc.binary_length(distinct).to_numpy(zero_copy_only=False) > 0
+    real = named.take(index)
     before = np.concatenate([[0], np.cumsum(real)])[runs.offsets.to_numpy()]
-    if END in distinct:
-        end = distinct.index(END)
-    else:
+    if named.all():
         end = len(distinct)
-        distinct = [*distinct, END]
+        distinct = pa.concat_arrays([distinct, pa.array([END], distinct.type)])
+    else:
+        end = int(np.flatnonzero(~named)[0])
     return distinct, np.insert(index[real], before[1:], end), np.diff(before) + 1
 
 
@@ -77,7 +80,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                 distinct, index, _ = tokens(batch.column(0).slice(at, n))
                 count = np.bincount(index, minlength=len(distinct))
                 used = np.flatnonzero(count)
-                words = pa.array(distinct, pa.string()).take(pa.array(used))
+                words = distinct.take(pa.array(used)).cast(pa.string())
                 yield pa.record_batch([words, pa.array(count[used])], names=["word", "count"])
 
     counted = docs.select(text).mapInArrow(rows, "word string, count bigint")
@@ -128,27 +131,47 @@ class LogBilinear:
 
     def predicted(self, far: np.ndarray, near: np.ndarray) -> np.ndarray:
         """Predicted vectors, each with a 1 for the bias behind it."""
-        q = self.context[far] @ self.places[:WIDTH] + self.context[near] @ self.places[WIDTH:]
-        return np.concatenate([q, np.ones((len(q), 1), np.float32)], axis=1)
+        q = self.context.take(far, axis=0) @ self.places[:WIDTH]
+        q += self.context.take(near, axis=0) @ self.places[WIDTH:]
+        return np.concatenate([q, np.ones((*q.shape[:-1], 1), np.float32)], axis=-1)
 
     def log_probabilities(self, words: np.ndarray, far: np.ndarray, near: np.ndarray) -> np.ndarray:
-        """Normalised natural logarithms of each word behind its two words."""
+        """Normalised natural logarithms of each word behind its two words.
+
+        A softmax is summed once for the tokens that share it: over classes for two words before,
+        within a class for those and the class. A token's result does not depend on the others.
+        """
         out = np.empty(len(words))
+        size = len(self.context)
         for at in range(0, len(words), _SCORED_ROWS):
             some = slice(at, at + _SCORED_ROWS)
             own = words[some]
-            q = self.predicted(far[some], near[some])
-            kind = self.of_class[own]
-            logs = _log_softmax_at(q, self.classes, kind)
+            pairs, pair = np.unique(far[some] * size + near[some], return_inverse=True)
+            far_word, near_word = np.divmod(pairs, size)
+            double = self.places.astype(np.float64)
+            q = np.ones((len(pairs), WIDTH + 1), np.float32)
+            for first in range(0, len(pairs), _PICKED_ROWS):
+                few = slice(first, first + _PICKED_ROWS)
+                moved = self.context.take(far_word[few], axis=0) @ double[:WIDTH]
+                moved += self.context.take(near_word[few], axis=0) @ double[WIDTH:]
+                q[few, :WIDTH] = moved
+            kind = self.of_class.take(own)
+            logs = -_log_sums(q, self.classes).take(pair)
             # Tokens of one class lie side by side for one product each.
-            order = np.argsort(kind, kind="stable")
-            ends = np.flatnonzero(np.diff(kind[order], append=-1)) + 1
+            cells, cell = np.unique(kind * len(pairs) + pair, return_inverse=True)
+            kinds, rows = np.divmod(cells, len(pairs))
+            sums = np.empty(len(cells))
             begin = 0
-            for end in ends.tolist():
-                rows = order[begin:end]
-                first = int(kind[rows[0]]) * CLASS
-                logs[rows] += _log_softmax_at(q[rows], self.target[first : first + CLASS], own[rows] - first)
+            for end in (np.flatnonzero(np.diff(kinds, append=-1)) + 1).tolist():
+                first = int(kinds[begin]) * CLASS
+                sums[begin:end] = _log_sums(q.take(rows[begin:end], axis=0), self.target[first : first + CLASS])
                 begin = end
+            logs -= sums.take(cell)
+            for first in range(0, len(own), _PICKED_ROWS):
+                few = slice(first, first + _PICKED_ROWS)
+                vectors = q.take(pair[few], axis=0)
+                logs[few] += np.einsum("bd,bd->b", vectors, self.classes.take(kind[few], axis=0))
+                logs[few] += np.einsum("bd,bd->b", vectors, self.target.take(own[few], axis=0))
             out[some] = logs
         return out
 
@@ -162,64 +185,89 @@ class LogBilinear:
     def step(self, words, far, near, draw, squares, seen) -> None:
         """One step on the contrastive loss of a mini-batch, classes and words within them."""
         q = self.predicted(far, near)
-        kind = self.of_class[words]
+        kind = self.of_class.take(words)
         noise = np.searchsorted(self._class_line, draw.random(CLASS_NOISE) * self._class_line[-1])
         noise = np.minimum(noise, len(self.classes) - 1)
         # Classes: the true one against the draws of the batch.
-        true = self.classes[kind]
-        g_true = _sigmoid(np.einsum("bd,bd->b", q, true) - self.class_noise[kind]) - 1
-        g_noise = _sigmoid(q @ self.classes[noise].T - self.class_noise[noise])
-        gq = g_true[:, None] * true + g_noise @ self.classes[noise]
+        true, drawn_classes = self.classes.take(kind, axis=0), self.classes.take(noise, axis=0)
+        g_true = _sigmoid(np.einsum("bd,bd->b", q, true) - self.class_noise.take(kind)) - 1
+        g_noise = _sigmoid(q @ drawn_classes.T - self.class_noise.take(noise))
+        gq = g_true[:, None] * true
+        gq += g_noise @ drawn_classes
         g_class = np.concatenate([g_true[:, None] * q, g_noise.T @ q])
         # Words: the true one against draws from its class.
         drawn = np.concatenate([words[:, None], self.draw_words(kind, draw)], axis=1)
-        vectors = self.target[drawn]
-        g = _sigmoid(np.einsum("bd,bkd->bk", q, vectors) - self.word_noise[drawn])
+        vectors = self.target.take(drawn, axis=0)
+        g = _sigmoid(np.einsum("bd,bkd->bk", q, vectors) - self.word_noise.take(drawn))
         g[:, 0] -= 1
         gq += np.einsum("bk,bkd->bd", g, vectors)
-        g_word = (g[:, :, None] * q[:, None, :]).reshape(-1, WIDTH + 1)
         gq = gq[:, :WIDTH]
-        f, n = self.context[far], self.context[near]
+        f, n = self.context.take(far, axis=0), self.context.take(near, axis=0)
         g_places = np.concatenate([f.T @ gq, n.T @ gq])
         g_context = np.concatenate([gq @ self.places[:WIDTH].T, gq @ self.places[WIDTH:].T])
         changes = (
             (np.concatenate([far, near]), g_context),
-            (drawn.reshape(-1), g_word),
+            (drawn.reshape(-1), (g[:, :, None] * q[:, None, :]).reshape(-1, WIDTH + 1)),
             (np.concatenate([kind, noise]), g_class),
             (np.arange(2 * WIDTH), g_places),
         )
         for table, square, count, (rows, gradient) in zip(self.tables, squares, seen, changes):
-            order = np.argsort(rows, kind="stable")
-            rows = rows[order]
+            order = _order(rows, len(table))
+            rows = rows.take(order)
             begin = np.flatnonzero(np.diff(rows, prepend=-1))
-            total = np.add.reduceat(gradient[order], begin, axis=0)
-            rows = rows[begin]
-            square[rows] += (total * total).mean(axis=1)
-            table[rows] -= (RATE / np.sqrt(square[rows] + 1e-6))[:, None] * total
+            total = np.add.reduceat(gradient.take(order, axis=0), begin, axis=0)
+            rows = rows.take(begin)
+            sums = square.take(rows) + (total * total).mean(axis=1)
+            square[rows] = sums
+            total *= (RATE / np.sqrt(sums + 1e-6))[:, None]
+            # A row moves as one value.
+            as_one = np.dtype((np.void, table.itemsize * table.shape[1]))
+            moved = table.take(rows, axis=0) - total
+            table.view(as_one).reshape(-1)[rows] = moved.view(as_one).reshape(-1)
             count[rows] += np.diff(begin, append=len(order))
 
 
+def _order(rows: np.ndarray, size: int) -> np.ndarray:
+    """Stable order of row numbers below ``size``; 16 bits are sorted by digits, the few beyond come last."""
+    if size <= 1 << 16:
+        return np.argsort(rows.astype(np.uint16), kind="stable")
+    low = np.argsort((rows & 0xFFFF).astype(np.uint16), kind="stable")
+    return low.take(np.argsort((rows.take(low) >> 16).astype(np.uint16), kind="stable"))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _log_softmax_at(q: np.ndarray, targets: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Logarithm of the softmax over ``targets`` at one of them for each row, in blocks a cache holds."""
+def _log_sums(q: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum of exponentials over ``targets`` for each row, in blocks a cache holds.
+
+    Products are taken in double precision and then rounded, as single ones would follow a row's place
+    in the block. The largest is taken off where the vectors' lengths do not rule out an overflow.
+    """
     out = np.empty(len(q))
+    across = np.ascontiguousarray(targets.T, np.float64)
+    longest = float(np.sqrt(np.einsum("bd,bd->b", targets, targets).max()))
+    large = np.sqrt(np.einsum("bd,bd->b", q, q)) * longest > _SAFE
     for first in range(0, len(q), _CACHED_ROWS):
         some = slice(first, first + _CACHED_ROWS)
-        scores = q[some] @ targets.T
-        scores -= scores.max(axis=1, keepdims=True)
-        picked = scores[np.arange(len(scores)), at[some]].astype(np.float64)
+        scores = (q[some].astype(np.float64) @ across).astype(np.float32)
+        top = np.zeros(len(scores), np.float32)
+        if (own := large[some]).any():
+            top[own] = scores[own].max(axis=1)
+            scores -= top[:, None]
         np.exp(scores, out=scores)
-        out[some] = picked - np.log(scores.sum(axis=1).astype(np.float64))
+        out[some] = top + np.log(scores.sum(axis=1).astype(np.float64))
     return out
 
 
-def _coded(distinct: list[str], index: np.ndarray, sizes: np.ndarray, place: dict[str, int]):
-    """Vocabulary index of every token and its context; before a text stands an index of its own."""
-    words = np.fromiter((place.get(w, 0) for w in distinct), np.int64, len(distinct))[index]
-    return words, *_contexts(words, sizes, len(place) + 1)
+def _places(distinct: pa.Array, known: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each word in ``known``, -1 if it is not there, and its entry in a vocabulary of ``size``.
+
+    The vocabulary is the beginning of ``known`` behind the entry of all other words.
+    """
+    at = pc.fill_null(pc.index_in(distinct, value_set=known), -1).to_numpy(zero_copy_only=False)
+    return at, np.where(at < size - 1, at + 1, 0)
 
 
 def _contexts(words: np.ndarray, sizes: np.ndarray, outside: int) -> tuple[np.ndarray, np.ndarray]:
@@ -236,12 +284,11 @@ def _encoder(shared):
     """(h, text) to (h, ids): vocabulary indices of all tokens as unsigned 16-bit numbers."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = shared.value
+        words = pa.array(shared.value, pa.large_string())
         for batch in batches:
             for at, n in byte_slices(batch.column(1), 4 << 20):
                 distinct, index, sizes = tokens(batch.column(1).slice(at, n))
-                known = np.fromiter((place.get(w, 0) for w in distinct), np.uint16, len(distinct))
-                flat = known[index]
+                flat = _places(distinct, words, len(words) + 1)[1].astype(np.uint16).take(index)
                 ends = np.concatenate([[0], np.cumsum(sizes)]) * 2
                 ids = pa.Array.from_buffers(
                     pa.large_binary(), n, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(flat)]
@@ -329,20 +376,20 @@ def _adder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(
     docs: DataFrame,
-    place: dict[str, int],
+    words: list[str],
     frequency: np.ndarray,
     tokens_given: int,
     text: str = "text",
     key: str | None = None,
 ) -> LogBilinear:
-    """The model after one pass over all rows of ``docs``.
+    """The model after one pass over all rows of ``docs``; ``words`` are entries 1 and on.
 
     The number of parts follows the tokens alone. To the driver come the averaged parameters.
     """
     parts = max(1, min(MOST_PARTS, -(-tokens_given // PART_TOKENS)))
     model = LogBilinear.start(frequency)
     squares = [np.zeros(len(t), np.float32) for t in model.tables]
-    places = docs.sparkSession.sparkContext.broadcast(place)
+    places = docs.sparkSession.sparkContext.broadcast(words)
     h = F.xxhash64(*([F.col(key)] if key else []), F.col(text))
     rows = docs.select(h.alias("h"), F.col(text).alias("text"))
     part = F.pmod("h", F.lit(parts)).cast("int")
@@ -383,31 +430,35 @@ _SCORED = (
 
 def _scorer(shared):
     def rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        place, tables, frequency, head = shared.value
-        model = LogBilinear(tables, frequency)
+        tables, frequency, known, counts = shared.value
+        model, known = LogBilinear(tables, frequency), pa.array(known, pa.large_string())
         for texts in batches:
             parts = [
-                _scored(texts.slice(at, n), place, model, head) for at, n in byte_slices(texts, 4 << 20)
+                _scored(texts.slice(at, n), model, known, counts) for at, n in byte_slices(texts, 4 << 20)
             ]
-            yield pa.concat_arrays(parts) if parts else _scored(texts, place, model, head)
+            yield pa.concat_arrays(parts) if parts else _scored(texts, model, known, counts)
 
     return F.arrow_udf(rows, _SCORED).asNondeterministic()
 
 
-def _scored(texts, place, model, head) -> pa.StructArray:
+def _scored(texts, model, known, counts) -> pa.StructArray:
     distinct, index, sizes = tokens(texts)
-    words, far, near = _coded(distinct, index, sizes, place)
+    at, entry = _places(distinct, known, len(model.frequency))
+    words = entry.astype(np.int64).take(index)
+    far, near = _contexts(words, sizes, len(model.frequency))
     log_p = model.log_probabilities(words, far, near)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     sums = lambda x: np.bincount(owner, weights=x, minlength=len(sizes))
-    count = np.fromiter((head.get(w, 0) for w in distinct), np.int64, len(distinct))[index]
-    logs = np.log10(count + 1.0)
+    # The last count, 0, is that of words beyond the head.
+    count = counts.take(at)
+    logs = np.log10(count + 1.0).take(index)
+    count = count.take(index)
     inside = words > 0
     # Words beyond the head, once for each text they are in.
     rare = np.flatnonzero(count == 0)
     cells, times = np.unique(owner[rare] * len(distinct) + index[rare], return_counts=True)
     offsets = np.searchsorted(cells, np.arange(len(sizes) + 1) * len(distinct))
-    rare_words = pa.array(distinct, pa.string()).take(pa.array(cells % len(distinct)))
+    rare_words = distinct.take(pa.array(cells % len(distinct))).cast(pa.string())
     lists = pa.ListArray.from_arrays(
         pa.array(offsets, pa.int32()),
         pa.StructArray.from_arrays([rare_words, pa.array(times)], ["word", "times"]),
@@ -447,12 +498,12 @@ def score(
     top = counts.orderBy(F.desc("count"), "word").limit(head).toArrow()
     known = dict(zip(top.column("word").to_pylist(), top.column("count").to_pylist()))
     common = [w for w, n in known.items() if n >= least_count][:most_words]
-    place = {w: i + 1 for i, w in enumerate(common)}
     inside = [known[w] for w in common]
     others = total - sum(inside)
     frequency = np.array([max(others, 1), *inside], float)
-    model = train(training, place, frequency, total, text, key) if total else LogBilinear.start(frequency)
-    shared = spark.sparkContext.broadcast((place, model.tables, frequency, known))
+    model = train(training, common, frequency, total, text, key) if total else LogBilinear.start(frequency)
+    head_counts = np.array([*known.values(), 0], np.int64)
+    shared = spark.sparkContext.broadcast((model.tables, frequency, list(known), head_counts))
     rest = [docs[c] for c in docs.columns if c != text]
     scored = docs.select(
         F.monotonically_increasing_id().alias("_uid"),
@@ -468,7 +519,7 @@ def score(
     whole = scored.drop("rare").join(joined, "_uid", "left")
     s, rare_logs = F.col("_s"), F.coalesce("rare_logs", F.lit(0.0))
     logs = s["logs"] + rare_logs
-    of_class = np.log10(others + distinct - len(place) + 1.0)
+    of_class = np.log10(others + distinct - len(common) + 1.0)
     lm = F.struct(
         s["n_tokens"].alias("n_tokens"),
         (s["known"] + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
