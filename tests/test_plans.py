@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from veracast.operators.merge import merge_insert_only
 from veracast.operators.top_one import first_per_key
 from veracast.plans import kpis, marts, staging
+from veracast.plans.quality import counting_times
 from veracast.schemas import RAW_FORECAST, RAW_WEATHER
 from veracast.sources.tables import write_model
 
@@ -114,3 +115,10 @@ def test_one_key_with_a_third_of_all_rows(spark):
     new = merge_insert_only(rows, target, "k", ["v DESC"])
     assert new.exceptAll(want.where("k % 2 <> 0")).count() == 0
     assert new.count() == want.where("k % 2 <> 0").count()
+
+
+def test_collection_time_is_read_once(raw, unhelped):
+    """Filter, projection and the count of unreadable times share one reading of ``heure_run``."""
+    forecasts = raw[1]
+    for df in (forecasts, counting_times(forecasts)[0]):
+        assert plan(staging.stg_forecast(df)).count("try_cast(heure_run") == 1

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from veracast.functions import scalars as s
@@ -82,3 +83,18 @@ def test_rounding_near_ties_and_noise(spark):
     values = [(2.4949999996, 2.49), (0.1 + 0.2, 0.3), (2.675, 2.68), (1.005, 1.01), (-1.005, -1.01)]
     rows = spark.createDataFrame(values, "x double, want double")
     assert rows.where(s.round_half_up(F.col("x"), 2) != F.col("want")).count() == 0
+
+
+def test_rounding_without_decimals_is_the_same(spark):
+    """Values clear of a tie skip the decimal; every bit, also the sign of 0, is as with it."""
+    draw = np.random.default_rng(0)
+    values = [*draw.normal(0, 50, 2000), *draw.integers(-20000, 20000, 2000) / 1000, *draw.normal(0, 1e8, 200)]
+    values += [0.0, -0.0, -0.001, 0.005, -0.005, 1e6 + 0.005, 2.0**53, 1e30, -1e30, float("nan"), float("inf"), None]
+    df = spark.createDataFrame([(None if x is None else float(x),) for x in values], "x double")
+    for digits in (1, 2):
+        exact = F.round(F.col("x").try_cast("decimal(38,12)"), digits).cast("double")
+        want = F.coalesce(exact, F.round("x", digits))
+        same = s.round_half_up(F.col("x"), digits).eqNullSafe(want)
+        assert df.where(~same).count() == 0
+        signs = F.concat(s.round_half_up(F.col("x"), digits).cast("string"), F.lit(" "), want.cast("string"))
+        assert not [r for r in df.select(signs.alias("s")).collect() if r["s"] and len(set(r["s"].split())) > 1]
