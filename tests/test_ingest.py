@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from veracast.operators.merge import merge_insert_only
 from veracast.schemas import MESSAGE, RAW_FORECAST, RAW_WEATHER
@@ -268,3 +268,40 @@ def test_legacy_value_counts_only_when_taken(spark):
     rows = msg.decode(sent, RAW_WEATHER).collect()
     assert [r["is_good"] for r in rows] == [True, False, True, False, False, False]
     assert rows[0]["temperature"] == rows[2]["temperature"] == 7.5
+
+
+def test_writes_by_part_are_not_sorted_first(spark, tmp_path, monkeypatch):
+    """Some parts' files are open side by side during a write; the setting goes with it."""
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+
+    def spied(self, *args, **kwargs):
+        seen.append(int(spark.conf.get(name, "0")))
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", spied)
+    rows = spark.range(300).select("id", (F.col("id") % 50).cast("string").alias("p"))
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(rows, F.col("p"))
+    assert len(seen) == 1 and seen[0] > 0 and int(spark.conf.get(name, "0")) == 0
+    # More parts than are open at a time.
+    assert sorted(r["id"] for r in table.read().collect()) == list(range(300))
+    assert {r["id"] for r in table.read(parts=["7"]).collect()} == set(range(7, 300, 50))
+
+
+def test_bytes_of_good_messages_are_not_held(spark, tmp_path, monkeypatch):
+    good = json.dumps({"record_id": ID, "ville": "Paris", "time_api": T0, "heure_run": RUN})
+    batch = _wire(spark, [good, f" \t{good}\n", "x{}", "{} x"])
+    held, persist = [], type(batch).persist
+
+    def spied(self, *args, **kwargs):
+        out = persist(self, *args, **kwargs)
+        held.extend(tuple(r) for r in out.select("is_good", "body").collect())
+        return out
+
+    monkeypatch.setattr(type(batch), "persist", spied)
+    report = land_batch(batch, tables.RAW_WEATHER_TABLE, str(tmp_path / "raw"), "s", 0)
+    assert (report.read, report.inserted, report.quarantined) == (4, 1, 2)
+    assert [body for good, body in held if good] == [None, None]
+    assert sorted(bytes(body) for good, body in held if not good) == [b"x{}", b"{} x"]
+    aside = read_quarantine(spark, str(tmp_path / "raw")).collect()
+    assert sorted(bytes(r["body"]) for r in aside) == [b"x{}", b"{} x"]
