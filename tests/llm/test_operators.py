@@ -211,6 +211,25 @@ def test_near_duplicates_equal_brute_force(spark, docs, none):
     assert near_duplicates.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_move_texts_once_to_their_rows(spark):
+    """Components are named without texts: what is returned joins them to their rows, and nothing else."""
+    rows = [(i, " ".join(f"w{i // 2}_{k}" for k in range(30)) + f" end{i % 2}", "x") for i in range(8)]
+    docs = spark.createDataFrame([*rows, (None, rows[0][1], "y"), (9, None, "z")], "doc_id long, text string, lang string")
+    found = near_duplicates.near_duplicates(docs)
+    got = {(r["doc_id"], r["lang"]): r["_near"] for r in found.collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = found.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert text.count("SortMergeJoin") == 1 and text.count("Exchange hashpartitioning") == 2
+    assert len(got) == 10 and got[None, "y"]["component_id"] == 0
+    assert {i: got[i, "x"]["component_id"] for i in range(8)} == {i: i // 2 * 2 for i in range(8)}
+    assert sorted(k[0] for k, near in got.items() if near["first"]) == [0, 2, 4, 6, 9]
+
+
 @pytest.mark.parametrize("hashes, seed", [(256, 5), (2048, 6)])
 def test_signatures_keep_links_of_small_sets(hashes, seed):
     draw, lost = np.random.default_rng(0), 0

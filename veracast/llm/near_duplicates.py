@@ -287,7 +287,7 @@ def near_duplicates(
     rows. Columns other than the id and the text are carried along; a column ``into`` is refused.
     """
     refuse_taken(docs, into)
-    with scratch(docs.sparkSession, "signed", "named", "firsts"):
+    with scratch(docs.sparkSession, "signed", "placed"):
         return _grouped(docs, shingle, percent, into, doc_id, text)
 
 
@@ -363,12 +363,11 @@ def _grouped(
     known = found.select(F.col("node").alias("u"), F.col("comp").alias("v"))
     found = components(known.union(second.where("linked").select("u", "v")))
     members = _open_members(banded, hubs, found, sides)
-    # The long signature is made for these documents alone.
+    # The long signature is made for these documents alone, and theirs are the only band keys looked at.
     ids = kept(members.select(F.col("node").alias("uid")).distinct(), "ids")
-    signed = texts.join(ids, "uid").select(F.col("uid").alias("node"), _long_signer(shingle)("text").alias("long"))
-    signed = kept(signed, "long")
-    keys = nodes.select(F.col("uid").alias("node"), "bands")
-    members = members.join(signed, "node").join(keys, "node")
+    signed = rows.select("uid", "text", "bands").join(ids, "uid")
+    signed = signed.select(F.col("uid").alias("node"), "bands", _long_signer(shingle)("text").alias("long"))
+    members = members.join(kept(signed, "long"), "node")
     side = lambda name, size, comp, p, lp, bands: [
         F.col("key"),
         F.col("node").alias(name),
@@ -414,23 +413,22 @@ def _grouped(
     )
     ids = kept(comps.groupBy("comp").agg(F.min("least_id").alias("component_id")), "ids")
     named = kept(comps.join(ids, "comp").select("k1", "k2", "comp", "component_id"), "named")
-    placed_rows = rows.drop("bands", "planes").join(named, ["k1", "k2"], "left").select(
+    # Worked out without texts, which are shuffled once at last, for their own row alone.
+    placed = rows.select("uid", "doc_id", "n", "k1", "k2").join(named, ["k1", "k2"], "left")
+    placed = placed.select(
         "uid",
         "doc_id",
-        "text",
-        "_rest",
         "n",
         F.coalesce("comp", "uid").alias("comp"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
     # One row of each component; rows that share its smallest id are told apart by their number.
     same = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    firsts = kept(
-        placed_rows.where(same).groupBy("comp").agg(F.min("uid").alias("first_uid")), "firsts"
-    )
-    out = placed_rows.join(
-        firsts.select(F.col("first_uid")), placed_rows["uid"] == firsts["first_uid"], "left"
+    firsts = kept(placed.where(same).groupBy("comp").agg(F.min("uid").alias("first_uid")), "firsts")
+    placed = kept(
+        placed.join(firsts.select("first_uid"), F.col("uid") == F.col("first_uid"), "left").drop("doc_id"), "placed"
     )
+    out = rows.select("uid", "doc_id", "text", "_rest").join(placed, "uid")
     near = F.struct(
         "uid",
         F.col("n").alias("n_shingles"),
