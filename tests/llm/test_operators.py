@@ -469,6 +469,26 @@ def test_language_model_probabilities_add_up():
     assert np.abs(first - model.word_share[:256]).max() < 0.005
 
 
+def test_language_model_adds_gradients_and_draws_as_plainly_written():
+    """Sums by row, few and many to a row, as ``np.add.at`` gives them; draws as a search of the whole line."""
+    draw = np.random.default_rng(7)
+    for size, n in ((3, 40), (700, 5000), (70_000, 5000), (5, 1)):
+        rows = draw.integers(0, size, n) * draw.integers(0, 2, n)
+        gradients = draw.normal(size=(n, 3)).astype(np.float32)
+        found, times, total = language_model._row_sums(rows, size, lambda at: gradients.take(at, axis=0))
+        want = np.zeros((size, 3))
+        np.add.at(want, rows, gradients)
+        assert sorted(found) == sorted(set(rows.tolist())) and (times == np.bincount(rows)[found]).all()
+        assert np.abs(total - want[found]).max() < 1e-3
+    model = language_model.LogBilinear.start(1 / np.arange(1.0, 1001) ** 2)
+    kind, order = draw.integers(0, 4, 3000), draw.permutation(3000)
+    drawn = model.draw_words(kind, np.random.default_rng(9), order)
+    share = np.random.default_rng(9).random((3000, language_model.WORD_NOISE))[order]
+    plain = np.searchsorted(model._within, model._starts[kind][:, None] + share, "right") - 1
+    last = np.minimum((kind + 1) * language_model.CLASS, 1000) - 1
+    assert (drawn == np.clip(plain, (kind * language_model.CLASS)[:, None], last[:, None])).all()
+
+
 def test_language_model_scores_a_token_alike_whatever_is_beside_it():
     """Repeated contexts, lone ones and blocks of any length give the same logarithms, near or far from 0."""
     draw = np.random.default_rng(4)

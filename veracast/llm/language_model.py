@@ -48,7 +48,11 @@ _BATCH = 4096
 # Tokens of whole documents that mini-batches are drawn from in one go.
 _STIRRED = 500_000
 _BLOCK_ROWS = 4096
-_SCORED_ROWS, _CACHED_ROWS, _PICKED_ROWS = 524_288, 256, 65_536
+_SCORED_ROWS, _CACHED_ROWS, _PICKED_ROWS = 1_048_576, 256, 65_536
+# Stretches of a class's line, each with the first word in it.
+_STRETCHES = 1024
+# Gradients of one row up to which they are added row by row.
+_FEW_ROWS = 8
 # Scores up to this have exponentials whose sum over a class fits single precision.
 _SAFE = 80.0
 
@@ -111,6 +115,8 @@ class LogBilinear:
         within = np.concatenate([[0.0], np.cumsum(share / self.class_share[self.of_class])])
         self._within = within
         self._starts = within[np.arange(len(self.class_share)) * CLASS]
+        edges = self._starts[:, None] + np.arange(_STRETCHES) / _STRETCHES
+        self._guide = np.searchsorted(within, edges.reshape(-1), "right").astype(np.int32)
         self._class_line = np.cumsum(self.class_share)
 
     @classmethod
@@ -129,12 +135,6 @@ class LogBilinear:
     def tables(self) -> list[np.ndarray]:
         return [self.context, self.target, self.classes, self.places]
 
-    def predicted(self, far: np.ndarray, near: np.ndarray) -> np.ndarray:
-        """Predicted vectors, each with a 1 for the bias behind it."""
-        q = self.context.take(far, axis=0) @ self.places[:WIDTH]
-        q += self.context.take(near, axis=0) @ self.places[WIDTH:]
-        return np.concatenate([q, np.ones((*q.shape[:-1], 1), np.float32)], axis=-1)
-
     def log_probabilities(self, words: np.ndarray, far: np.ndarray, near: np.ndarray) -> np.ndarray:
         """Normalised natural logarithms of each word behind its two words.
 
@@ -175,56 +175,106 @@ class LogBilinear:
             out[some] = logs
         return out
 
-    def draw_words(self, kind: np.ndarray, draw: np.random.Generator) -> np.ndarray:
-        """``WORD_NOISE`` words for each class given, by their share of the class."""
-        at = self._starts[kind][:, None] + draw.random((len(kind), WORD_NOISE))
-        found = np.searchsorted(self._within, at, "right") - 1
+    def draw_words(self, kind: np.ndarray, draw: np.random.Generator, order=slice(None)) -> np.ndarray:
+        """``WORD_NOISE`` words for each class given, by their share of the class.
+
+        ``order`` tells which one's turn it was to draw.
+        """
+        share = draw.random((len(kind), WORD_NOISE))[order]
+        at = (self._starts.take(kind)[:, None] + share).reshape(-1)
+        stretch = kind[:, None] * _STRETCHES + (share * _STRETCHES).astype(np.int64)
+        # The first boundary beyond a draw: on from that beyond its stretch's edge.
+        found = self._guide.take(stretch.reshape(-1))
+        left = np.flatnonzero(self._within.take(found, mode="clip") <= at)
+        for _ in range(2):
+            found[left] += 1
+            left = left[self._within.take(found.take(left), mode="clip") <= at.take(left)]
+        found[left] = np.searchsorted(self._within, at.take(left), "right")
+        found = found.reshape(share.shape) - 1
         last = np.minimum((kind + 1) * CLASS, len(self.word_share)) - 1
         return np.clip(found, (kind * CLASS)[:, None], last[:, None])
 
     def step(self, words, far, near, draw, squares, seen) -> None:
-        """One step on the contrastive loss of a mini-batch, classes and words within them."""
-        q = self.predicted(far, near)
+        """One step on the contrastive loss of a mini-batch, classes and words within them.
+
+        Tokens are taken by word, so that what is looked up for one lies near what the next one needs.
+        """
+        order = _order(words, len(self.target))
+        words, far, near = words.take(order), far.take(order), near.take(order)
+        f, n = self.context.take(far, axis=0), self.context.take(near, axis=0)
+        q = np.ones((len(words), WIDTH + 1), np.float32)
+        q[:, :WIDTH] = f @ self.places[:WIDTH]
+        q[:, :WIDTH] += n @ self.places[WIDTH:]
         kind = self.of_class.take(words)
         noise = np.searchsorted(self._class_line, draw.random(CLASS_NOISE) * self._class_line[-1])
         noise = np.minimum(noise, len(self.classes) - 1)
         # Classes: the true one against the draws of the batch.
         true, drawn_classes = self.classes.take(kind, axis=0), self.classes.take(noise, axis=0)
         g_true = _sigmoid(np.einsum("bd,bd->b", q, true) - self.class_noise.take(kind)) - 1
-        g_noise = _sigmoid(q @ drawn_classes.T - self.class_noise.take(noise))
-        gq = g_true[:, None] * true
-        gq += g_noise @ drawn_classes
+        against = -drawn_classes
+        against[:, WIDTH] += self.class_noise.take(noise)
+        g_noise = _falling(q @ against.T)
+        gq = g_noise @ drawn_classes
+        true *= g_true[:, None]
+        gq += true
         g_class = np.concatenate([g_true[:, None] * q, g_noise.T @ q])
         # Words: the true one against draws from its class.
-        drawn = np.concatenate([words[:, None], self.draw_words(kind, draw)], axis=1)
+        drawn = np.concatenate([words[:, None], self.draw_words(kind, draw, order)], axis=1)
         vectors = self.target.take(drawn, axis=0)
         g = _sigmoid(np.einsum("bd,bkd->bk", q, vectors) - self.word_noise.take(drawn))
         g[:, 0] -= 1
         gq += np.einsum("bk,bkd->bd", g, vectors)
-        gq = gq[:, :WIDTH]
-        f, n = self.context.take(far, axis=0), self.context.take(near, axis=0)
+        gq = np.ascontiguousarray(gq[:, :WIDTH])
         g_places = np.concatenate([f.T @ gq, n.T @ gq])
         g_context = np.concatenate([gq @ self.places[:WIDTH].T, gq @ self.places[WIDTH:].T])
+        one = g.reshape(-1)
         changes = (
-            (np.concatenate([far, near]), g_context),
-            (drawn.reshape(-1), (g[:, :, None] * q[:, None, :]).reshape(-1, WIDTH + 1)),
-            (np.concatenate([kind, noise]), g_class),
-            (np.arange(2 * WIDTH), g_places),
+            (np.concatenate([far, near]), lambda at: g_context.take(at, axis=0)),
+            (drawn.reshape(-1), lambda at: q.take(at // drawn.shape[1], axis=0) * one.take(at)[:, None]),
+            (np.concatenate([kind, noise]), lambda at: g_class.take(at, axis=0)),
+            (np.arange(2 * WIDTH), lambda at: g_places.take(at, axis=0)),
         )
-        for table, square, count, (rows, gradient) in zip(self.tables, squares, seen, changes):
-            order = _order(rows, len(table))
-            rows = rows.take(order)
-            begin = np.flatnonzero(np.diff(rows, prepend=-1))
-            total = np.add.reduceat(gradient.take(order, axis=0), begin, axis=0)
-            rows = rows.take(begin)
-            sums = square.take(rows) + (total * total).mean(axis=1)
+        for table, square, count, (rows, gradients) in zip(self.tables, squares, seen, changes):
+            rows, times, total = _row_sums(rows, len(table), gradients)
+            sums = square.take(rows) + np.einsum("bd,bd->b", total, total) / np.float32(total.shape[1])
             square[rows] = sums
             total *= (RATE / np.sqrt(sums + 1e-6))[:, None]
             # A row moves as one value.
             as_one = np.dtype((np.void, table.itemsize * table.shape[1]))
-            moved = table.take(rows, axis=0) - total
+            moved = np.subtract(table.take(rows, axis=0), total, out=total)
             table.view(as_one).reshape(-1)[rows] = moved.view(as_one).reshape(-1)
-            count[rows] += np.diff(begin, append=len(order))
+            count[rows] += times
+
+
+def _row_sums(rows: np.ndarray, size: int, gradients) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct row numbers, how often each is in ``rows``, and the sum of its gradients.
+
+    ``gradients`` gives those at some places of ``rows``. Rows with few of them are added side by side,
+    the first of all, then the second of those that have one, and so on.
+    """
+    order = _order(rows, size)
+    rows = rows.take(order)
+    first = np.ones(len(rows), bool)
+    np.not_equal(rows[1:], rows[:-1], out=first[1:])
+    begin = np.flatnonzero(first)
+    times = np.diff(begin, append=len(order))
+    many = times > _FEW_ROWS
+    of_many = order[np.repeat(many, times)]
+    most = times[many]
+    # Those with many come first, then by falling number.
+    rank = (_FEW_ROWS + 1 - np.minimum(times, _FEW_ROWS + 1)).astype(np.uint8)
+    falling = np.argsort(rank, kind="stable")
+    begin, times = begin.take(falling), times.take(falling)
+    total = gradients(order.take(begin))
+    if len(most):
+        total[: len(most)] = np.add.reduceat(gradients(of_many), np.cumsum(most) - most, axis=0)
+    # How many rows have more gradients than k.
+    ends = np.cumsum(np.bincount(rank, minlength=_FEW_ROWS + 1))[::-1]
+    for k in range(1, _FEW_ROWS):
+        own = slice(len(most), int(ends[k]))
+        if own.stop > own.start:
+            total[own] += gradients(order.take(begin[own] + k))
+    return rows.take(begin), times, total
 
 
 def _order(rows: np.ndarray, size: int) -> np.ndarray:
@@ -236,7 +286,15 @@ def _order(rows: np.ndarray, size: int) -> np.ndarray:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    return _falling(np.negative(x, out=x))
+
+
+def _falling(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(x)), in place; an exponential beyond single precision gives 0."""
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _log_sums(q: np.ndarray, targets: np.ndarray) -> np.ndarray:
@@ -249,15 +307,18 @@ def _log_sums(q: np.ndarray, targets: np.ndarray) -> np.ndarray:
     across = np.ascontiguousarray(targets.T, np.float64)
     longest = float(np.sqrt(np.einsum("bd,bd->b", targets, targets).max()))
     large = np.sqrt(np.einsum("bd,bd->b", q, q)) * longest > _SAFE
+    # A block's room is used again, so that it stays in the cache.
+    shape = min(_CACHED_ROWS, len(q)), len(targets)
+    products, rounded = np.empty(shape), np.empty(shape, np.float32)
     for first in range(0, len(q), _CACHED_ROWS):
-        some = slice(first, first + _CACHED_ROWS)
-        scores = (q[some].astype(np.float64) @ across).astype(np.float32)
-        top = np.zeros(len(scores), np.float32)
+        some = slice(first, min(first + _CACHED_ROWS, len(q)))
+        scores, top = rounded[: some.stop - first], np.float32(0)
+        scores[...] = np.matmul(q[some].astype(np.float64), across, out=products[: len(scores)])
         if (own := large[some]).any():
-            top[own] = scores[own].max(axis=1)
+            top = np.where(own, scores.max(axis=1), np.float32(0))
             scores -= top[:, None]
         np.exp(scores, out=scores)
-        out[some] = top + np.log(scores.sum(axis=1).astype(np.float64))
+        out[some] = top + np.log(np.einsum("bk->b", scores).astype(np.float64))
     return out
 
 
