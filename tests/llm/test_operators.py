@@ -420,6 +420,23 @@ def test_a_large_leaf_is_cut_where_an_ordered_one_is(spark):
     assert whole.where("_mix.copies = 1").count() == rows.count()
 
 
+def test_near_duplicates_deal_out_all_band_keys_twice_at_most(spark, monkeypatch):
+    """However many rounds follow, they read the keys that several classes share, not all of them."""
+    plans, kept = [], near_duplicates.kept
+
+    def recorded(df, what, place=None):
+        plans.append((what, df._jdf.queryExecution().optimizedPlan().toString()))
+        return kept(df, what, place)
+
+    monkeypatch.setattr(near_duplicates, "kept", recorded)
+    words = [f"w{i}" for i in range(90)]
+    rows = [(i, " ".join(words[:i % 3] + words[3:] + [f"x{i // 3}"])) for i in range(12)] + [(99, "a b c d e f g")]
+    found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    comps = {r["doc_id"]: r["_near"]["component_id"] for r in found.collect()}
+    assert comps == {i: 0 for i in range(12)} | {99: 99}
+    assert [what for what, plan in plans if "explode(bands" in plan] == ["hubs", "shared"]
+
+
 def test_language_model_base_and_normalisation(spark, docs, none):
     rows = language_model.score(docs, docs.where("doc_id is not null"), head=4).collect()
     words = lambda t: [*near_duplicates_words(t), ""]

@@ -252,13 +252,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     return both.select("u", "v", _confirmer(width, percent)("_left", "_right").alias("linked"))
 
 
-def _open_members(banded: DataFrame, hubs: DataFrame, found: DataFrame, sides: DataFrame) -> DataFrame:
+def _open_members(shared: DataFrame, found: DataFrame, sides: DataFrame) -> DataFrame:
     """Members of the buckets that hold several components, with the bucket's largest one, ``main``."""
-    placed = (
-        banded.join(hubs.select("key"), "key")
-        .join(found, "node", "left")
-        .select("key", "node", F.coalesce("comp", "node").alias("comp"))
-    )
+    placed = shared.join(found, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
     groups = placed.groupBy("key", "comp").agg(F.count("*").alias("rows"))
     open_keys = kept(
         groups.groupBy("key")
@@ -319,11 +315,12 @@ def _grouped(
         .where("size > 1"),
         "hubs",
     )
+    # Most band keys are one class's own. All are dealt out twice, to find the others and their members;
+    # what follows reads those alone.
+    shared = kept(banded.join(hubs.select("key", "hub"), "key").select("key", "node", "hub"), "shared")
     planes = nodes.select("uid", "planes")
     most = most_differing(percent)
-    tried = (
-        banded.join(hubs.select("key", "hub"), "key").where("node <> hub").select("node", "hub").distinct()
-    )
+    tried = shared.where("node <> hub").select("node", "hub").distinct()
     tried = (
         tried.join(planes.select(F.col("uid").alias("node"), F.col("planes").alias("p")), "node")
         .join(planes.select(F.col("uid").alias("hub"), F.col("planes").alias("q")), "hub")
@@ -341,7 +338,7 @@ def _grouped(
     # Buckets that still hold several components: first each outsider against one member, another in
     # each bucket, of the bucket's largest component, then all pairs across components.
     sides = nodes.select(F.col("uid").alias("node"), F.col("n").alias("size"), "planes")
-    members = _open_members(banded, hubs, found, sides)
+    members = _open_members(shared, found, sides)
     hub = F.min_by(F.struct("node", "planes"), F.xxhash64("node", "key")).alias("hub")
     chosen = kept(members.where("comp = main").groupBy("key").agg(hub), "chosen")
     tried = (
@@ -362,7 +359,7 @@ def _grouped(
     )
     known = found.select(F.col("node").alias("u"), F.col("comp").alias("v"))
     found = components(known.union(second.where("linked").select("u", "v")))
-    members = _open_members(banded, hubs, found, sides)
+    members = _open_members(shared, found, sides)
     # The long signature is made for these documents alone, and theirs are the only band keys looked at.
     ids = kept(members.select(F.col("node").alias("uid")).distinct(), "ids")
     signed = rows.select("uid", "text", "bands").join(ids, "uid")
