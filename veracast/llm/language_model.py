@@ -48,7 +48,7 @@ _BATCH = 4096
 # Tokens of whole documents that mini-batches are drawn from in one go.
 _STIRRED = 500_000
 _BLOCK_ROWS = 4096
-_SCORED_ROWS, _CACHED_ROWS, _PICKED_ROWS = 1_048_576, 256, 65_536
+_SCORED_ROWS, _CACHED_ROWS, _PICKED_ROWS = 524_288, 256, 65_536
 # Stretches of a class's line, each with the first word in it.
 _STRETCHES = 1024
 # Gradients of one row up to which they are added row by row.
@@ -495,7 +495,7 @@ def _scorer(shared):
         model, known = LogBilinear(tables, frequency), pa.array(known, pa.large_string())
         for texts in batches:
             parts = [
-                _scored(texts.slice(at, n), model, known, counts) for at, n in byte_slices(texts, 4 << 20)
+                _scored(texts.slice(at, n), model, known, counts) for at, n in byte_slices(texts, 3 << 20)
             ]
             yield pa.concat_arrays(parts) if parts else _scored(texts, model, known, counts)
 
