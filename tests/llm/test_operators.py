@@ -4,6 +4,7 @@ import hashlib
 import pickle
 import re
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -521,6 +522,76 @@ def test_language_model_scores_a_token_alike_whatever_is_beside_it():
             assert model.log_probabilities(words[some], far[some], near[some]) == pytest.approx(whole[some], rel=1e-9)
 
 
+def test_language_model_steps_as_plainly_written():
+    """Two mini-batches with repeated words, contexts and noise move every table as the plain sums do."""
+    size, width, rate = 700, language_model.WIDTH, language_model.RATE
+    model = language_model.LogBilinear.start(np.arange(size, 0, -1).astype(float))
+    plain = [t.astype(float) for t in model.tables]
+    squares, seen = ([np.zeros(len(t), np.float32) for t in plain] for _ in range(2))
+    sums, times = ([np.zeros(len(t)) for t in plain] for _ in range(2))
+    for seed in (1, 2):
+        take, noises = np.random.default_rng(seed), np.random.default_rng(seed + 10)
+        words, far, near = (take.integers(0, n, 300) ** 2 // n for n in (size, size + 1, size + 1))
+        model.step(words, far, near, np.random.default_rng(seed + 10), squares, seen)
+        order = np.argsort(words, kind="stable")
+        words, far, near = words[order], far[order], near[order]
+        context, target, classes, places = plain
+        ones = np.ones((300, 1))
+        q = np.hstack([context[far] @ places[:width] + context[near] @ places[width:], ones])
+        kind, line = words // language_model.CLASS, np.cumsum(model.class_share)
+        noise = np.searchsorted(line, noises.random(language_model.CLASS_NOISE) * line[-1])
+        drawn = np.hstack([words[:, None], model.draw_words(kind, noises, order)])
+        share = lambda x, log: 1 / (1 + np.exp(log - x))
+        g_true = share((q * classes[kind]).sum(1), model.class_noise[kind]) - 1
+        g_noise = share(q @ classes[noise].T, model.class_noise[noise])
+        g = share((q[:, None] * target[drawn]).sum(2), model.word_noise[drawn])
+        g[:, 0] -= 1
+        gq = (g_true[:, None] * classes[kind] + g_noise @ classes[noise] + (g[:, :, None] * target[drawn]).sum(1))[:, :width]
+        grads = [np.zeros_like(t) for t in plain]
+        np.add.at(grads[0], far, gq @ places[:width].T)
+        np.add.at(grads[0], near, gq @ places[width:].T)
+        np.add.at(grads[1], drawn, g[:, :, None] * q[:, None])
+        np.add.at(grads[2], kind, g_true[:, None] * q)
+        np.add.at(grads[2], noise, g_noise.T @ q)
+        grads[3] = np.vstack([context[far].T @ gq, context[near].T @ gq])
+        rows = (np.concatenate([far, near]), drawn.reshape(-1), np.concatenate([kind, noise]), np.arange(2 * width))
+        for k in range(4):
+            np.add.at(times[k], rows[k], 1)
+            sums[k] += (grads[k] ** 2).mean(1)
+            plain[k] = plain[k] - rate * grads[k] / np.sqrt(sums[k] + 1e-6)[:, None]
+    for k in range(4):
+        assert np.abs(model.tables[k] - plain[k]).max() < 1e-3 and (seen[k] == times[k]).all()
+
+
+def test_language_model_looks_up_several_slices_at_once(spark, monkeypatch):
+    """Slices share the index of known words and give what one slice gives; vectors are moved once."""
+    words = [f"w{i}" for i in range(300)]
+    draw = np.random.default_rng(6)
+    texts = pa.array([" ".join(words[i] for i in draw.integers(0, 300, n)) for n in draw.integers(0, 60, 40)] + [None])
+    model = language_model.LogBilinear.start(np.arange(201, 0, -1).astype(float))
+    shared = SimpleNamespace(value=(model.tables, model.frequency, words[:280], np.arange(280, -1, -1)))
+    looked, slices, places = [], language_model.byte_slices, language_model._places
+    monkeypatch.setattr(language_model, "_places", lambda *a: looked.append(1) or places(*a))
+    scored = language_model._scorer(shared).func
+    (whole,) = scored(iter([texts]))
+    assert len(looked) == 1
+    looked.clear()
+    monkeypatch.setattr(language_model, "byte_slices", lambda texts, most: slices(texts, 700))
+    n = len(list(slices(texts, 700)))
+    (cut,) = scored(iter([texts]))
+    assert n > 8 and len(looked) == -(-n // 4)
+    for got, want in zip(cut.to_pylist(), whole.to_pylist()):
+        rare = [sorted((r["word"], r["times"]) for r in x.pop("rare")) for x in (got, want)]
+        assert got == pytest.approx(want, rel=1e-9) and rare[0] == rare[1]
+    far, near = model.moved()
+    assert far + near[::-1] == pytest.approx(
+        model.context @ model.places[: language_model.WIDTH]
+        + model.context[::-1] @ model.places[language_model.WIDTH :],
+        abs=1e-5,
+    )
+    assert [len(a) for a in scored(iter([texts.slice(0, 0)]))] == [0]
+
+
 def test_language_model_learns_and_does_not_follow_splits(spark):
     """Held-out texts of a language with fixed followers score far above the unigram base."""
     draw = np.random.default_rng(2)

@@ -48,7 +48,9 @@ _BATCH = 4096
 # Tokens of whole documents that mini-batches are drawn from in one go.
 _STIRRED = 500_000
 _BLOCK_ROWS = 4096
-_SCORED_ROWS, _CACHED_ROWS, _PICKED_ROWS = 524_288, 256, 65_536
+_SCORED_ROWS, _CACHED_ROWS, _PICKED_ROWS = 524_288, 192, 65_536
+# Slices of a batch of texts whose words are looked up in one go.
+_LOOKED_UP = 4
 # Stretches of a class's line, each with the first word in it.
 _STRETCHES = 1024
 # Gradients of one row up to which they are added row by row.
@@ -135,52 +137,67 @@ class LogBilinear:
     def tables(self) -> list[np.ndarray]:
         return [self.context, self.target, self.classes, self.places]
 
-    def log_probabilities(self, words: np.ndarray, far: np.ndarray, near: np.ndarray) -> np.ndarray:
-        """Normalised natural logarithms of each word behind its two words.
+    def moved(self) -> tuple[np.ndarray, np.ndarray]:
+        """What every word adds to a predicted vector, as the far and as the near one."""
+        far, near = np.split(self.places.astype(np.float64), 2)
+        return self.context @ far, self.context @ near
+
+    def log_probabilities(self, words: np.ndarray, far: np.ndarray, near: np.ndarray, moved=None) -> np.ndarray:
+        """Normalised natural logarithms of each word behind its two words; ``moved`` is that of the model.
 
         A softmax is summed once for the tokens that share it: over classes for two words before,
         within a class for those and the class. A token's result does not depend on the others.
         """
         out = np.empty(len(words))
         size = len(self.context)
+        far_moved, near_moved = moved or self.moved()
         for at in range(0, len(words), _SCORED_ROWS):
             some = slice(at, at + _SCORED_ROWS)
-            own = words[some]
-            pairs, pair = np.unique(far[some] * size + near[some], return_inverse=True)
-            far_word, near_word = np.divmod(pairs, size)
-            double = self.places.astype(np.float64)
-            q = np.ones((len(pairs), WIDTH + 1), np.float32)
-            for first in range(0, len(pairs), _PICKED_ROWS):
+            key = far[some] * size + near[some]
+            by_pair = np.argsort(key)
+            key = key.take(by_pair)
+            new = _changes(key)
+            pair = np.cumsum(new) - 1
+            far_word, near_word = np.divmod(key[new], size)
+            q = np.ones((len(far_word), WIDTH + 1), np.float32)
+            for first in range(0, len(q), _PICKED_ROWS):
                 few = slice(first, first + _PICKED_ROWS)
-                moved = self.context.take(far_word[few], axis=0) @ double[:WIDTH]
-                moved += self.context.take(near_word[few], axis=0) @ double[WIDTH:]
-                q[few, :WIDTH] = moved
+                vectors = far_moved.take(far_word[few], axis=0)
+                vectors += near_moved.take(near_word[few], axis=0)
+                q[few, :WIDTH] = vectors
+            # Tokens of one class lie side by side for one product each, those of one pair within.
+            own = words[some].take(by_pair)
             kind = self.of_class.take(own)
+            by_kind = _order(kind, len(self.classes))
+            own, kind, pair = own.take(by_kind), kind.take(by_kind), pair.take(by_kind)
             logs = -_log_sums(q, self.classes).take(pair)
-            # Tokens of one class lie side by side for one product each.
-            cells, cell = np.unique(kind * len(pairs) + pair, return_inverse=True)
-            kinds, rows = np.divmod(cells, len(pairs))
-            sums = np.empty(len(cells))
+            new = _changes(kind) | _changes(pair)
+            cell = np.cumsum(new) - 1
+            kinds, rows = kind[new], pair[new]
+            sums = np.empty(len(rows))
             begin = 0
             for end in (np.flatnonzero(np.diff(kinds, append=-1)) + 1).tolist():
+                vectors = q.take(rows[begin:end], axis=0)
                 first = int(kinds[begin]) * CLASS
-                sums[begin:end] = _log_sums(q.take(rows[begin:end], axis=0), self.target[first : first + CLASS])
+                sums[begin:end] = _log_sums(vectors, self.target[first : first + CLASS])
+                sums[begin:end] -= np.einsum("bd,d->b", vectors, self.classes[kinds[begin]])
                 begin = end
             logs -= sums.take(cell)
             for first in range(0, len(own), _PICKED_ROWS):
                 few = slice(first, first + _PICKED_ROWS)
                 vectors = q.take(pair[few], axis=0)
-                logs[few] += np.einsum("bd,bd->b", vectors, self.classes.take(kind[few], axis=0))
                 logs[few] += np.einsum("bd,bd->b", vectors, self.target.take(own[few], axis=0))
-            out[some] = logs
+            out[some][by_pair.take(by_kind)] = logs
         return out
 
-    def draw_words(self, kind: np.ndarray, draw: np.random.Generator, order=slice(None)) -> np.ndarray:
+    def draw_words(self, kind: np.ndarray, draw: np.random.Generator, order=None) -> np.ndarray:
         """``WORD_NOISE`` words for each class given, by their share of the class.
 
         ``order`` tells which one's turn it was to draw.
         """
-        share = draw.random((len(kind), WORD_NOISE))[order]
+        share = draw.random((len(kind), WORD_NOISE))
+        if order is not None:
+            share = share.take(order, axis=0)
         at = (self._starts.take(kind)[:, None] + share).reshape(-1)
         stretch = kind[:, None] * _STRETCHES + (share * _STRETCHES).astype(np.int64)
         # The first boundary beyond a draw: on from that beyond its stretch's edge.
@@ -232,7 +249,6 @@ class LogBilinear:
             (np.concatenate([far, near]), lambda at: g_context.take(at, axis=0)),
             (drawn.reshape(-1), lambda at: q.take(at // drawn.shape[1], axis=0) * one.take(at)[:, None]),
             (np.concatenate([kind, noise]), lambda at: g_class.take(at, axis=0)),
-            (np.arange(2 * WIDTH), lambda at: g_places.take(at, axis=0)),
         )
         for table, square, count, (rows, gradients) in zip(self.tables, squares, seen, changes):
             rows, times, total = _row_sums(rows, len(table), gradients)
@@ -244,6 +260,11 @@ class LogBilinear:
             moved = np.subtract(table.take(rows, axis=0), total, out=total)
             table.view(as_one).reshape(-1)[rows] = moved.view(as_one).reshape(-1)
             count[rows] += times
+        # The matrices move whole.
+        squares[3] += np.einsum("bd,bd->b", g_places, g_places) / np.float32(WIDTH)
+        g_places *= (RATE / np.sqrt(squares[3] + 1e-6))[:, None]
+        self.places -= g_places
+        seen[3] += 1
 
 
 def _row_sums(rows: np.ndarray, size: int, gradients) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -254,10 +275,10 @@ def _row_sums(rows: np.ndarray, size: int, gradients) -> tuple[np.ndarray, np.nd
     """
     order = _order(rows, size)
     rows = rows.take(order)
-    first = np.ones(len(rows), bool)
-    np.not_equal(rows[1:], rows[:-1], out=first[1:])
-    begin = np.flatnonzero(first)
-    times = np.diff(begin, append=len(order))
+    begin = np.flatnonzero(_changes(rows))
+    times = np.empty_like(begin)
+    np.subtract(begin[1:], begin[:-1], out=times[:-1])
+    times[-1] = len(order) - begin[-1]
     many = times > _FEW_ROWS
     of_many = order[np.repeat(many, times)]
     most = times[many]
@@ -277,12 +298,21 @@ def _row_sums(rows: np.ndarray, size: int, gradients) -> tuple[np.ndarray, np.nd
     return rows.take(begin), times, total
 
 
+def _changes(x: np.ndarray) -> np.ndarray:
+    """Whether each value differs from the one before it, as the first does."""
+    out = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=out[1:])
+    return out
+
+
 def _order(rows: np.ndarray, size: int) -> np.ndarray:
     """Stable order of row numbers below ``size``; 16 bits are sorted by digits, the few beyond come last."""
+    if size <= 1 << 8:
+        return np.argsort(rows.astype(np.uint8), kind="stable")
+    low = np.argsort(rows.astype(np.uint16), kind="stable")
     if size <= 1 << 16:
-        return np.argsort(rows.astype(np.uint16), kind="stable")
-    low = np.argsort((rows & 0xFFFF).astype(np.uint16), kind="stable")
-    return low.take(np.argsort((rows.take(low) >> 16).astype(np.uint16), kind="stable"))
+        return low
+    return low.take(np.argsort((rows.take(low) >> 16).astype(np.uint8), kind="stable"))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -389,10 +419,11 @@ def _trainer(shared):
                 last = max(first + 1, int(np.searchsorted(ends, done + _STIRRED, "right")))
                 words = flat[done : ends[last - 1]].astype(np.int64)
                 far, near = _contexts(words, sizes[first:last], outside)
-                order = draw.permutation(len(words))
+                # A token and the two before it, of 17 bits each, move as one number.
+                stirred = (words << 34 | far << 17 | near).take(draw.permutation(len(words)))
                 for at in range(0, len(words), _BATCH):
-                    some = order[at : at + _BATCH]
-                    model.step(words[some], far[some], near[some], draw, squares, seen)
+                    some = stirred[at : at + _BATCH]
+                    model.step(some >> 34, some >> 17 & 0x1FFFF, some & 0x1FFFF, draw, squares, seen)
                 first, trained = last, True
         if not trained:
             return
@@ -493,21 +524,26 @@ def _scorer(shared):
     def rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tables, frequency, known, counts = shared.value
         model, known = LogBilinear(tables, frequency), pa.array(known, pa.large_string())
+        moved = model.moved()
         for texts in batches:
-            parts = [
-                _scored(texts.slice(at, n), model, known, counts) for at, n in byte_slices(texts, 3 << 20)
-            ]
-            yield pa.concat_arrays(parts) if parts else _scored(texts, model, known, counts)
+            parts = []
+            slices = list(byte_slices(texts, 3 << 20)) or [(0, 0)]
+            for first in range(0, len(slices), _LOOKED_UP):
+                # Several slices are looked up in one go, as each builds an index of all words known.
+                read = [tokens(texts.slice(at, n)) for at, n in slices[first : first + _LOOKED_UP]]
+                at, entry = _places(pa.concat_arrays([r[0] for r in read]), known, len(frequency))
+                ends = np.cumsum([len(r[0]) for r in read])[:-1]
+                for one, own_at, own_entry in zip(read, np.split(at, ends), np.split(entry, ends)):
+                    parts.append(_scored(*one, own_at, own_entry, model, moved, counts))
+            yield pa.concat_arrays(parts)
 
     return F.arrow_udf(rows, _SCORED).asNondeterministic()
 
 
-def _scored(texts, model, known, counts) -> pa.StructArray:
-    distinct, index, sizes = tokens(texts)
-    at, entry = _places(distinct, known, len(model.frequency))
+def _scored(distinct, index, sizes, at, entry, model, moved, counts) -> pa.StructArray:
     words = entry.astype(np.int64).take(index)
     far, near = _contexts(words, sizes, len(model.frequency))
-    log_p = model.log_probabilities(words, far, near)
+    log_p = model.log_probabilities(words, far, near, moved)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     sums = lambda x: np.bincount(owner, weights=x, minlength=len(sizes))
     # The last count, 0, is that of words beyond the head.
